@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-CRC32_RANGE = 2**32
+CRC32_MAX = 2**32 - 1
 
 
 def crc32_split(key: Column, splits: int) -> Column:
     """Which of ``splits`` equal CRC32 ranges a key falls in (0-based)."""
-    return F.floor(F.crc32(key) * F.lit(splits) / F.lit(CRC32_RANGE)).cast("int")
+    return F.shiftright(F.crc32(key) * F.lit(splits), 32).cast("int")

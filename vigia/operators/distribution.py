@@ -16,7 +16,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _KEY, _VALUE, _N, _BUCKET = "__key", "__value", "__n", "__bucket"
-_BELOW, _TOTAL, _SIZE = "__below", "__total", "__size"
+_BELOW, _TOTAL, _SIZE, _EDGES = "__below", "__total", "__size", "__edges"
 
 
 def _buckets_for(df: DataFrame, buckets: int | None) -> int:
@@ -44,9 +44,13 @@ def _bucketed(counts: DataFrame, buckets: int) -> DataFrame:
     group holds about ``1/buckets`` of the distinct (group, value) rows.
     """
     cuts = [i / buckets for i in range(1, buckets)]
-    edges = counts.agg(F.percentile_approx(_VALUE, cuts, 10 * buckets).alias("e")).scalar()
-    below = F.size(F.filter(edges, lambda e: e < F.col(_VALUE)))
-    return counts.withColumn(_BUCKET, F.when(F.col(_VALUE).isNull(), -1).otherwise(below))
+    # The filter is always true; it makes this branch need the counts, so Spark
+    # reuses the exchange of the main branch instead of aggregating again.
+    edges = counts.where(F.col(_N) > 0).agg(F.percentile_approx(_VALUE, cuts, 4 * buckets).alias("e"))
+    below = F.size(F.filter(_EDGES, lambda e: e < F.col(_VALUE)))
+    # Never null: a nullable join key would push this expression to every input row.
+    bucket = F.when(F.col(_VALUE).isNull(), F.lit(-1)).otherwise(F.coalesce(below, F.lit(0)))
+    return counts.withColumn(_EDGES, edges.scalar()).withColumn(_BUCKET, bucket).drop(_EDGES)
 
 
 def _bucket_offsets(bucketed: DataFrame) -> DataFrame:

@@ -13,18 +13,18 @@ BROADCAST_KEYS = 1_000_000
 
 
 def insert_if_absent(
-    new: DataFrame, existing: DataFrame, key: str, new_rows: int | None = None
+    new: DataFrame, existing: DataFrame, key: str, small_keys: DataFrame | None = None
 ) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
 
-    When the caller has counted ``new`` and it is small, its keys are
-    broadcast to filter the scan of the key column, so the large table is
-    never shuffled.  Otherwise keys are made distinct before the shuffle and
-    the join reuses that partitioning.
+    ``small_keys`` holds the keys of ``new`` when the caller has counted at
+    most ``BROADCAST_KEYS`` of them: they are broadcast to filter the scan of
+    the key column, so the large table is never shuffled.  Otherwise keys are
+    made distinct, and the join reuses that partitioning.
     """
     keys = existing.select(key)
-    if new_rows is not None and new_rows <= BROADCAST_KEYS:
-        keys = keys.join(F.broadcast(new.select(key).distinct()), key, "left_semi")
+    if small_keys is not None:
+        keys = keys.join(F.broadcast(small_keys.select(key).distinct()), key, "left_semi")
     return new.join(keys.distinct(), key, "left_anti")
 
 

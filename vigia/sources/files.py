@@ -35,17 +35,24 @@ def _typed_meta(df: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, keep_meta: bool = False, infer: bool = False) -> DataFrame:
-    """CSV copies with a header.
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    keep_meta: bool = False,
+    infer: bool = False,
+    multi_line: bool = True,
+) -> DataFrame:
+    """CSV copies with a header; quotes inside quoted fields are doubled.
 
-    Quotes inside quoted fields are doubled, and fields may hold line breaks.
-    ``infer=True`` lets Spark guess the types (one more pass over the files).
+    Fields may hold line breaks, so a file is read by one task.  For large
+    single files without line breaks in fields, ``multi_line=False`` lets Spark
+    split them.  ``infer=True`` guesses the types (one more pass).
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if infer:
         return _without_meta(reader.option("inferSchema", True).csv(path), keep_meta)
-    # With the header on, columns are matched by position: read all 42.
-    raw = reader.schema(_FILE_SCHEMA).option("enforceSchema", True).csv(path)
+    # CSV columns are matched by position.
+    raw = reader.schema(_FILE_SCHEMA).csv(path)
     return conform(_typed_meta(raw), keep_meta)
 
 

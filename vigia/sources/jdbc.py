@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -83,14 +84,14 @@ def read_jdbc(spark: SparkSession, source: JdbcTable) -> DataFrame:
 
 
 def read_jdbc_keys(
-    spark: SparkSession, source: JdbcTable, since: str | None = None, until: str | None = None
+    spark: SparkSession, source: JdbcTable, since: datetime | None = None, until: datetime | None = None
 ) -> DataFrame:
     """Stored ids, optionally only of event times in [since, until]."""
     raw = spark.read.format("jdbc").options(**source.scan_options()).load()
     if since is not None:
-        raw = raw.where(F.col("timestamp_evento") >= F.lit(since).cast("timestamp"))
+        raw = raw.where(F.col("timestamp_evento") >= F.lit(since))
     if until is not None:
-        raw = raw.where(F.col("timestamp_evento") <= F.lit(until).cast("timestamp"))
+        raw = raw.where(F.col("timestamp_evento") <= F.lit(until))
     return raw.select("id_log")
 
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
-from ..operators.joins import insert_if_absent
+from ..operators.joins import BROADCAST_KEYS, insert_if_absent
 from ..schema import EVENT_COLUMNS
 from ..sources.jdbc import JdbcTable, append_jdbc, read_jdbc_keys
 from ..sources.sinks import ISO_MILLIS, with_all_columns
@@ -75,9 +78,35 @@ def start_jsonl_copy(
     )
 
 
+@dataclass(frozen=True)
+class BatchSummary:
+    """What one pass over a micro-batch tells: sizes and event-time span."""
+
+    rows: int
+    dead: int
+    first_time: datetime | None
+    last_time: datetime | None
+
+    @property
+    def good(self) -> int:
+        return self.rows - self.dead
+
+
+def _summarise(batch: DataFrame) -> BatchSummary:
+    good = F.col(REASON).isNull()
+    time = F.when(good, F.col("timestamp_evento"))
+    row = batch.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~good).alias("dead"),
+        F.min(time).alias("first_time"),
+        F.max(time).alias("last_time"),
+    ).first()
+    return BatchSummary(**row.asDict())
+
+
 def _ingest_batches(
-    existing_keys: Callable[[DataFrame], DataFrame | None],
-    append: Callable[[DataFrame, int], None],
+    stored_keys: Callable[[SparkSession, BatchSummary], DataFrame | None],
+    append: Callable[[DataFrame, BatchSummary], None],
     dead_path: str,
 ) -> Callable[[DataFrame, int], None]:
     """A foreachBatch body: dedupe, skip stored ids, append, keep dead letters.
@@ -90,36 +119,28 @@ def _ingest_batches(
         spark = decoded.sparkSession
         batch = decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counted = batch.agg(
-                F.count(F.lit(1)).alias("rows"), F.count_if(F.col(REASON).isNotNull()).alias("dead")
-            ).first()
-            good = counted["rows"] - counted["dead"]
-            if counted["dead"]:
+            summary = _summarise(batch)
+            if summary.dead:
                 # The query id changes only with a new checkpoint, whose batch
                 # numbers start again.
                 query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
                 dead_letters(batch).write.mode("overwrite").parquet(
                     f"{dead_path}/query={query}/batch={batch_id}"
                 )
-            if good:
-                fresh = first_arrivals(valid_events(batch))
-                stored = existing_keys(batch)
+            if summary.good:
+                events = valid_events(batch)
+                fresh = first_arrivals(events)
+                stored = stored_keys(spark, summary)
                 if stored is not None:
-                    fresh = insert_if_absent(fresh, stored, "id_log", new_rows=good)
-                append(fresh, good)
+                    keys = events.select("id_log") if summary.good <= BROADCAST_KEYS else None
+                    fresh = insert_if_absent(fresh, stored, "id_log", small_keys=keys)
+                append(fresh, summary)
         finally:
             batch.unpersist()
 
     return handle
 
 
-def _exists(df: DataFrame, path: str) -> bool:
-    jvm = df.sparkSession.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    return target.getFileSystem(conf).exists(target)
-
-
 def start_table_ingest(
     records: DataFrame,
     table: str,
@@ -136,23 +157,27 @@ def start_table_ingest(
     event carry the event time of the original, as redelivered messages do.
     """
 
-    def existing(batch: DataFrame) -> DataFrame | None:
-        if not _exists(batch, table):
-            return None
-        stored = batch.sparkSession.read.parquet(table)
+    def stored_keys(spark: SparkSession, summary: BatchSummary) -> DataFrame | None:
+        try:
+            stored = spark.read.parquet(table)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
         if same_date:
-            dates = batch.select(F.to_date("timestamp_evento").alias("fecha")).distinct()
-            stored = stored.join(F.broadcast(dates), "fecha", "left_semi")
+            # Literal bounds: only the batch's date partitions are read.
+            dates = (F.lit(t).cast("timestamp").cast("date") for t in (summary.first_time, summary.last_time))
+            stored = stored.where(F.col("fecha").between(*dates))
         return stored.select("id_log")
 
-    def append(fresh: DataFrame, rows: int) -> None:
-        files = max(1, -(-rows // ROWS_PER_FILE))
-        dated = fresh.select(*EVENT_COLUMNS).withColumn("fecha", F.to_date("timestamp_evento"))
+    def append(fresh: DataFrame, summary: BatchSummary) -> None:
+        files = -(-summary.good // ROWS_PER_FILE)
         parts = int(fresh.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dated = fresh.select(*EVENT_COLUMNS).withColumn("fecha", F.to_date("timestamp_evento"))
         dated = dated.coalesce(files) if files < parts else dated
         dated.write.mode("append").partitionBy("fecha").parquet(table)
 
-    handle = _ingest_batches(existing, append, dead)
+    handle = _ingest_batches(stored_keys, append, dead)
     return _start(
         decode_records(records), name, checkpoint, interval, lambda w: w.foreachBatch(handle)
     )
@@ -173,17 +198,15 @@ def start_jdbc_ingest(
     between the first and last of the batch (see ``start_table_ingest``).
     """
 
-    def existing(batch: DataFrame) -> DataFrame:
-        since = until = None
+    def stored_keys(spark: SparkSession, summary: BatchSummary) -> DataFrame:
         if same_time:
-            span = batch.agg(
-                F.min("timestamp_evento").cast("string").alias("a"),
-                F.max("timestamp_evento").cast("string").alias("b"),
-            ).first()
-            since, until = span["a"], span["b"]
-        return read_jdbc_keys(batch.sparkSession, target, since, until)
-
-    handle = _ingest_batches(existing, lambda fresh, _: append_jdbc(fresh, target), dead)
+            return read_jdbc_keys(spark, target, summary.first_time, summary.last_time)
+        return read_jdbc_keys(spark, target)
+
+    def append(fresh: DataFrame, summary: BatchSummary) -> None:
+        append_jdbc(fresh, target)
+
+    handle = _ingest_batches(stored_keys, append, dead)
     return _start(
         decode_records(records), name, checkpoint, interval, lambda w: w.foreachBatch(handle)
     )

@@ -1,7 +1,7 @@
 from .analysis import Analysis, Measure, run, run_shared
 from .distribution import approx_percentiles, exact_percentiles, global_rank
 from .joins import insert_if_absent, lookup, with_server_attributes
-from .quality import Rule, event_rules, quality_report, split_by_rules
+from .quality import Rule, event_rules, mark_rules, quality_report, split_by_rules
 from .synth import synthetic_events
 from .windows import first_per_key, rank_groups, top_k, top_per_group
 
@@ -16,6 +16,7 @@ __all__ = [
     "global_rank",
     "insert_if_absent",
     "lookup",
+    "mark_rules",
     "quality_report",
     "rank_groups",
     "run",

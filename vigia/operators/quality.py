@@ -56,8 +56,12 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], key: str | None = None)
     return report.unionByName(extra.select(F.lit(f"duplicate:{key}").alias("rule"), "violations"))
 
 
+def mark_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Add ``reglas``: the rules a row breaks, comma separated, '' for none."""
+    return df.withColumn("reglas", F.concat_ws(",", *(F.when(r.broken, F.lit(r.name)) for r in rules)))
+
+
 def split_by_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected); rejected rows carry ``reglas``, the rules they break."""
-    names = [F.when(r.broken, F.lit(r.name)) for r in rules]
-    marked = df.withColumn("reglas", F.concat_ws(",", *names))
+    """(kept, rejected); rejected rows carry ``reglas``."""
+    marked = mark_rules(df, rules)
     return marked.where("reglas = ''").drop("reglas"), marked.where("reglas <> ''")

@@ -6,9 +6,10 @@ Used by tests, the benchmark and the registered queries, which only have
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.labels import is_error
 from ..schema import (
     CITIES,
     ENDPOINTS,
@@ -59,74 +60,71 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _choice(options: list, number: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, options)), (number % len(options) + 1).cast("int"))
+def _lit(value: str | int) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
 
+def _choice(options: Sequence, number: str) -> str:
+    return f"element_at(array({', '.join(map(_lit, options))}), cast({number} % {len(options)} + 1 as int))"
 
-def _by_type(lists: dict[str, list], number: Column) -> Column:
-    kind, out = F.col("tipo_evento"), None
-    for name, options in lists.items():
-        value = _choice(options, number)
-        out = F.when(kind == name, value) if out is None else out.when(kind == name, value)
-    return out
 
+def _case(column: str, values: Mapping[str, str]) -> str:
+    arms = " ".join(f"WHEN {_lit(k)} THEN {v}" for k, v in values.items())
+    return f"CASE {column} {arms} END"
 
-def _metric(m: Metric, h: Column) -> Column:
-    level, out = F.col("nivel"), None
-    for name in LEVELS:
-        low, high = m.band(name)
-        value = h * METRIC_SALT[m.name] % (high - low + 1) + low
-        out = F.when(level == name, value) if out is None else out.when(level == name, value)
+
+def _metric(m: Metric) -> str:
+    arms = {}
+    for level in LEVELS:
+        low, high = m.band(level)
+        arms[level] = f"h * {METRIC_SALT[m.name]} % {high - low + 1} + {low}"
+    value = _case("nivel", arms)
     if m.hundredths:
-        return (out / F.lit(100.0)).cast("decimal(5,2)")
-    return out if m.name.startswith("bytes") else out.cast("int")
+        return f"cast({value} / 100.0D as decimal(5,2))"
+    return value if m.name.startswith("bytes") else f"cast({value} as int)"
+
+
+def _event_columns() -> list[str]:
+    columns = {
+        "id_log": "concat('log-', event_id)",
+        "timestamp_evento": "date_trunc('second', cast(ts as timestamp))",
+        **{
+            name: _choice([row[i] for row in SERVERS], "user_id")
+            for i, name in enumerate(SERVER_SCHEMA.fieldNames())
+        },
+        "codigo_estado": "CASE WHEN nivel = 'INFO' AND tipo_evento = 'request' THEN "
+        f"{_choice(INFO_REQUEST_CODES, 'h')} WHEN nivel = 'INFO' THEN 200 "
+        f"WHEN nivel = 'WARNING' THEN {_choice(WARNING_CODES, 'h')} ELSE {_choice(ERROR_CODES, 'h')} END",
+        "endpoint": _choice(ENDPOINTS, "h"),
+        "metodo_http": f"if(tipo_evento = 'request', {_choice(HTTP_METHODS, 'h')}, null)",
+        "usuario": "concat('user-', user_id)",
+        "correo_usuario": "concat('user-', user_id, '@example.com')",
+        "ciudad": _choice(CITIES, "user_id"),
+        "ip_origen": "concat('10.0.', h % 256, '.', h * 7 % 256)",
+        "user_agent": "if(tipo_evento = 'request', concat('Mozilla/5.0 (KHTML, like Gecko) v', h % 9), null)",
+        "intento_login": f"if(tipo_evento = 'security', {_choice(LOGIN_RESULTS, 'h')}, null)",
+        "ip_sospechosa": "tipo_evento = 'security' AND nivel <> 'INFO'",
+        "pais_origen": "if(tipo_evento = 'security', concat('pais-', h % 20), null)",
+        "trace_id": "concat('trace-', event_id * 31)",
+        "session_id": "concat('sess-', user_id, '-', event_id % 50)",
+        "proceso": "concat(servicio, '-', 1000 + h % 9000)",
+        "mensaje": "concat(tipo_evento, ' ', nivel)",
+        **{m.name: _metric(m) for m in METRICS},
+    }
+    return [f"{columns[c]} AS {c}" if c in columns else c for c in EVENT_COLUMNS]
 
 
 def logs_from_events(events: DataFrame) -> DataFrame:
     """All 37 event columns as integer arithmetic over (event_id, user_id, props.k)."""
-    e, u, h = F.col("event_id"), F.col("user_id"), F.col("__h")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    kinds = None
-    for source, kind in TYPE_OF_EVENT.items():
-        hit = F.col("event_type") == source
-        kinds = F.when(hit, kind) if kinds is None else kinds.when(hit, kind)
-    base = events.select(
-        e, u, "ts", kinds.alias("tipo_evento"), ((e * 7919 + u * 104729 + k * 611953) % 1000003).alias("__h")
-    )
-    base = base.withColumns({"nivel": _by_type(LEVEL_WEIGHTS, h), "servicio": _by_type(SERVICES, e)})
-
-    kind, level = F.col("tipo_evento"), F.col("nivel")
-    request, security = kind == "request", kind == "security"
-    server = {
-        name: _choice([row[i] for row in SERVERS], u) for i, name in enumerate(SERVER_SCHEMA.fieldNames())
-    }
-    logs = base.withColumns(
-        {
-            **server,
-            "id_log": F.concat(F.lit("log-"), e),
-            "timestamp_evento": F.date_trunc("second", F.col("ts").cast("timestamp")),
-            "codigo_estado": F.when(request & (level == "INFO"), _choice(INFO_REQUEST_CODES, h))
-            .when(level == "INFO", 200)
-            .when(level == "WARNING", _choice(WARNING_CODES, h))
-            .otherwise(_choice(ERROR_CODES, h)),
-            "endpoint": _choice(ENDPOINTS, h),
-            "metodo_http": F.when(request, _choice(HTTP_METHODS, h)),
-            "usuario": F.concat(F.lit("user-"), u),
-            "correo_usuario": F.concat(F.lit("user-"), u, F.lit("@example.com")),
-            "ciudad": _choice(CITIES, u),
-            "ip_origen": F.concat(F.lit("10.0."), h % 256, F.lit("."), h * 7 % 256),
-            "user_agent": F.when(request, F.concat(F.lit("Mozilla/5.0 (KHTML, like Gecko) v"), h % 9)),
-            "intento_login": F.when(security, _choice(LOGIN_RESULTS, h)),
-            "ip_sospechosa": security & (is_error(level) | (level == "WARNING")),
-            "pais_origen": F.when(security, F.concat(F.lit("pais-"), h % 20)),
-            "trace_id": F.concat(F.lit("trace-"), e * 31),
-            "session_id": F.concat(F.lit("sess-"), u, F.lit("-"), e % 50),
-            "proceso": F.concat("servicio", F.lit("-"), h % 9000 + 1000),
-            "mensaje": F.concat_ws(" ", kind, level),
-            **{m.name: _metric(m, h) for m in METRICS},
-        }
+    kind = _case("event_type", {k: _lit(v) for k, v in TYPE_OF_EVENT.items()})
+    number = "(event_id * 7919 + user_id * 104729 + get_json_object(props, '$.k')::bigint * 611953) % 1000003"
+    level = _case("tipo_evento", {k: _choice(v, "h") for k, v in LEVEL_WEIGHTS.items()})
+    service = _case("tipo_evento", {k: _choice(v, "event_id") for k, v in SERVICES.items()})
+    return (
+        events.selectExpr("event_id", "user_id", "ts", f"{kind} AS tipo_evento", f"{number} AS h")
+        .selectExpr("*", f"{level} AS nivel", f"{service} AS servicio")
+        .selectExpr(*_event_columns())
     )
-    return logs.select(*EVENT_COLUMNS)
 
 
 def logs_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,9 +18,9 @@ from ..operators import (
     global_rank,
     insert_if_absent,
     lookup,
+    mark_rules,
     quality_report,
     run,
-    split_by_rules,
     synthetic_events,
     top_k,
     top_per_group,
@@ -271,26 +271,16 @@ def op_json_encode_route(logs):
 
 def _faulty_logs(logs: DataFrame) -> DataFrame:
     """The event table with faults planted by event number."""
-    number = F.substring_index("id_log", "-", -1).cast("bigint")
-
-    def plant(column: str, every: int, at: int, fault: Column) -> Column:
-        return F.when(F.col("__e") % every == at, fault).otherwise(F.col(column))
-
-    return logs.withColumn("__e", number).select(
-        *(
-            {
-                "nivel": plant("nivel", 97, 3, F.lit("DEBUG")),
-                "uso_cpu_porcentaje": plant("uso_cpu_porcentaje", 89, 5, F.lit(150).cast("decimal(5,2)")),
-                "servidor": plant("servidor", 83, 7, F.lit(None).cast("string")),
-                "id_log": plant("id_log", 79, 11, F.lit("log-0")),
-                "ciudad": plant("ciudad", 73, 13, F.repeat(F.lit("x"), F.lit(120))),
-                "ip_sospechosa": plant("ip_sospechosa", 71, 17, ~F.col("ip_sospechosa")),
-            }
-            .get(c, F.col(c))
-            .alias(c)
-            for c in EVENT_COLUMNS
-        )
-    )
+    numbered = logs.selectExpr("*", "cast(substring_index(id_log, '-', -1) as bigint) AS e")
+    faults = {
+        "nivel": "if(e % 97 = 3, 'DEBUG', nivel)",
+        "uso_cpu_porcentaje": "if(e % 89 = 5, 150.00BD, uso_cpu_porcentaje)",
+        "servidor": "if(e % 83 = 7, null, servidor)",
+        "id_log": "if(e % 79 = 11, 'log-0', id_log)",
+        "ciudad": "if(e % 73 = 13, repeat('x', 120), ciudad)",
+        "ip_sospechosa": "if(e % 71 = 17, NOT ip_sospechosa, ip_sospechosa)",
+    }
+    return numbered.selectExpr(*(f"{faults.get(c, c)} AS {c}" for c in EVENT_COLUMNS))
 
 
 @_over_logs
@@ -300,9 +290,8 @@ def op_quality_report(logs):
 
 @_over_logs
 def op_quality_split(logs):
-    kept, rejected = split_by_rules(_faulty_logs(logs), event_rules())
-    whole = kept.withColumn("reglas", F.lit("")).unionByName(rejected)
-    return whole.groupBy("reglas").agg(F.count(F.lit(1)).alias("filas"))
+    marked = mark_rules(_faulty_logs(logs), event_rules())
+    return marked.groupBy("reglas").agg(F.count(F.lit(1)).alias("filas"))
 
 
 # --- stored copies and streams -------------------------------------------------------

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import (
     CITIES,
@@ -129,3 +129,15 @@ def logs_from_events(events: DataFrame) -> DataFrame:
 
 def logs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs_from_events(read_table(spark, sf_dir, "events"))
+
+
+def grown_events(events: DataFrame, rows: int) -> DataFrame:
+    """``events`` repeated with new numbers up to ``rows`` rows.
+
+    Event numbers must run from 0 without gaps, as in the test tables.
+    """
+    have = events.count()
+    copies = -(-rows // have)
+    repeated = events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    shifted = repeated.withColumn("event_id", F.col("event_id") + F.col("copy") * have)
+    return shifted.where(F.col("event_id") < rows).drop("copy")

@@ -8,6 +8,8 @@ from ..schema import EVENT_COLUMNS, EVENT_SCHEMA, META_COLUMNS, conform
 
 CORRUPT = "_corrupt"
 
+TABLE_SCHEMA = T.StructType([*EVENT_SCHEMA, T.StructField("fecha", T.DateType(), True)])
+
 # Copies written by different tools hold the bookkeeping columns as text or as
 # numbers, so they are read as text and cast.
 _FILE_SCHEMA = T.StructType(
@@ -91,8 +93,9 @@ def read_events(
     spark: SparkSession, path: str, since: str | None = None, until: str | None = None
 ) -> DataFrame:
     """The Parquet event table; ``since`` (inclusive) and ``until`` (exclusive)
-    select event dates, so only those partitions are listed and read."""
-    df = spark.read.parquet(path)
+    select event dates, so only those partitions are read.  The schema is
+    given, so no file footer is read to plan."""
+    df = spark.read.schema(TABLE_SCHEMA).parquet(path)
     if since:
         df = df.where(F.col("fecha") >= F.lit(since).cast("date"))
     if until:

@@ -9,6 +9,18 @@ from ..schema import EVENT_COLUMNS, META_SCHEMA, typed_columns
 
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
+# Header per file, quotes doubled, nulls empty; blanks around a value are kept.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": ISO_MILLIS,
+}
+JSON_OPTIONS = {"ignoreNullFields": False, "timestampFormat": ISO_MILLIS}
+
 
 def write_events(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write the Parquet event table, partitioned by event date.
@@ -27,15 +39,13 @@ def with_all_columns(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
-    """CSV copy: header per file, quotes doubled, nulls empty."""
-    writer = with_all_columns(df).write.mode(mode)
-    writer.options(header=True, escape='"', nullValue="", emptyValue="", timestampFormat=ISO_MILLIS).csv(path)
+    """CSV copy with bookkeeping columns."""
+    with_all_columns(df).write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
-    """JSON-lines copy with explicit nulls."""
-    writer = with_all_columns(df).write.mode(mode)
-    writer.options(ignoreNullFields=False, timestampFormat=ISO_MILLIS).json(path)
+    """JSON-lines copy with bookkeeping columns and explicit nulls."""
+    with_all_columns(df).write.mode(mode).options(**JSON_OPTIONS).json(path)
 
 
 def publish_rows(df: DataFrame) -> DataFrame:
@@ -60,7 +70,7 @@ def export_csv(df: DataFrame, path: str) -> None:
 
     Results have one row per group of a dimension; do not use it for events.
     """
-    df.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)
+    df.coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def print_result(df: DataFrame, rows: int = 20, truncate: bool = True) -> None:

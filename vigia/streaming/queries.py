@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from ..operators.joins import BROADCAST_KEYS, insert_if_absent
 from ..schema import EVENT_COLUMNS
 from ..sources.jdbc import JdbcTable, append_jdbc, read_jdbc_keys
-from ..sources.sinks import ISO_MILLIS, with_all_columns
+from ..sources.sinks import CSV_OPTIONS, JSON_OPTIONS, with_all_columns
 from .ingest import REASON, dead_letters, decode_records, first_arrivals, valid_events
 
 log = logging.getLogger(__name__)
@@ -61,9 +61,8 @@ def start_csv_copy(
 ) -> StreamingQuery:
     """Append every decodable event, with bookkeeping, to CSV files."""
     rows = with_all_columns(valid_events(decode_records(records)))
-    options = dict(header=True, escape='"', nullValue="", emptyValue="", timestampFormat=ISO_MILLIS)
     return _start(
-        rows, name, checkpoint, interval, lambda w: w.format("csv").options(**options).option("path", path)
+        rows, name, checkpoint, interval, lambda w: w.format("csv").options(**CSV_OPTIONS).option("path", path)
     )
 
 
@@ -72,9 +71,8 @@ def start_jsonl_copy(
 ) -> StreamingQuery:
     """Append every decodable event, with bookkeeping, to JSON-lines files."""
     rows = with_all_columns(valid_events(decode_records(records)))
-    options = dict(ignoreNullFields=False, timestampFormat=ISO_MILLIS)
     return _start(
-        rows, name, checkpoint, interval, lambda w: w.format("json").options(**options).option("path", path)
+        rows, name, checkpoint, interval, lambda w: w.format("json").options(**JSON_OPTIONS).option("path", path)
     )
 
 

@@ -3,9 +3,10 @@ import csv
 from conftest import rows
 
 from vigia import __main__ as cli
-from vigia.operators import synthetic_events
+from vigia.operators import Analysis
 from vigia.plans import BENCHMARK, SUITES, SqlAnalysis, Timing, run_report, run_workload, save_timing, speed_up
-from vigia.sources import write_csv, write_events, write_jsonl
+from vigia.plans.report import columns_used
+from vigia.sources import materialise, read_events, sinks
 
 
 def saved_rows(path):
@@ -52,17 +53,18 @@ def test_benchmark_table_and_speed_up(spark, logs, tmp_path):
 class Args:
     def __init__(self, **values):
         self.input = self.json = self.csv = None
-        self.mode = "local_n"
+        self.mode, self.seed, self.staging = "local_n", 42, None
         self.__dict__.update(values)
 
 
 def test_jobs_by_name(spark, tmp_path, capsys):
-    made = synthetic_events(spark.range(500))
-    write_jsonl(made, f"{tmp_path}/e.jsonl")
-    write_csv(made, f"{tmp_path}/e.csv")
-    write_events(made, f"{tmp_path}/table")
+    cli.run_job(spark, "datos", Args(rows=500, output=str(tmp_path)))
+    assert read_events(spark, f"{tmp_path}/eventos").count() == 500
     args = Args(
-        json=f"{tmp_path}/e.jsonl", csv=f"{tmp_path}/e.csv", input=f"{tmp_path}/table", output=f"{tmp_path}/out"
+        json=f"{tmp_path}/eventos.jsonl",
+        csv=f"{tmp_path}/eventos.csv",
+        input=f"{tmp_path}/eventos",
+        output=f"{tmp_path}/out",
     )
     for job in ("json", "csv", "sql", "comparacion"):
         cli.run_job(spark, job, args)
@@ -72,3 +74,41 @@ def test_jobs_by_name(spark, tmp_path, capsys):
     assert len(list((out / "resultado_sql").iterdir())) == 6
     assert saved_rows(out / "resultado_comparacion/comparacion.csv")[0] == ["modo", "tiempo_segundos", "registros"]
     assert "json: " in capsys.readouterr().out
+
+
+def test_staged_source_gives_the_same_report(spark, logs, tmp_path):
+    plain = run_report(logs, SUITES["json"], f"{tmp_path}/a", "json", show=None)
+    staged = run_report(
+        logs, SUITES["json"], f"{tmp_path}/b", "json", staging=f"{tmp_path}/staging", show=None
+    )
+    assert staged.rows == 1000
+    for name, path in plain.saved.items():
+        assert saved_rows(tmp_path / "b/resultado_json" / path.rsplit("/")[-1]) == saved_rows(
+            tmp_path / "a/resultado_json" / path.rsplit("/")[-1]
+        ), name
+
+
+def test_only_used_columns_are_kept(spark, logs):
+    spec = Analysis("a", (("avg", "uso_cpu_porcentaje", "m"),), ("zona",), where="NIVEL = 'ERROR'")
+    assert columns_used(logs, [spec]) == ["zona", "nivel", "uso_cpu_porcentaje"]
+    sql = SqlAnalysis("s", "SELECT count(*) n, 100.0 * max(latencia_red_ms) x FROM logs")
+    assert columns_used(logs, [sql]) == ["latencia_red_ms"]
+    for star in (
+        "SELECT * FROM logs",
+        "SELECT DISTINCT * FROM logs",
+        "SELECT l.* FROM logs l",
+        "SELECT zona, to_json(struct(*)) j FROM logs",
+        "FROM logs |> WHERE nivel = 'ERROR'",
+    ):
+        assert columns_used(logs, [SqlAnalysis("s", star)]) == logs.columns, star
+    kept, count = materialise(logs, ["zona"])
+    assert (kept.columns, count) == (["zona"], 1000)
+    kept.unpersist()
+
+
+def test_large_results_keep_their_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 5)
+    sinks.export_csv(spark.range(0, 20, 1, 4), f"{tmp_path}/big.csv")
+    sinks.export_csv(spark.range(0, 5, 1, 4), f"{tmp_path}/small.csv")
+    assert len(list((tmp_path / "big.csv").glob("*.csv"))) == 4
+    assert len(list((tmp_path / "small.csv").glob("*.csv"))) == 1

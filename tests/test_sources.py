@@ -98,6 +98,12 @@ def test_jsonl_bad_lines_do_not_take_neighbours(spark, tmp_path):
     ]
 
 
+def test_jsonl_bad_lines_count_the_same_whatever_is_selected(spark, tmp_path):
+    (tmp_path / "e.jsonl").write_text('{"id_log":"a"}\n\nnot json\n{"id_log":"b","codigo_estado":"x"}\n{}\n')
+    df = read_jsonl(spark, f"{tmp_path}/e.jsonl")
+    assert df.count() == len(df.select("id_log").collect()) == len(df.collect()) == 2
+
+
 def test_inferred_reads_drop_bookkeeping(spark, events, tmp_path):
     write_csv(events, f"{tmp_path}/csv")
     write_jsonl(events, f"{tmp_path}/jsonl")

@@ -14,6 +14,7 @@ from vigia.streaming import (
     dead_letters,
     decode_records,
     distinct_events,
+    drain_and_stop,
     file_records,
     start_csv_copy,
     start_jsonl_copy,
@@ -120,6 +121,9 @@ def test_first_arrival_wins_within_and_across_batches(spark, tmp_path):
     dead = spark.read.parquet(f"{base}/dead")
     assert sorted(r._raw for r in dead.collect()) == ["bad", "bad again"]
     assert set(META_COLUMNS) <= set(dead.columns)
+    # One directory per query id and batch.
+    (query_id,) = {r.query for r in dead.select("query").distinct().collect()}
+    assert query_id == drain(spark, base).id
 
 
 def test_restart_reads_nothing_and_lost_checkpoint_adds_nothing(spark, tmp_path):
@@ -184,6 +188,15 @@ def test_file_copies_of_raw_lines_by_topic(spark, tmp_path):
     assert len(line) == 42 and line["zona"] is None
 
 
+def test_drain_and_stop_reports_rows(spark, tmp_path):
+    put(spark, [message(id_log=f"e{i}") for i in range(5)], f"{tmp_path}/inbox")
+    query = start_jsonl_copy(
+        file_records(spark, f"{tmp_path}/inbox"), f"{tmp_path}/out", f"{tmp_path}/cp", "1 second", name="copia"
+    )
+    assert drain_and_stop(query) == {"copia": 5}
+    assert not query.isActive and read_jsonl(spark, f"{tmp_path}/out").count() == 5
+
+
 @pytest.mark.parametrize("horizon", [None, "1 day"])
 def test_duplicates_dropped_inside_the_stream(spark, tmp_path, horizon):
     put(spark, [message(id_log=i) for i in "abab"], f"{tmp_path}/inbox")

@@ -1,5 +1,5 @@
 from .analysis import Analysis, Measure, run, run_shared
-from .distribution import approx_percentiles, exact_percentiles, global_rank
+from .distribution import approx_percentiles, exact_percentiles, exact_summary, global_rank
 from .joins import insert_if_absent, lookup, with_server_attributes
 from .quality import Rule, event_rules, mark_rules, quality_report, split_by_rules
 from .synth import synthetic_events
@@ -12,6 +12,7 @@ __all__ = [
     "approx_percentiles",
     "event_rules",
     "exact_percentiles",
+    "exact_summary",
     "first_per_key",
     "global_rank",
     "insert_if_absent",

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from fractions import Fraction
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _KEY, _VALUE, _N, _BUCKET = "__key", "__value", "__n", "__bucket"
-_BELOW, _TOTAL, _SIZE, _EDGES = "__below", "__total", "__size", "__edges"
+_BELOW, _TOTAL, _SIZE = "__below", "__total", "__size"
+_EDGES, _ENDS = "__edges", "__ends"
 
 
 def _buckets_for(df: DataFrame, buckets: int | None) -> int:
@@ -41,22 +43,37 @@ def _bucketed(counts: DataFrame, buckets: int) -> DataFrame:
     """Add an order-preserving bucket number; null values get bucket -1.
 
     The edges are quantiles over all distinct values, so any bucket of any
-    group holds about ``1/buckets`` of the distinct (group, value) rows.
+    group holds about ``1/buckets`` of the distinct (group, value) rows.  A
+    bucket number is the count of edges below the value, found in two steps:
+    blocks of edges by their last edge, then the edges of one block.
     """
     cuts = [i / buckets for i in range(1, buckets)]
+    width = max(1, isqrt(buckets))
     # The filter is always true; it makes this branch need the counts, so Spark
     # reuses the exchange of the main branch instead of aggregating again.
-    edges = counts.where(F.col(_N) > 0).agg(F.percentile_approx(_VALUE, cuts, 4 * buckets).alias("e"))
-    below = F.size(F.filter(_EDGES, lambda e: e < F.col(_VALUE)))
+    quantiles = counts.where(F.col(_N) > 0).agg(
+        F.percentile_approx(_VALUE, cuts, 4 * buckets).alias(_EDGES)
+    )
+    ends = F.filter(_EDGES, lambda e, i: (i + 1) % width == 0)
+    edges = quantiles.select(F.struct(_EDGES, ends.alias(_ENDS))).scalar()
+
+    value = F.col(_VALUE)
+    block = F.size(F.filter(f"{_EDGES}.{_ENDS}", lambda e: e < value))
+    rest = F.slice(f"{_EDGES}.{_EDGES}", block * width + 1, width)
+    below = block * width + F.size(F.filter(rest, lambda e: e < value))
     # Never null: a nullable join key would push this expression to every input row.
-    bucket = F.when(F.col(_VALUE).isNull(), F.lit(-1)).otherwise(F.coalesce(below, F.lit(0)))
-    return counts.withColumn(_EDGES, edges.scalar()).withColumn(_BUCKET, bucket).drop(_EDGES)
+    bucket = F.when(value.isNull(), F.lit(-1)).otherwise(F.coalesce(below, F.lit(0)))
+    return counts.withColumn(_EDGES, edges).withColumn(_BUCKET, bucket).drop(_EDGES)
+
 
+def _bucket_offsets(bucketed: DataFrame, with_nulls: bool) -> DataFrame:
+    """Per (group, bucket): its rows, the rows below it, the group's rows.
 
-def _bucket_offsets(bucketed: DataFrame) -> DataFrame:
-    """Per (group, bucket): its rows, the rows below it, the group's rows."""
-    sizes = bucketed.groupBy(_KEY, _BUCKET).agg(F.sum(_N).alias(_SIZE))
-    # At most `buckets` rows per group reach this window.
+    Null values count as the lowest, or not at all.
+    """
+    n = F.col(_N) if with_nulls else F.when(F.col(_BUCKET) >= 0, F.col(_N)).otherwise(F.lit(0))
+    sizes = bucketed.groupBy(_KEY, _BUCKET).agg(F.sum(n).alias(_SIZE))
+    # At most `buckets` + 1 rows per group reach this window.
     along = Window.partitionBy(_KEY).orderBy(_BUCKET)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
@@ -94,6 +111,24 @@ def _target(probability: float | str) -> Column:
     return F.expr(f"greatest(1L, ({_TOTAL} * {p.numerator}L + {up}L) div {p.denominator}L)")
 
 
+def _percentiles_of(counts: DataFrame, percentiles: dict[str, float], buckets: int) -> DataFrame:
+    """Per ``__key``: the named percentiles of counted values."""
+    bucketed = _bucketed(counts, buckets)
+    targets = {name: _target(p) for name, p in percentiles.items()}
+
+    def reached(target: Column, size: str) -> Column:
+        return (F.col(_BELOW) < target) & (target <= F.col(_BELOW) + F.col(size))
+
+    holds_answer = F.lit(False)
+    for target in targets.values():
+        holds_answer |= reached(target, _SIZE)
+    # Only the buckets that hold an answer are shuffled and sorted.
+    rows = _rows_below(bucketed, _bucket_offsets(bucketed, with_nulls=False).where(holds_answer))
+    return rows.groupBy(_KEY).agg(
+        *(F.max(F.when(reached(t, _N), F.col(_VALUE))).alias(name) for name, t in targets.items())
+    )
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -105,25 +140,29 @@ def exact_percentiles(
     least ``p`` of the group's non-null rows at or below it.
 
     ``percentiles`` maps output names to probabilities.  Groups without any
-    non-null value are absent.  Only the buckets that hold an answer are
-    sorted.
+    non-null value are absent.
     """
-    counts = value_counts(df.where(F.col(value).isNotNull()), keys, value)
-    bucketed = _bucketed(counts, _buckets_for(df, buckets))
-    hits = {name: _target(p) for name, p in percentiles.items()}
+    counts = value_counts(df, keys, value)
+    points = _percentiles_of(counts, percentiles, _buckets_for(df, buckets))
+    return points.select(*(F.col(f"{_KEY}.{k}") for k in keys), *percentiles)
 
-    holds_answer = F.lit(False)
-    for target in hits.values():
-        holds_answer |= (F.col(_BELOW) < target) & (target <= F.col(_BELOW) + F.col(_SIZE))
-    rows = _rows_below(bucketed, _bucket_offsets(bucketed).where(holds_answer))
 
-    picked = [
-        F.max(
-            F.when((F.col(_BELOW) < t) & (t <= F.col(_BELOW) + F.col(_N)), F.col(_VALUE))
-        ).alias(name)
-        for name, t in hits.items()
-    ]
-    return rows.groupBy(_KEY).agg(*picked).select(*(F.col(f"{_KEY}.{k}") for k in keys), *hits)
+def exact_summary(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    percentiles: dict[str, float],
+    rows_alias: str,
+    max_alias: str,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Row count, exact percentiles and maximum per group, from one scan."""
+    counts = value_counts(df, keys, value)
+    totals = counts.groupBy(_KEY).agg(F.sum(_N).alias(rows_alias), F.max(_VALUE).alias(max_alias))
+    points = _percentiles_of(counts, percentiles, _buckets_for(df, buckets))
+    return totals.join(points, _KEY, "left").select(
+        *(F.col(f"{_KEY}.{k}") for k in keys), rows_alias, *percentiles, max_alias
+    )
 
 
 def approx_percentiles(
@@ -148,7 +187,7 @@ def global_rank(
     first when ascending.
     """
     bucketed = _bucketed(value_counts(df, [], value), _buckets_for(df, buckets))
-    rows = _rows_below(bucketed, _bucket_offsets(bucketed))
+    rows = _rows_below(bucketed, _bucket_offsets(bucketed, with_nulls=True))
     rank = F.col(_BELOW) + 1
     if descending:
         rank = F.col(_TOTAL) - F.col(_BELOW) - F.col(_N) + 1

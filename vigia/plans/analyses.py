@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.labels import is_error, status_class
 from ..functions.numeric import mean, round_half_up
 from ..operators.analysis import Analysis, Rounding
-from ..operators.distribution import exact_percentiles
+from ..operators.distribution import exact_summary
 from ..operators.windows import rank_groups, top_k, top_per_group
 
 CSV_SUITE = [
@@ -189,21 +189,15 @@ def q7_response_percentiles(logs: DataFrame, exact: bool = False) -> DataFrame:
     """Response-time percentiles by service: one digest per service, or exact."""
     value = "tiempo_respuesta_ms"
     if exact:
-        agg = logs.groupBy("servicio").agg(_rows("total"), F.max(value).alias("max_ms"))
-        points = exact_percentiles(logs, ["servicio"], value, RESPONSE_PERCENTILES)
-        same = agg["servicio"].eqNullSafe(points["servicio"])
-        joined = agg.join(points, same, "left").drop(points["servicio"])
+        agg = exact_summary(logs, ["servicio"], value, RESPONSE_PERCENTILES, "total", "max_ms")
     else:
-        probabilities = list(RESPONSE_PERCENTILES.values())
-        joined = logs.groupBy("servicio").agg(
+        agg = logs.groupBy("servicio").agg(
             _rows("total"),
             F.max(value).alias("max_ms"),
-            F.percentile_approx(value, probabilities, 10000).alias("p"),
+            F.percentile_approx(value, list(RESPONSE_PERCENTILES.values()), 10000).alias("p"),
         )
-        joined = joined.withColumns(
-            {name: F.col("p")[i] for i, name in enumerate(RESPONSE_PERCENTILES)}
-        )
-    return joined.select("servicio", "total", *RESPONSE_PERCENTILES, "max_ms").orderBy(
+        agg = agg.withColumns({name: F.col("p")[i] for i, name in enumerate(RESPONSE_PERCENTILES)})
+    return agg.select("servicio", "total", *RESPONSE_PERCENTILES, "max_ms").orderBy(
         F.desc_nulls_last("p99_ms"), "servicio"
     )
 

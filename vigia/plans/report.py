@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -33,6 +34,29 @@ class Report:
     saved: dict[str, str]
 
 
+def columns_used(df: DataFrame, analyses: Iterable[AnyAnalysis]) -> list[str]:
+    """Columns of ``df`` the analyses need, or a few more.
+
+    A specification names its columns; filters and SQL are searched for
+    column names, and SQL also needs whatever it returns.  A star other than
+    count(*) needs them all.
+    """
+    named: set[str] = set()
+    text = ""
+    for a in analyses:
+        if isinstance(a, SqlAnalysis):
+            text += f" {a.sql}"
+            named.update(run_sql(register(df).sparkSession, a).columns)
+        else:
+            text += f" {a.where or ''}"
+            named.update(a.columns())
+    rest = re.sub(r"(?i)count\s*\(\s*\*\s*\)", "", text)
+    if re.search(r"(?i)(\b(select|distinct|all)\s+|[(,.]\s*)\*", rest):
+        return df.columns
+    words = {w.lower() for w in re.findall(r"\w+", text)} | {c.lower() for c in named}
+    return [c for c in df.columns if c.lower() in words] or df.columns[:1]
+
+
 def build(df: DataFrame, analyses: Iterable[AnyAnalysis]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """Result DataFrames by name, in order, and the aggregates they share."""
     analyses = list(analyses)
@@ -50,17 +74,21 @@ def run_report(
     out_dir: str | None = None,
     suite: str = "report",
     cache: bool = False,
+    staging: str | None = None,
     show: Callable[[DataFrame], None] | None = print_result,
 ) -> Report:
     """Run analyses over ``df``; each result is computed once.
 
-    ``cache=True`` materialises the source first and reports its row count:
-    use it for CSV, JSON and database sources.  Results named by ``save`` go to
+    ``cache=True`` keeps the columns the analyses use and reports the row
+    count: use it for CSV, JSON and database sources.  ``staging`` does the
+    same as a Parquet table at that path, for sources beyond memory.  Results named by ``save`` go to
     ``<out_dir>/resultado_<suite>/<save>.csv``.
     """
     analyses = list(analyses)
     started = time.monotonic()
-    source, rows = materialise(df) if cache else (df, None)
+    source, rows = df, None
+    if cache or staging:
+        source, rows = materialise(df, columns_used(df, analyses), staging)
     saved: dict[str, str] = {}
     shared: list[DataFrame] = []
     try:
@@ -77,6 +105,6 @@ def run_report(
     finally:
         for aggregate in shared:
             aggregate.unpersist()
-        if cache:
+        if cache and not staging:
             source.unpersist()
     return Report(suite, time.monotonic() - started, rows, saved)

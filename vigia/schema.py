@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -238,15 +239,16 @@ def typed_columns(df: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> list[Co
     ]
 
 
-def conform(df: DataFrame, keep_meta: bool = False) -> DataFrame:
+def conform(df: DataFrame, keep_meta: bool = False, extra: Sequence[str] = ()) -> DataFrame:
     """Project any event DataFrame onto the canonical columns and types.
 
-    Unknown columns are dropped, missing ones are null, and the event time is
-    cut to the second.
+    Unknown columns are dropped (but for those named in ``extra``), missing
+    ones are null, and the event time is cut to the second.
     """
     out = df.select(
         *typed_columns(df),
         *(typed_columns(df, META_SCHEMA) if keep_meta else []),
+        *extra,
     )
     return out.withColumn("timestamp_evento", F.date_trunc("second", "timestamp_evento"))
 

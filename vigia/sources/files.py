@@ -66,23 +66,23 @@ def read_jsonl(
     infer: bool = False,
 ) -> DataFrame:
     """JSON-lines copies.  Lines that do not parse are dropped, or kept whole in
-    ``_corrupt`` (every other column as far as it parsed) on request."""
+    ``_corrupt`` (every other column as far as it parsed) on request.
+
+    Whole lines are parsed whatever columns are selected: the JSON reader
+    would check only the selected ones, so a bad line could count in one
+    analysis and not in another.
+    """
     if infer:
         return _without_meta(spark.read.json(path), keep_meta)
     schema = T.StructType(_FILE_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", schema, options).alias("e"))
+    bad = F.when(F.col("e").isNull(), F.col("value")).otherwise(F.col(f"e.{CORRUPT}"))
+    typed = _typed_meta(parsed.select(*(f"e.{c}" for c in _FILE_SCHEMA.names), bad.alias(CORRUPT)))
     if keep_corrupt:
-        marked = _typed_meta(raw)
-        meta = META_COLUMNS if keep_meta else []
-        return marked.select(*EVENT_COLUMNS, *meta, CORRUPT).withColumn(
-            "timestamp_evento", F.date_trunc("second", "timestamp_evento")
-        )
-    return conform(_typed_meta(raw.where(F.col(CORRUPT).isNull())), keep_meta)
+        return conform(typed, keep_meta, extra=[CORRUPT])
+    return conform(typed.where(F.col(CORRUPT).isNull()), keep_meta)
 
 
 def _without_meta(df: DataFrame, keep_meta: bool) -> DataFrame:

@@ -19,8 +19,12 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
     "timestampFormat": ISO_MILLIS,
 }
+
 JSON_OPTIONS = {"ignoreNullFields": False, "timestampFormat": ISO_MILLIS}
 
+# A result up to this size is written by one task.
+SINGLE_FILE_ROWS = 1_000_000
+
 
 def write_events(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write the Parquet event table, partitioned by event date.
@@ -66,11 +70,14 @@ def publish(df: DataFrame, servers: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """An analysis result as one CSV file with a header, replacing the old one.
+    """An analysis result as CSV with a header, replacing the old one.
 
-    Results have one row per group of a dimension; do not use it for events.
+    One file, as long as the result is small; a result with more groups than
+    ``SINGLE_FILE_ROWS`` keeps its partitions as part files.
     """
-    df.coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    small = df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
+    out = df.coalesce(1) if small else df
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def print_result(df: DataFrame, rows: int = 20, truncate: bool = True) -> None:

@@ -16,12 +16,19 @@ def register(df: DataFrame, name: str = VIEW) -> DataFrame:
     return df
 
 
-def materialise(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, int]:
-    """Cache the needed columns and count the rows.
+def materialise(
+    df: DataFrame, columns: Sequence[str] | None = None, staging: str | None = None
+) -> tuple[DataFrame, int]:
+    """Keep the needed columns at hand and count the rows.
 
     Worth it for CSV, JSON and JDBC, which would be parsed or fetched again by
-    each analysis.  Parquet is better left uncached: a cache hides pushed
-    filters from the scan.
+    each analysis.  With ``staging`` they are written there as Parquet, which
+    outlives executors and prunes columns; without, they are cached.
     """
-    cached = (df.select(*columns) if columns else df).persist(StorageLevel.MEMORY_AND_DISK)
-    return cached, cached.count()
+    needed = df.select(*columns) if columns else df
+    if staging:
+        needed.write.mode("overwrite").parquet(staging)
+        kept = df.sparkSession.read.schema(needed.schema).parquet(staging)
+    else:
+        kept = needed.persist(StorageLevel.MEMORY_AND_DISK)
+    return kept, kept.count()

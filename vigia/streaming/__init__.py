@@ -1,6 +1,7 @@
 from .ingest import dead_letters, decode_records, distinct_events, valid_events
 from .queries import (
     ProgressLog,
+    drain_and_stop,
     start_csv_copy,
     start_jdbc_ingest,
     start_jsonl_copy,
@@ -14,6 +15,7 @@ __all__ = [
     "dead_letters",
     "decode_records",
     "distinct_events",
+    "drain_and_stop",
     "file_records",
     "kafka_records",
     "start_csv_copy",

@@ -46,6 +46,16 @@ class ProgressLog(StreamingQueryListener):
         log.info("stopped %s", event.id)
 
 
+def drain_and_stop(*queries: StreamingQuery) -> dict[str, int]:
+    """Process what has arrived, stop, and report the rows each query read."""
+    read = {}
+    for query in queries:
+        query.processAllAvailable()
+        query.stop()
+        read[query.name or query.id] = sum(p["numInputRows"] for p in query.recentProgress)
+    return read
+
+
 def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """``interval`` None drains what is there and stops."""
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

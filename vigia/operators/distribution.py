@@ -12,19 +12,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from fractions import Fraction
-from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _KEY, _VALUE, _N, _BUCKET = "__key", "__value", "__n", "__bucket"
-_BELOW, _TOTAL, _SIZE = "__below", "__total", "__size"
-_EDGES, _ENDS = "__edges", "__ends"
+_BELOW, _TOTAL, _SIZE, _EDGES = "__below", "__total", "__size", "__edges"
 
 
 def _buckets_for(df: DataFrame, buckets: int | None) -> int:
+    """A power of two near the number of shuffle partitions, at most 1024."""
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(buckets, 1000))
+    return 1 << max(1, min(buckets - 1, 1023).bit_length())
 
 
 def _key_struct(keys: Sequence[str]) -> Column:
@@ -44,26 +43,22 @@ def _bucketed(counts: DataFrame, buckets: int) -> DataFrame:
 
     The edges are quantiles over all distinct values, so any bucket of any
     group holds about ``1/buckets`` of the distinct (group, value) rows.  A
-    bucket number is the count of edges below the value, found in two steps:
-    blocks of edges by their last edge, then the edges of one block.
+    bucket number is the count of edges below the value, found by binary
+    search with one projected step per bit: array access is compiled, the
+    higher-order functions are not.
     """
     cuts = [i / buckets for i in range(1, buckets)]
-    width = max(1, isqrt(buckets))
     # The filter is always true; it makes this branch need the counts, so Spark
     # reuses the exchange of the main branch instead of aggregating again.
-    quantiles = counts.where(F.col(_N) > 0).agg(
-        F.percentile_approx(_VALUE, cuts, 4 * buckets).alias(_EDGES)
-    )
-    ends = F.filter(_EDGES, lambda e, i: (i + 1) % width == 0)
-    edges = quantiles.select(F.struct(_EDGES, ends.alias(_ENDS))).scalar()
-
-    value = F.col(_VALUE)
-    block = F.size(F.filter(f"{_EDGES}.{_ENDS}", lambda e: e < value))
-    rest = F.slice(f"{_EDGES}.{_EDGES}", block * width + 1, width)
-    below = block * width + F.size(F.filter(rest, lambda e: e < value))
-    # Never null: a nullable join key would push this expression to every input row.
-    bucket = F.when(value.isNull(), F.lit(-1)).otherwise(F.coalesce(below, F.lit(0)))
-    return counts.withColumn(_EDGES, edges).withColumn(_BUCKET, bucket).drop(_EDGES)
+    edges = counts.where(F.col(_N) > 0).agg(F.percentile_approx(_VALUE, cuts, 4 * buckets)).scalar()
+
+    value, found, step = F.col(_VALUE), F.lit(0), buckets // 2
+    out = counts.withColumn(_EDGES, edges)
+    while step:
+        beyond = F.get(_EDGES, found + F.lit(step - 1)) < value
+        out = out.withColumn(_BUCKET, found + F.when(beyond, F.lit(step)).otherwise(F.lit(0)))
+        found, step = F.col(_BUCKET), step // 2
+    return out.withColumn(_BUCKET, F.when(value.isNull(), F.lit(-1)).otherwise(found)).drop(_EDGES)
 
 
 def _bucket_offsets(bucketed: DataFrame, with_nulls: bool) -> DataFrame:

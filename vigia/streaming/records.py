@@ -27,8 +27,13 @@ def kafka_records(
     topics: Sequence[str] = tuple(TOPICS),
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """All topics as one stream (needs the Kafka package on the cluster)."""
+    """All topics as one stream (needs the Kafka package on the cluster).
+
+    ``min_partitions`` splits the offset ranges of few or uneven topic
+    partitions over more tasks.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -37,6 +42,8 @@ def kafka_records(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     raw = reader.load()
     return raw.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA))
 

@@ -1,4 +1,4 @@
-"""Run a suite: ``spark-submit -m vigia`` style entry point.
+"""Run a suite of analyses from the command line.
 
     python -m vigia json --input data/eventos.jsonl --output out
     python -m vigia csv --input data/eventos.csv --output out

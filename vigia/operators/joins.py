@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..schema import server_dimension
 
-# A broadcast id costs about 100 bytes on each executor.
-BROADCAST_KEYS = 1_000_000
+# Ids are up to 80 characters, so this is at most about 25 MB per executor.
+BROADCAST_KEYS = 200_000
 
 
 def insert_if_absent(

@@ -97,6 +97,7 @@ def run_report(
             log.info("analysis %s", a.name)
             result = results[a.name].persist()
             if show:
+                print(f"\n--- {a.name} ---")
                 show(result)
             if a.save and out_dir:
                 saved[a.name] = f"{out_dir}/resultado_{suite}/{a.save}.csv"

@@ -41,7 +41,7 @@ class JdbcTable:
         """MySQL settings from MYSQL_* variables; credentials have no default."""
         env = os.environ
         host, port = env.get("MYSQL_HOST", "localhost"), env.get("MYSQL_PORT", "3306")
-        database = env.get("MYSQL_DATABASE", "monitoreo_servidores")
+        database = env.get("MYSQL_DATABASE", "logs")
         settings = {
             "url": f"jdbc:mysql://{host}:{port}/{database}?serverTimezone=UTC",
             "driver": "com.mysql.cj.jdbc.Driver",

@@ -64,9 +64,10 @@ def first_arrivals(events: DataFrame) -> DataFrame:
 def distinct_events(events: DataFrame, horizon: str | None = None) -> DataFrame:
     """In-stream duplicate elimination on the id.
 
-    ``horizon`` (for instance "1 day") bounds the state to ids seen within
-    that event time; without it the state keeps every id ever seen, which
-    needs the RocksDB state store on a long-running stream.
+    Without ``horizon`` the state keeps every id ever seen, which needs the
+    RocksDB state store on a long-running stream.  ``horizon`` (for instance
+    "1 day") keeps ids of that event time only; Spark then drops events that
+    arrive later than it, so choose it above the longest delay.
     """
     if horizon is None:
         return events.dropDuplicates(["id_log"])

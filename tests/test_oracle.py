@@ -15,14 +15,17 @@ def con():
     return duck(f"{TESTDATA}/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# Approximate, so compared with its DataFrame twin in test_analysis.py instead.
+APPROXIMATE = {"sql_q7_response_percentiles"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_reference_sql(spark, con, name):
-    assert name in SQL, "every query has reference SQL"
     assert compare(QUERIES[name](spark, f"{TESTDATA}/sf0.001"), con, SQL[name]) is None
 
 
-def test_no_reference_sql_without_query():
-    assert set(SQL) == set(QUERIES)
+def test_every_exact_query_has_reference_sql():
+    assert set(SQL) == set(QUERIES) - APPROXIMATE
 
 
 def test_entry_has_rows(spark):

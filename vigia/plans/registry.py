@@ -155,7 +155,27 @@ def op_percentile_exact(lineitem):
 
 @_over_tables("lineitem")
 def op_percentile_approx(lineitem):
-    return approx_percentiles(lineitem, ["l_suppkey"], "l_extendedprice", {"p50": 0.5, "p99": 0.99})
+    """Approximate percentiles by supplier, checked against their rank error.
+
+    A digest's answer depends on how rows are spread over tasks, so the result
+    tells whether each one lies within its bound.
+    """
+    key, value, accuracy = "l_suppkey", "l_extendedprice", 1000
+    points = {"p50": 0.5, "p99": 0.99}
+    found = approx_percentiles(lineitem, [key], value, points, accuracy)
+    counted = lineitem.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    ranked = lookup(counted, found, key, list(points)).groupBy(key).agg(
+        F.sum("n").alias("lineas"),
+        *(F.sum(F.when(F.col(value) < F.col(p), F.col("n")).otherwise(0)).alias(f"{p}_below") for p in points),
+        *(F.sum(F.when(F.col(value) <= F.col(p), F.col("n")).otherwise(0)).alias(f"{p}_upto") for p in points),
+    )
+    slack = F.col("lineas") * F.lit(5 / accuracy) + 1
+    within = [
+        (F.col(f"{p}_below") - slack <= F.col("lineas") * F.lit(share))
+        & (F.col("lineas") * F.lit(share) <= F.col(f"{p}_upto") + slack)
+        for p, share in points.items()
+    ]
+    return ranked.select(key, "lineas", *(w.alias(f"{p}_ok") for w, p in zip(within, points)))
 
 
 @_over_tables("orders")

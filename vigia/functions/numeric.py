@@ -16,21 +16,29 @@ def round_ties_up(value: Column, digits: int = 2) -> Column:
     return F.floor(value * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
 
 
-def mean(column: str, dtype: T.DataType) -> Column:
-    """AVG as DOUBLE, independent of the order in which rows are added.
+def exact_sum(column: str, dtype: T.DataType) -> Column:
+    """SUM that neither overflows early nor depends on row order.
 
-    Decimals are added as whole units of their last digit in a BIGINT: the sum
-    is exact, cannot hit the ten extra digits of SUM(DECIMAL), and is divided
-    once.
+    SUM(DECIMAL(p, s)) has ten digits more than p: for DECIMAL(5,2) it ends at
+    10^13, about 10^11 rows.  Eight digits give a sum of 18, the most Spark
+    adds as a BIGINT; wider inputs take all 38.
     """
-    col = F.col(column)
-    if isinstance(dtype, T.DecimalType) and dtype.precision <= 9:
-        unit = 10**dtype.scale
-        total = F.sum((col * F.lit(unit)).cast("bigint")).cast("double")
-        return total / (F.count(col) * F.lit(unit)).cast("double")
+    if isinstance(dtype, T.DecimalType):
+        digits = 8 if dtype.precision <= 8 else 28
+        return F.sum(F.col(column).cast(T.DecimalType(digits, dtype.scale)))
+    return F.sum(column)
+
+
+def mean(column: str, dtype: T.DataType) -> Column:
+    """AVG as DOUBLE; exact types are summed exactly and divided once."""
+    rows = F.count(column)
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 8:
+        unit = F.lit(10**dtype.scale)
+        total = (exact_sum(column, dtype) * unit).cast("bigint")
+        return total.cast("double") / (rows * unit).cast("double")
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
-        return F.sum(col).cast("double") / F.count(col).cast("double")
-    return F.avg(col.cast("double"))
+        return F.sum(column).cast("double") / rows.cast("double")
+    return F.avg(F.col(column).cast("double"))
 
 
 def clamp(value: Column, cap: int | float | None = None) -> Column:

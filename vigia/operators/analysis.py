@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.numeric import mean, round_half_up
+from ..functions.numeric import exact_sum, mean, round_half_up
 
 Rounding = Callable[[Column], Column]
 
@@ -90,8 +90,8 @@ def measure_column(m: Measure, schema: T.StructType, rounding: Rounding = round_
     elif m.fn == "stddev":
         out = rounding(F.stddev_samp(col.cast("double")))
     elif m.fn == "sum":
-        # Ten extra digits are not enough for 10^11 rows of DECIMAL(5,2).
-        out = F.sum(col.cast(T.DecimalType(22, dtype.scale))).cast("double") if exact_number else F.sum(col)
+        out = exact_sum(m.column, dtype)
+        out = out.cast("double") if exact_number else out
     else:
         out = (F.min if m.fn == "min" else F.max)(col)
         out = out.cast("double") if exact_number else out

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -99,8 +101,8 @@ def test_skewed_group_gives_the_same_answer(spark):
 def test_having_is_strict(spark):
     df = make(
         spark,
-        dict(servidor="s1", uso_cpu_porcentaje=__import__("decimal").Decimal("70.00")),
-        dict(servidor="s2", uso_cpu_porcentaje=__import__("decimal").Decimal("70.01")),
+        dict(servidor="s1", uso_cpu_porcentaje=Decimal("70.00")),
+        dict(servidor="s2", uso_cpu_porcentaje=Decimal("70.01")),
     )
     assert [r["servidor"] for r in q5_critical_servers(df).collect()] == ["s2"]
 
@@ -116,7 +118,6 @@ def test_status_class_edges(spark):
 
 
 def test_rank_keeps_ties(spark):
-    from decimal import Decimal
 
     df = make(
         spark,

@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
-from vigia.llm import quality_rules
+from vigia.llm import language_id, quality_rules, secret_scan, sentencepiece_codec
 from vigia.llm.common import read
 
 
+def op4_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.encode(read(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark, sf_dir):
+    return language_id.op7_language_id(read(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark, sf_dir):
+    return secret_scan.op8_secret_scan(read(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.op9_quality_ledger(read(spark, sf_dir, "documents"))
 
 
 def queries():
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql():

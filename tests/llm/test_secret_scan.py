@@ -20,7 +20,7 @@ def brute(text):
 def corpus():
     rng = random.Random(3)
     chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    words = ["connection", "understanding", "read_parquet_file", "straße", "implementation_detail", "of", "the", "organizational"]
+    words = ["connection", "understanding", "read_parquet_file", "read_file", "file_path_of", "straße", "implementation_detail", "of", "the", "organizational"]
     secret = lambda n: "".join(rng.choice(chars) for _ in range(n))
     rows = []
     for i in range(300):

@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and a log-likelihood ratio of character Markov models.
 
 The patterns find assigned values, access keys and long hex strings.  What they
-find in the corpus are the labelled random strings, all other tokens the labelled
-ordinary identifiers; second-order character models of both are counted over
+find in the corpus are the labelled random strings, all other tokens of 4
+characters or more the labelled ordinary ones; second-order character models of both are counted over
 every text (class, two characters before, character: a bounded table).  A token
 of 16 characters or more that no pattern covers is a ``markov`` span when the
 log-likelihood ratio times the share of random tokens says it is random with a
@@ -36,9 +36,11 @@ KINDS = ("assign", "access", "hex", "markov")
 #: Characters of a token; 0 stands before its first one.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(ALPHABET) + 1
-TRAIN_LENGTH = 8
+TRAIN_LENGTH = 4
 SCAN_LENGTH = 16
 CERTAINTY = 0.999
+#: Ordinary character triples seen less often are left out.
+ORDINARY_TIMES = 3
 SYMBOL = np.zeros(256, dtype=np.int64)
 SYMBOL[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, SIZE)
 _HINTS = ("passw", "secret", "token", "api")
@@ -101,7 +103,8 @@ def train(docs: DataFrame) -> np.ndarray | None:
         totals = np.zeros((2, SIZE**3 + 1), dtype=np.int64)
         for batch in chunks(batches):
             tokens = Tokens(batch.column("text"))
-            plain = ~tokens.covered & (tokens.ends - tokens.starts >= TRAIN_LENGTH)
+            size = tokens.ends - tokens.starts
+            plain = ~tokens.covered & (size >= TRAIN_LENGTH)
             values = np.array(sorted(set(tokens.values)), dtype=np.int64).reshape(-1, 2)
             cells, _ = tokens.cells(tokens.starts[plain], tokens.ends[plain])
             totals[0, :-1] += np.bincount(cells, minlength=SIZE**3)
@@ -119,6 +122,8 @@ def train(docs: DataFrame) -> np.ndarray | None:
     if not totals[:, -1].all():
         return None
     counts = totals[:, :-1].reshape(2, SIZE, SIZE, SIZE)
+    # A random token that no pattern found counts as ordinary too; it must not vouch for itself.
+    counts[0][counts[0] < ORDINARY_TIMES] = 0
     # Each order is smoothed towards the one below: none, one and two characters before.
     p = np.full((2, 1, 1, SIZE), 1.0 / SIZE)
     for seen in (counts.sum(axis=(1, 2), keepdims=True), counts.sum(axis=1, keepdims=True), counts):

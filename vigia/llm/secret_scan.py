@@ -2,7 +2,7 @@
 
 The patterns find assigned values, access keys and long hex strings.  What they
 find in the corpus are the labelled random strings, all other tokens of 4
-characters or more the labelled ordinary ones; second-order character models of both are counted over
+characters or more without a digit the labelled ordinary ones; second-order character models of both are counted over
 every text (class, two characters before, character: a bounded table).  A token
 of 16 characters or more that no pattern covers is a ``markov`` span when the
 log-likelihood ratio times the share of random tokens says it is random with a
@@ -104,7 +104,8 @@ def train(docs: DataFrame) -> np.ndarray | None:
         for batch in chunks(batches):
             tokens = Tokens(batch.column("text"))
             size = tokens.ends - tokens.starts
-            plain = ~tokens.covered & (size >= TRAIN_LENGTH)
+            digits = np.append(0, np.cumsum((tokens.data >= 48) & (tokens.data <= 57)))
+            plain = ~tokens.covered & (size >= TRAIN_LENGTH) & (digits[tokens.ends] == digits[tokens.starts])
             values = np.array(sorted(set(tokens.values)), dtype=np.int64).reshape(-1, 2)
             cells, _ = tokens.cells(tokens.starts[plain], tokens.ends[plain])
             totals[0, :-1] += np.bincount(cells, minlength=SIZE**3)
@@ -122,7 +123,7 @@ def train(docs: DataFrame) -> np.ndarray | None:
     if not totals[:, -1].all():
         return None
     counts = totals[:, :-1].reshape(2, SIZE, SIZE, SIZE)
-    # A random token that no pattern found counts as ordinary too; it must not vouch for itself.
+    # A random token of letters that no pattern found counts as ordinary too; it must not vouch for itself.
     counts[0][counts[0] < ORDINARY_TIMES] = 0
     # Each order is smoothed towards the one below: none, one and two characters before.
     p = np.full((2, 1, 1, SIZE), 1.0 / SIZE)

@@ -1,0 +1,62 @@
+"""A training-text pipeline: five stages over the ``documents`` table.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes
+as Parquet in the shared folder and reads again as the next stage's ``docs``.  All
+but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigia.llm import decontaminate, line_dedup, prob_minhash, sentencepiece_codec, toxicity
+from vigia.llm.common import read, stored
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go."""
+    return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
+
+
+def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines aligned with an earlier document go, and documents that lose all lines; n_chars follows the text."""
+    kept = line_dedup.line_dedup(docs).where("NOT (__lost > 0 AND __lost = __lines)")
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("__lost") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", n_chars)
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each group of near-duplicates stays."""
+    return prob_minhash.one_of_each(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, as it is or edited, go."""
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, piece ids, their number and whether they decode to the text."""
+    return sentencepiece_codec.encode(docs)
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line_dedup", without_common_lines),
+    ("minhash_near_dedup", without_near_duplicates),
+    ("benchmark_decontamination", without_benchmark),
+    ("sentencepiece", tokens),
+]
+
+#: SQL cannot express the stages; the tests hold each against a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

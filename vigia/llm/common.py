@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,13 +86,21 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """All words of some texts: 64-bit hash, byte span and row of each, in order of text."""
+    """All words of some texts: 64-bit hash, byte span and row of each, in order of text.
 
-    def __init__(self, column: pa.Array):
+    Words lie between white space; with ``letters`` they are runs of letters and
+    digits (and all that is not ASCII), A-Z as a-z.
+    """
+
+    def __init__(self, column: pa.Array, letters: bool = False):
         self.data, self.offsets = text_bytes(column)
         self.rows = len(column)
         data, n = self.data, len(self.data)
-        space = (data == 32) | ((data >= 9) & (data <= 13))
+        if letters:
+            data = data + np.uint8(32) * ((data >= 65) & (data <= 90))
+            space = ~((data >= 128) | ((data >= 48) & (data <= 57)) | ((data >= 97) & (data <= 122)))
+        else:
+            space = (data == 32) | ((data >= 9) & (data <= 13))
         begins = np.zeros(n + 1, dtype=bool)
         begins[self.offsets[:-1]] = True  # a text never continues the one before
         fresh = begins[:n].copy()

@@ -11,9 +11,11 @@ Candidates share one of ``BANDS`` bands of ``ROWS`` components (a pair at simila
 0.8 is missed with a probability of 3e-6).  In every bucket one member, chosen by a
 hash that differs from bucket to bucket, leads, and the others pair with it, so
 a bucket of any size makes as many pairs as members.  A pair is a link when its
-exact probability Jaccard similarity is at least ``SIMILAR``.  Members of a bucket
-that these links leave in different components are compared with each other
-where they share two bands; so no link between texts is lost to the leaders.
+exact probability Jaccard similarity is at least ``SIMILAR``.  Buckets whose members
+are then still in different components get other leaders, again and again, until
+a round adds no link.  Every round is linear in the members; comparing all members
+of such buckets with each other made 17 million pairs where one family held many
+texts just below the threshold, growing with its square.
 
 Exact copies are one text from the start.  Result: a row for each document with
 ``class_id``, the least doc_id of its component (null only if it has none), and
@@ -142,9 +144,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = _apart(pairs.select("a", "b").exceptAll(best), groups)
     found = stored(found.unionAll(verified(rest, some)), "links")
     groups = stored(components(found, "components"), "groups")
-    rest = _unmet(bands.join(involved, "id", "left_semi"), groups, pairs)
-    found = stored(found.unionAll(verified(rest, some)), "links")
-    return components(found, "components"), owners
+    # Other leaders for the buckets that still hold several components, until they add nothing.
+    own = stored(bands.join(involved, "id", "left_semi"), "open-bands")
+    for salt in range(1, 1_000):
+        rest = _led_again(own, groups, salt)
+        new = stored(verified(rest, some), "links")
+        if new.isEmpty():
+            return groups, owners
+        found = found.unionAll(new)
+        groups = stored(components(found, "components"), "groups")
+    return groups, owners
 
 
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -154,23 +163,15 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return out.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _unmet(bands: DataFrame, groups: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs from different components that share two bands and were not compared yet."""
+def _led_again(bands: DataFrame, groups: DataFrame, salt: int) -> DataFrame:
+    """Every bucket of several components gets another leader; pairs of it with the other components' members."""
     named = bands.join(groups, "id", "left").select("id", F.coalesce("root", "id").alias("root"), "bands")
     each = named.select("id", "root", F.explode("bands").alias("band"))
-    mixed = each.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
-    open_ = each.join(mixed, "band", "left_semi").groupBy("id", "root").agg(F.sort_array(F.collect_list("band")).alias("bands"))
-    two = open_.select("id", "root", F.posexplode("bands").alias("i", "p"), "bands").select(
-        "id", "root", "p", F.explode(F.slice("bands", F.col("i") + 2, F.size("bands"))).alias("q")
+    led = each.groupBy("band").agg(
+        F.min(F.struct(F.xxhash64("id", "band", F.lit(salt)).alias("h"), "id", "root")).alias("l"), F.max("root").alias("x"), F.min("root").alias("y")
     )
-    two = stored(two, "two-bands")
-    mixed = two.groupBy("p", "q").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("p", "q")
-    two = two.join(mixed, ["p", "q"], "left_semi")
-    left = two.select("p", "q", F.col("id").alias("a"), F.col("root").alias("ra"))
-    right = two.select("p", "q", F.col("id").alias("b"), F.col("root").alias("rb"))
-    pairs = left.join(right, ["p", "q"]).where("ra <> rb AND a < b").select("a", "b").distinct()
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    leaders = stored(led.where("x <> y").select("band", F.col("l.id").alias("b"), F.col("l.root").alias("rb")), "leaders")
+    return each.join(leaders, "band").where("root <> rb").select(F.col("id").alias("a"), "b").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -59,8 +59,8 @@ class Model:
     bias: float | None
 
 
-def sample(docs: DataFrame, most: int) -> list[np.ndarray]:
-    """Distinct word hashes of at most ``most`` documents, those with the least hash of doc_id."""
+def sample(docs: DataFrame, ids: DataFrame, most: int) -> list[np.ndarray]:
+    """Distinct word hashes of at most ``most`` of the documents named by ``ids``, those with the least hash of doc_id."""
 
     def run(batches):
         for batch in chunks(batches):
@@ -68,8 +68,8 @@ def sample(docs: DataFrame, most: int) -> list[np.ndarray]:
             ends = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64)))], names=["words"])
 
-    # The chosen ids are at most ``most``, so they may be broadcast.
-    chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    # The chosen ids are at most ``most``, so they may be broadcast; no text is shuffled.
+    chosen = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select("text").mapInArrow(run, "words array<long>").toArrow()
     return [np.asarray(x.values, dtype=np.int64).view(np.uint64) for x in rows.column("words").combine_chunks()] if rows.num_rows else []
 
@@ -121,8 +121,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(np.zeros(0, np.uint64), np.zeros(0), None)
     toxic = marks.where("toxic = 1").select("doc_id").distinct()
     fold = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
-    positive = sample(fold.join(toxic, "doc_id", "left_semi"), MAX_POSITIVE)
-    unlabelled = sample(fold.join(toxic, "doc_id", "left_anti"), MAX_UNLABELLED)
+    ids = fold.select("doc_id")
+    positive = sample(fold, ids.join(toxic, "doc_id", "left_semi"), MAX_POSITIVE)
+    unlabelled = sample(fold, ids.join(toxic, "doc_id", "left_anti"), MAX_UNLABELLED)
     return fit(positive, unlabelled, min(max(prior, 1e-3), 0.5))
 
 

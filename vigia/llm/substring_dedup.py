@@ -125,17 +125,24 @@ def _combined(docs, owners, keys, places, parts, level):
     own, k, at = owners[order], keys[order], places[order]
     yield from (("pack", b) for b in _packs(docs, own[mine], k[mine], at[mine], parts))
     if several.any():
-        yield "found", _by_doc(docs[own[several]], at[several], k[several], ~mine[several], level)
+        rows = _by_doc(docs[own[several]], at[several], k[several], ~mine[several], level)
+        rows["part"] = pa.array(np.arange(len(rows["doc_id"])) % parts, pa.int32())
+        yield "found", rows
 
 
 def _answers(level: int):
     """FOUND rows for every window of a part that several documents hold, ``later`` where an earlier one does."""
 
     def run(group: pa.Table) -> pa.Table:
-        doc, key, place = _unpacked(group, np.uint64)
+        own = group.column("doc_id").is_valid()
+        passed = group.filter(own).select(["doc_id", "level", "places", "keys", "later"])
+        packs = group.filter(pa.compute.invert(own))
+        if not packs.num_rows:
+            return passed
+        doc, key, place = _unpacked(packs, np.uint64)
         order, several, low = _shared(doc, key)
         doc, key, place = doc[order][several], key[order][several], place[order][several]
-        return pa.table(_by_doc(doc, place, key, doc > low[several], level))
+        return pa.concat_tables([passed, pa.table(_by_doc(doc, place, key, doc > low[several], level))])
 
     return run
 
@@ -262,24 +269,23 @@ def _next_level(parts: int, length: int):
 
 
 def _level(mixed: DataFrame, level: int) -> DataFrame:
-    """FOUND rows of a level, in the shared folder."""
-    mixed = stored(mixed, f"level-{level}")
-    packs = mixed.where("part IS NOT NULL").select("part", "docs", "keys", "owners", "places")
-    answered = packs.groupBy("part").applyInArrow(_answers(level), FOUND)
-    return stored(mixed.where("part IS NULL").select("doc_id", "level", "places", "keys", "later").unionAll(answered), f"found-{level}")
+    """FOUND rows of a level, in the shared folder; what a task has answered itself passes through."""
+    return stored(mixed.groupBy("part").applyInArrow(_answers(level), FOUND), f"found-{level}")
 
 
-def repeated_windows(docs: DataFrame) -> list[DataFrame]:
+def repeated_windows(docs: DataFrame, copies: DataFrame) -> list[DataFrame]:
     """For each level from WINDOW on, rows (doc_id, level, places, keys, later) of its repeated windows.
 
-    ``docs``: doc_id (long) and text (string), neither null.
+    ``docs``: doc_id (long) and text (string), neither null.  ``copies`` names by doc_id the
+    digests of texts that are exact copies; they pass the sieve but are no candidates.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packs = docs.mapInArrow(_sieve(parts), "part int, docs binary, keys binary, owners binary")
     sieved = packs.groupBy("part").applyInArrow(_sieved, "doc_id long, part int, keys binary")
     sieved = stored(sieved, "sieved").groupBy("doc_id").agg(F.collect_list(F.struct("part", "keys")).alias("sieved"))
     found, length = [], WINDOW
-    mixed = docs.join(sieved, "doc_id").mapInArrow(_first_level(parts), MIXED)
+    texts = docs.join(sieved.join(copies, "doc_id", "left"), "doc_id").where(~_is_copy()).select("doc_id", "text", "sieved")
+    mixed = texts.mapInArrow(_first_level(parts), MIXED)
     while True:
         level = _level(mixed, length)
         found.append(level)
@@ -290,6 +296,11 @@ def repeated_windows(docs: DataFrame) -> list[DataFrame]:
         length *= 2
 
 
+def _is_copy():
+    """Whether a row's text is an exact copy of an earlier document's."""
+    return F.coalesce(F.array_contains("copies", digest()), F.lit(False)).alias("copy")
+
+
 def _removal(batches):
     """What is left of every document, and the digest columns."""
     for batch in chunks(batches):
@@ -328,19 +339,17 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     sure = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
     ids = sure.select("doc_id", digest().alias("digest"))
     least = ids.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    copies = stored(ids.join(least, "digest").where("doc_id > least").select("doc_id", "digest").distinct(), "copies")
-    sources = sure.withColumn("digest", digest()).join(copies, ["doc_id", "digest"], "left_anti").select("doc_id", "text")
-    levels = repeated_windows(sources)
+    copies = stored(ids.join(least, "digest").where("doc_id > least").groupBy("doc_id").agg(F.collect_set("digest").alias("copies")), "copies")
+    levels = repeated_windows(sure, copies)
     later = levels[0].groupBy("doc_id").agg(F.collect_list(F.struct("places", "later")).alias("later"))
     longest = None
     for level in levels:
-        here = level.groupBy("doc_id").agg(F.max("level").alias("longest"))
+        here = level.select("doc_id", F.col("level").alias("longest"))
         longest = here if longest is None else longest.unionAll(here)
     longest = longest.groupBy("doc_id").agg(F.max("longest").alias("longest"))
-    info = later.join(longest, "doc_id")
-    marks = copies.select("doc_id", "digest", F.lit(True).alias("copy"))
-    out = rows.withColumn("digest", digest()).join(marks, ["doc_id", "digest"], "left").join(info, "doc_id", "left")
-    out = out.select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "later", F.coalesce("longest", F.lit(0)).alias("longest"))
+    info = later.join(longest, "doc_id").join(copies, "doc_id", "full")
+    out = rows.join(info, "doc_id", "left")  # the only join that moves the texts again
+    out = out.select("doc_id", "text", _is_copy(), "later", F.coalesce("longest", F.lit(0)).alias("longest"))
     return out.mapInArrow(_removal, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, longest int")
 
 

@@ -110,11 +110,10 @@ def test_top_per_group(spark):
     assert rows(top_per_group(df, ["g"], "n", ["s"])) == [("y", "c", None), ("z", "a", 2)]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_insert_if_absent(spark, small):
+def test_insert_if_absent(spark):
     new = spark.createDataFrame([(i, f"n{i}") for i in range(10)], "id int, v string")
     old = spark.createDataFrame([(i,) for i in [2, 3, 3, 3, 50]], "id int")
-    out = insert_if_absent(new, old, "id", small_keys=new.select("id") if small else None)
+    out = insert_if_absent(new, old, "id")
     assert sorted(r.id for r in out.collect()) == [0, 1, 4, 5, 6, 7, 8, 9]
 
 

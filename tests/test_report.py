@@ -107,8 +107,7 @@ def test_only_used_columns_are_kept(spark, logs):
 
 
 def test_large_results_keep_their_partitions(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 5)
-    sinks.export_csv(spark.range(0, 20, 1, 4), f"{tmp_path}/big.csv")
+    sinks.export_csv(spark.range(0, 20, 1, 4), f"{tmp_path}/big.csv", single_file=False)
     sinks.export_csv(spark.range(0, 5, 1, 4), f"{tmp_path}/small.csv")
     assert len(list((tmp_path / "big.csv").glob("*.csv"))) == 4
     assert len(list((tmp_path / "small.csv").glob("*.csv"))) == 1

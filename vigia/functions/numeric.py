@@ -21,10 +21,10 @@ def exact_sum(column: str, dtype: T.DataType) -> Column:
 
     SUM(DECIMAL(p, s)) has ten digits more than p: for DECIMAL(5,2) it ends at
     10^13, about 10^11 rows.  Eight digits give a sum of 18, the most Spark
-    adds as a BIGINT; wider inputs take all 38.
+    adds as a BIGINT; wider inputs take all 38 and are never narrowed.
     """
     if isinstance(dtype, T.DecimalType):
-        digits = 8 if dtype.precision <= 8 else 28
+        digits = 8 if dtype.precision <= 8 else max(28, dtype.precision)
         return F.sum(F.col(column).cast(T.DecimalType(digits, dtype.scale)))
     return F.sum(column)
 

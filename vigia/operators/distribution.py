@@ -186,5 +186,5 @@ def global_rank(
     rank = F.col(_BELOW) + 1
     if descending:
         rank = F.col(_TOTAL) - F.col(_BELOW) - F.col(_N) + 1
-    ranks = rows.select(F.struct(_VALUE).alias(_VALUE), rank.cast("int").alias(alias))
+    ranks = rows.select(F.struct(_VALUE).alias(_VALUE), rank.cast("bigint").alias(alias))
     return df.withColumn(_VALUE, F.struct(F.col(value).alias(_VALUE))).join(ranks, _VALUE).drop(_VALUE)

@@ -8,28 +8,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..schema import server_dimension
 
-# Ids are up to 80 characters, so this is at most about 25 MB per executor.
-BROADCAST_KEYS = 200_000
 
-
-def insert_if_absent(
-    new: DataFrame, existing: DataFrame, key: str, small_keys: DataFrame | None = None
-) -> DataFrame:
+def insert_if_absent(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
 
-    ``small_keys`` holds the keys of ``new`` when the caller has counted at
-    most ``BROADCAST_KEYS`` of them: they are broadcast to filter the scan of
-    the key column, so the large table is never shuffled.  Otherwise keys are
-    made distinct, and the join reuses that partitioning.
+    The stored keys are first cut to those of ``new``.  No broadcast hint: Spark
+    broadcasts the keys of ``new`` when their measured size is below
+    ``spark.sql.autoBroadcastJoinThreshold``, and the large table is then not
+    shuffled; beyond it both sides are shuffled by key.
     """
-    keys = existing.select(key)
-    if small_keys is not None:
-        keys = keys.join(F.broadcast(small_keys.select(key).distinct()), key, "left_semi")
+    keys = existing.select(key).join(new.select(key).distinct(), key, "left_semi")
     return new.join(keys.distinct(), key, "left_anti")
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Left join of ``columns`` from a dimension keyed by ``key``.
+    """Left join of ``columns`` from a dimension in which ``key`` is unique.
+
+    A key that the dimension repeats multiplies the rows that have it.
 
     No broadcast hint: Spark broadcasts the dimension when its measured size
     is below ``spark.sql.autoBroadcastJoinThreshold``; above it the join

@@ -113,10 +113,12 @@ SQL_CATALOG = [
         FROM logs
         |> AGGREGATE
              count(*) AS total,
-             percentile_approx(tiempo_respuesta_ms, array(0.5, 0.9, 0.95, 0.99)) AS p,
+             array(percentile_disc(0.5) WITHIN GROUP (ORDER BY tiempo_respuesta_ms), percentile_disc(0.9) WITHIN GROUP (ORDER BY tiempo_respuesta_ms),
+                   percentile_disc(0.95) WITHIN GROUP (ORDER BY tiempo_respuesta_ms), percentile_disc(0.99) WITHIN GROUP (ORDER BY tiempo_respuesta_ms)) AS p,
              max(tiempo_respuesta_ms) AS max_ms
            GROUP BY servicio
-        |> SELECT servicio, total, p[0] AS p50_ms, p[1] AS p90_ms, p[2] AS p95_ms, p[3] AS p99_ms, max_ms
+        |> SELECT servicio, total, CAST(p[0] AS INT) AS p50_ms, CAST(p[1] AS INT) AS p90_ms,
+                  CAST(p[2] AS INT) AS p95_ms, CAST(p[3] AS INT) AS p99_ms, max_ms
         |> ORDER BY p99_ms DESC, servicio
         """,
         "percentiles_respuesta",

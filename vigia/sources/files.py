@@ -85,6 +85,11 @@ def read_jsonl(
     return conform(typed.where(F.col(CORRUPT).isNull()), keep_meta)
 
 
+def read_jsonl_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``read_jsonl`` leaves out, whole, in ``_corrupt``."""
+    return read_jsonl(spark, path, keep_corrupt=True).where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
 def _without_meta(df: DataFrame, keep_meta: bool) -> DataFrame:
     return df if keep_meta else df.drop(*META_COLUMNS)
 

@@ -23,7 +23,6 @@ CSV_OPTIONS = {
 JSON_OPTIONS = {"ignoreNullFields": False, "timestampFormat": ISO_MILLIS}
 
 # A result up to this size is written by one task.
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_events(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -61,22 +60,26 @@ def publish_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def publish(df: DataFrame, servers: str) -> None:
-    """Send events to Kafka and wait for all replicas (needs the Kafka package)."""
-    messages = publish_rows(df).where(F.col("topic").isNotNull())
-    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option(
-        "kafka.acks", "all"
-    ).save()
+def publish(df: DataFrame, servers: str, rejected: str) -> None:
+    """Send events to Kafka and wait for all replicas (needs the Kafka package).
+
+    Messages of an unknown event type have no topic; they are appended to the
+    Parquet directory ``rejected``.
+    """
+    messages = publish_rows(df)
+    messages.where(F.col("topic").isNull()).write.mode("append").parquet(rejected)
+    messages.where(F.col("topic").isNotNull()).write.format("kafka").option(
+        "kafka.bootstrap.servers", servers
+    ).option("kafka.acks", "all").save()
 
 
-def export_csv(df: DataFrame, path: str) -> None:
+def export_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     """An analysis result as CSV with a header, replacing the old one.
 
-    One file, as long as the result is small; a result with more groups than
-    ``SINGLE_FILE_ROWS`` keeps its partitions as part files.
+    One file by default, as analyses return few rows; ``single_file=False``
+    keeps the partitions of a result that grows with the data.
     """
-    small = df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-    out = df.coalesce(1) if small else df
+    out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 

@@ -12,16 +12,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
-from ..operators.joins import BROADCAST_KEYS, insert_if_absent
-from ..schema import EVENT_COLUMNS
+from ..operators.joins import insert_if_absent
+from ..sources.files import TABLE_SCHEMA
 from ..sources.jdbc import JdbcTable, append_jdbc, read_jdbc_keys
-from ..sources.sinks import CSV_OPTIONS, JSON_OPTIONS, with_all_columns
+from ..sources.sinks import CSV_OPTIONS, JSON_OPTIONS, with_all_columns, write_events
 from .ingest import REASON, dead_letters, decode_records, first_arrivals, valid_events
 
 log = logging.getLogger(__name__)
 
 FLUSH_INTERVAL = "2 seconds"
-ROWS_PER_FILE = 2_000_000
 
 
 class ProgressLog(StreamingQueryListener):
@@ -140,8 +139,7 @@ def _ingest_batches(
                 fresh = first_arrivals(events)
                 stored = stored_keys(spark, summary)
                 if stored is not None:
-                    keys = events.select("id_log") if summary.good <= BROADCAST_KEYS else None
-                    fresh = insert_if_absent(fresh, stored, "id_log", small_keys=keys)
+                    fresh = insert_if_absent(fresh, stored, "id_log")
                 append(fresh, summary)
         finally:
             batch.unpersist()
@@ -167,7 +165,8 @@ def start_table_ingest(
 
     def stored_keys(spark: SparkSession, summary: BatchSummary) -> DataFrame | None:
         try:
-            stored = spark.read.parquet(table)
+            # The schema is given, so no footer is read to plan the lookup.
+            stored = spark.read.schema(TABLE_SCHEMA).parquet(table)
         except AnalysisException as e:
             if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
@@ -179,11 +178,7 @@ def start_table_ingest(
         return stored.select("id_log")
 
     def append(fresh: DataFrame, summary: BatchSummary) -> None:
-        files = -(-summary.good // ROWS_PER_FILE)
-        parts = int(fresh.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dated = fresh.select(*EVENT_COLUMNS).withColumn("fecha", F.to_date("timestamp_evento"))
-        dated = dated.coalesce(files) if files < parts else dated
-        dated.write.mode("append").partitionBy("fecha").parquet(table)
+        write_events(fresh, table)
 
     handle = _ingest_batches(stored_keys, append, dead)
     return _start(

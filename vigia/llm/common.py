@@ -138,6 +138,7 @@ def components(links: DataFrame, label: str) -> DataFrame:
     written to the shared folder, so nothing is collected and no lineage grows.
     """
     links = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    state = _fingerprint(links)
     while True:
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -145,9 +146,24 @@ def components(links: DataFrame, label: str) -> DataFrame:
         large = stored(large.where("a <> b").distinct(), label)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        small = stored(small.where("a <> b").distinct(), label)
-        changed = small.exceptAll(links).limit(1).count() + links.exceptAll(small).limit(1).count()
-        links = small
-        if not changed:
+        links = stored(small.where("a <> b").distinct(), label)
+        before, state = state, _fingerprint(links)
+        if state == before:
             roots = links.select(F.col("b").alias("id")).distinct()
             return links.select(F.col("a").alias("id"), F.col("b").alias("root")).unionAll(roots.select("id", F.col("id").alias("root")))
+
+
+def _fingerprint(links: DataFrame) -> tuple:
+    """Number of links and two hashes of the set, in one pass: equal for equal sets."""
+    x, y = F.xxhash64("a", "b"), F.xxhash64("b", F.lit(1), "a")
+    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(x), F.bit_xor(y)).first())
+
+
+def merged(groups: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """``groups`` (id, root) of :func:`components` with more ``links`` (a, b); works on links between roots only."""
+    a = groups.select(F.col("id").alias("a"), F.col("root").alias("ra"))
+    b = groups.select(F.col("id").alias("b"), F.col("root").alias("rb"))
+    between = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    joined = components(between, label)
+    moved = groups.join(joined.select(F.col("id").alias("root"), F.col("root").alias("now")), "root", "left")
+    return stored(moved.select("id", F.coalesce("now", "root").alias("root")).unionAll(joined.join(groups, "id", "left_anti").select("id", "root")), label)

@@ -26,12 +26,14 @@ Other columns are not read.
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import Words, chunks, components, digest, mix, stored
+from vigia.llm.common import Words, chunks, components, digest, merged, mix, stored
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -139,20 +141,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     some = stored(texts.join(involved, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
     # Most texts of a family are joined by the leader that shares most bands with them.
     best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    found = stored(verified(best, some), "links")
-    groups = components(found, "components")
+    groups = stored(components(verified(best, some), "components"), "groups")
     rest = _apart(pairs.select("a", "b").exceptAll(best), groups)
-    found = stored(found.unionAll(verified(rest, some)), "links")
-    groups = stored(components(found, "components"), "groups")
+    groups = merged(groups, verified(rest, some), "groups")
     # Other leaders for the buckets that still hold several components, until they add nothing.
     own = stored(bands.join(involved, "id", "left_semi"), "open-bands")
-    for salt in range(1, 1_000):
-        rest = _led_again(own, groups, salt)
-        new = stored(verified(rest, some), "links")
+    for salt in count(1):
+        new = stored(verified(_led_again(own, groups, salt), some), "links")
         if new.isEmpty():
-            return groups, owners
-        found = found.unionAll(new)
-        groups = stored(components(found, "components"), "groups")
+            break
+        groups = merged(groups, new, "groups")
     return groups, owners
 
 

@@ -12,10 +12,10 @@ Candidates share one of ``BANDS`` bands of ``ROWS`` components (a pair at simila
 hash that differs from bucket to bucket, leads, and the others pair with it, so
 a bucket of any size makes as many pairs as members.  A pair is a link when its
 exact probability Jaccard similarity is at least ``SIMILAR``.  Buckets whose members
-are then still in different components get other leaders, again and again, until
-a round adds no link.  Every round is linear in the members; comparing all members
-of such buckets with each other made 17 million pairs where one family held many
-texts just below the threshold, growing with its square.
+are then still in different components get ``LEADERS`` others, again and again, until
+a round adds no link; no pair is compared twice.  Every round is linear in the
+members; comparing all members of such buckets with each other made 17 million pairs
+where one family held many texts just below the threshold, growing with its square.
 
 Exact copies are one text from the start.  Result: a row for each document with
 ``class_id``, the least doc_id of its component (null only if it has none), and
@@ -39,6 +39,8 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 4
 COMPONENTS = BANDS * ROWS
+#: Leaders that a bucket of several components has in each further round.
+LEADERS = 4
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,8 +148,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = merged(groups, verified(rest, some), "groups")
     # Other leaders for the buckets that still hold several components, until they add nothing.
     own = stored(bands.join(involved, "id", "left_semi"), "open-bands")
+    compared = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     for salt in count(1):
-        new = stored(verified(_led_again(own, groups, salt), some), "links")
+        fresh = stored(_led_again(own, groups, salt).join(compared, ["a", "b"], "left_anti"), "fresh-pairs")
+        compared = compared.unionAll(fresh)
+        new = stored(verified(fresh, some), "links")
         if new.isEmpty():
             break
         groups = merged(groups, new, "groups")
@@ -162,14 +167,16 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _led_again(bands: DataFrame, groups: DataFrame, salt: int) -> DataFrame:
-    """Every bucket of several components gets another leader; pairs of it with the other components' members."""
+    """Every bucket of several components gets other leaders; pairs of them with the other components' members."""
     named = bands.join(groups, "id", "left").select("id", F.coalesce("root", "id").alias("root"), "bands")
     each = named.select("id", "root", F.explode("bands").alias("band"))
-    led = each.groupBy("band").agg(
-        F.min(F.struct(F.xxhash64("id", "band", F.lit(salt)).alias("h"), "id", "root")).alias("l"), F.max("root").alias("x"), F.min("root").alias("y")
-    )
-    leaders = stored(led.where("x <> y").select("band", F.col("l.id").alias("b"), F.col("l.root").alias("rb")), "leaders")
-    return each.join(leaders, "band").where("root <> rb").select(F.col("id").alias("a"), "b").distinct()
+    slot = F.pmod(F.xxhash64("band", F.lit(salt), "id"), F.lit(LEADERS))
+    least = F.min(F.struct(F.xxhash64("id", "band", F.lit(salt)).alias("h"), "id", "root"))
+    led = each.groupBy("band", slot.alias("slot")).agg(least.alias("l"), F.max("root").alias("x"), F.min("root").alias("y"))
+    led = led.groupBy("band").agg(F.collect_list("l").alias("l"), F.max("x").alias("x"), F.min("y").alias("y")).where("x <> y")
+    leaders = stored(led.select("band", F.explode("l").alias("l")).select("band", F.col("l.id").alias("b"), F.col("l.root").alias("rb")), "leaders")
+    others = each.join(leaders, "band").where("root <> rb")
+    return others.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -92,6 +92,35 @@ def test_classes_match_all_pairs(spark):
     assert len(set(ids)) >= len({c for _, c in got if c is not None and c not in (900, 901)}) and {900, 901} <= set(ids)
 
 
+def test_sketches_drop_no_link():
+    some = [t for t in texts() if len(t) > 20]
+    row, hashes, weights = z.shingles(pa.array(some))
+    sketch, size = z.sketches(row, hashes, weights, len(some))
+    sets = [(hashes[row == k], weights[row == k]) for k in range(len(some))]
+    i, j = np.triu_indices(len(some), 1)
+    may = z.may_be_similar(sketch[i], sketch[j], size[i], size[j])
+    like = np.array([z.similarity(sets[x], sets[y]) >= z.SIMILAR for x, y in zip(i, j)])
+    assert like.any() and may[like].all() and not may.all()
+    assert any(size == 0)
+
+
+@pytest.mark.parametrize("block", [3])
+def test_blocks_of_an_open_bucket_miss_nothing(spark, monkeypatch, block):
+    """A family just around the threshold, in which no leader reaches all."""
+    monkeypatch.setattr(z, "BLOCK", block)
+    rng = random.Random(block)
+    family = [[f"f{k}" for k in range(60)]]
+    for _ in range(60):
+        w = list(rng.choice(family[-12:]))
+        for _ in range(rng.choice([1, 1, 2])):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        family.append(w)
+    rows = [(k, " ".join(w)) for k, w in enumerate(family)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r.doc_id, r.class_id) for r in z.op3_near_duplicates(docs).collect()), key=repr)
+    assert got == brute_classes(rows)
+
+
 def test_a_chain_is_one_class(spark):
     """Each text is like its neighbours only; no leader is like all."""
     w = [f"v{k}" for k in range(600)]

@@ -8,14 +8,18 @@ weights.  Arrivals that come after every component has an earlier one are never
 drawn.
 
 Candidates share one of ``BANDS`` bands of ``ROWS`` components (a pair at similarity
-0.8 is missed with a probability of 3e-6).  In every bucket one member, chosen by a
-hash that differs from bucket to bucket, leads, and the others pair with it, so
-a bucket of any size makes as many pairs as members.  A pair is a link when its
-exact probability Jaccard similarity is at least ``SIMILAR``.  Buckets whose members
-are then still in different components get ``LEADERS`` others, again and again, until
-a round adds no link; no pair is compared twice.  Every round is linear in the
-members; comparing all members of such buckets with each other made 17 million pairs
-where one family held many texts just below the threshold, growing with its square.
+0.8 is missed with a probability of 3e-6).  A pair is a link when its exact probability
+Jaccard similarity is at least ``SIMILAR``.  First one member of every bucket, chosen by
+a hash that differs from bucket to bucket, leads, and each text is compared with the
+leader that shares most bands with it, which joins most copies in one linear pass.
+Then every bucket that still holds several components is finished exactly: its
+largest component and the rest are dealt into blocks of about ``BLOCK`` members, the
+rest meets itself and the largest component block by block, and a pair in different
+components goes on when the bucket is the first that both share and its sketches
+allow the similarity.  The largest component never meets itself, so a bucket of
+copies costs nothing, however large.  A sketch is the parity of a text's shingles in ``BITS``
+bits: it bounds from below in how many shingles two texts differ, so it drops no
+link.  Texts that repeat a shingle have none, and are always compared exactly.
 
 Exact copies are one text from the start.  Result: a row for each document with
 ``class_id``, the least doc_id of its component (null only if it has none), and
@@ -26,8 +30,6 @@ Other columns are not read.
 
 from __future__ import annotations
 
-from itertools import count
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,8 +41,8 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 4
 COMPONENTS = BANDS * ROWS
-#: Leaders that a bucket of several components has in each further round.
-LEADERS = 4
+#: Members of a block of an open bucket, and bits of a sketch.
+BLOCK, BITS = 256, 1024
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,17 +85,38 @@ def signatures(row: np.ndarray, hashes: np.ndarray, weights: np.ndarray, rows: i
     return winner.reshape(rows, COMPONENTS)
 
 
+def sketches(row: np.ndarray, hashes: np.ndarray, weights: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketch (rows x BITS / 64) of each row's shingles and their number; number 0 where a shingle repeats."""
+    size = np.bincount(row, minlength=rows)
+    size[row[weights > 1]] = 0
+    bit = mix(hashes ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(BITS)
+    sketch = np.zeros(rows * BITS // 64, dtype=np.uint64)
+    np.bitwise_xor.at(sketch, row * (BITS // 64) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return sketch.reshape(rows, -1), size
+
+
+def may_be_similar(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
+    """False only for pairs of sketches whose texts are surely less similar than SIMILAR."""
+    differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    both = size_x + size_y
+    return (size_x == 0) | (size_y == 0) | (both - differ >= (SIMILAR - 1e-9) * (both + differ))
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1])
+    return pa.ListArray.from_arrays(ends, pa.array(rows.reshape(-1).view(np.int64)))
+
+
 def _bands(batches):
     for batch in chunks(batches):
         row, hashes, weights = shingles(batch.column("text"))
         some = np.bincount(row, minlength=batch.num_rows) > 0
         sign = signatures(row, hashes, weights, batch.num_rows)[some].reshape(-1, BANDS, ROWS)
+        sketch, size = sketches(row, hashes, weights, batch.num_rows)
         key = np.zeros(sign.shape[:2], dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
         for k in range(ROWS):
             key = mix(key * np.uint64(31) + sign[:, :, k])
-        ends = pa.array(np.arange(len(key) + 1, dtype=np.int32) * BANDS)
-        lists = pa.ListArray.from_arrays(ends, pa.array(key.reshape(-1).view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(some)), lists], names=["id", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(some)), _lists(key), _lists(sketch[some]), pa.array(size[some])], names=["id", "bands", "sketch", "size"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -131,10 +154,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Components of near-duplicate texts (id, root) by digest, and the distinct texts (id, doc_id)."""
     rows = docs.where("text IS NOT NULL").select(digest().alias("id"), "doc_id", F.col("text").cast("string").alias("text"))
-    owners = stored(rows.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")), "texts")
+    owners = stored(rows.groupBy("id").agg(F.min("doc_id").alias("doc_id")), "texts")
     # One row for each distinct text; equal rows of one doc_id are the same text twice.
     texts = rows.select("id", "text")
-    bands = stored(texts.mapInArrow(_bands, "id binary, bands array<long>").dropDuplicates(["id"]), "bands")
+    bands = texts.mapInArrow(_bands, "id binary, bands array<long>, sketch array<long>, size long").dropDuplicates(["id"])
+    bands = stored(bands, "bands")
     each = bands.select("id", F.explode("bands").alias("band"))
     led = each.groupBy("band").agg(F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id")).alias("l"), F.max("id").alias("m"), F.min("id").alias("n"))
     leaders = stored(led.where("m <> n").select("band", F.col("l.id").alias("b")), "leaders")
@@ -142,41 +166,88 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     involved = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     some = stored(texts.join(involved, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
     # Most texts of a family are joined by the leader that shares most bands with them.
-    best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    best = stored(pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "best-pairs")
     groups = stored(components(verified(best, some), "components"), "groups")
-    rest = _apart(pairs.select("a", "b").exceptAll(best), groups)
-    groups = merged(groups, verified(rest, some), "groups")
-    # Other leaders for the buckets that still hold several components, until they add nothing.
-    own = stored(bands.join(involved, "id", "left_semi"), "open-bands")
-    compared = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    for salt in count(1):
-        fresh = stored(_led_again(own, groups, salt).join(compared, ["a", "b"], "left_anti"), "fresh-pairs")
-        compared = compared.unionAll(fresh)
-        new = stored(verified(fresh, some), "links")
-        if new.isEmpty():
-            break
-        groups = merged(groups, new, "groups")
-    return groups, owners
-
-
-def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The pairs whose texts are not in one component yet."""
-    a, b = groups.select(F.col("id").alias("a"), F.col("root").alias("ra")), groups.select(F.col("id").alias("b"), F.col("root").alias("rb"))
-    out = pairs.join(a, "a", "left").join(b, "b", "left")
-    return out.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-
-
-def _led_again(bands: DataFrame, groups: DataFrame, salt: int) -> DataFrame:
-    """Every bucket of several components gets other leaders; pairs of them with the other components' members."""
-    named = bands.join(groups, "id", "left").select("id", F.coalesce("root", "id").alias("root"), "bands")
-    each = named.select("id", "root", F.explode("bands").alias("band"))
-    slot = F.pmod(F.xxhash64("band", F.lit(salt), "id"), F.lit(LEADERS))
-    least = F.min(F.struct(F.xxhash64("id", "band", F.lit(salt)).alias("h"), "id", "root"))
-    led = each.groupBy("band", slot.alias("slot")).agg(least.alias("l"), F.max("root").alias("x"), F.min("root").alias("y"))
-    led = led.groupBy("band").agg(F.collect_list("l").alias("l"), F.max("x").alias("x"), F.min("y").alias("y")).where("x <> y")
-    leaders = stored(led.select("band", F.explode("l").alias("l")).select("band", F.col("l.id").alias("b"), F.col("l.root").alias("rb")), "leaders")
-    others = each.join(leaders, "band").where("root <> rb")
-    return others.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+    compared = best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    rest = stored(_across(bands.join(involved, "id", "left_semi"), groups).join(compared, ["a", "b"], "left_anti"), "open-pairs")
+    return merged(groups, verified(rest, some), "groups"), owners
+
+
+def _across(bands: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (a > b) of one bucket and different components whose sketches allow a link; each pair once."""
+    rooted = stored(bands.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id")), "open-bands")
+    each = rooted.select("id", "root", "bands", "sketch", "size", F.posexplode("bands").alias("k", "band"))
+    # For every bucket its largest component, and how many blocks that and the rest fill.
+    parts = each.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    whole = parts.groupBy("band").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+    whole = whole.where("n > main.n").select(
+        "band", F.col("main.root").alias("main"),
+        F.ceil((F.col("n") - F.col("main.n")) / BLOCK).alias("others"), F.ceil(F.col("main.n") / BLOCK).alias("mains"),
+    )
+    within = each.join(stored(whole, "open-buckets"), "band")
+    dice = F.xxhash64("id", "band")
+    slot = F.when(F.col("root") == F.col("main"), F.col("others") + F.pmod(dice, F.col("mains"))).otherwise(F.pmod(dice, F.col("others")))
+    within = within.withColumn("slot", slot)
+    last = F.when(F.col("slot") < F.col("others"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
+    dealt = within.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    dealt = dealt.select("band", "k", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "id", "root", "size", "bands", "sketch")
+    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return dealt.mapInArrow(_met, "a binary, b binary")
+
+
+def _met(batches):
+    """Pairs of every block pair; the rows come in order of (band, i, j)."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+        if rows.num_rows:
+            cut = _blocks(rows)
+            yield _pairs(rows, cut[:-1])
+            held = rows.slice(cut[-2])
+    if held is not None:
+        yield _pairs(held, _blocks(held))
+
+
+def _blocks(rows: pa.Table) -> np.ndarray:
+    """Where runs of equal (band, i, j) begin, and the end."""
+    new = np.zeros(rows.num_rows, dtype=bool)
+    new[0] = True
+    for name in ("band", "i", "j"):
+        x = rows.column(name).to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.append(np.flatnonzero(new), rows.num_rows)
+
+
+def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy().reshape(n, -1)
+
+
+def _pairs(rows: pa.Table, cut: np.ndarray) -> pa.RecordBatch:
+    a, b = [], []
+    if len(cut) > 1:
+        rows = rows.slice(0, cut[-1])
+        n = rows.num_rows
+        ids, roots = rows.column("id").to_pylist(), rows.column("root").to_pylist()
+        name = np.frombuffer(b"".join(roots), dtype=np.int64).reshape(n, 2)
+        bands, sketch = _matrix(rows.column("bands"), n), _matrix(rows.column("sketch"), n).view(np.uint64)
+        slot, k, size = (rows.column(c).to_numpy() for c in ("slot", "k", "size"))
+        i, j = rows.column("i").to_numpy(), rows.column("j").to_numpy()
+        for start, end in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            x, y = np.triu_indices(end - start, 1)
+            x, y = x + start, y + start
+            ok = (name[x] != name[y]).any(axis=1)
+            if i[start] != j[start]:
+                ok &= slot[x] != slot[y]
+            x, y = x[ok], y[ok]
+            # Texts that share several buckets meet in the first.
+            ok = (bands[x] == bands[y]).argmax(axis=1) == k[start]
+            x, y = x[ok], y[ok]
+            ok = may_be_similar(sketch[x], sketch[y], size[x], size[y])
+            for u, v in zip(x[ok].tolist(), y[ok].tolist()):
+                a.append(max(ids[u], ids[v]))
+                b.append(min(ids[u], ids[v]))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -61,3 +61,42 @@ def test_held_out_toxicity(spark):
     assert sum(r.predicted == r.toxic for r in rows) / len(rows) > 0.95
     odd = spark.createDataFrame([(None, None), (1, ""), (1, "")], "doc_id long, text string")
     assert [r.predicted for r in toxicity.op10_toxicity(odd, labels.where("1 = 0")).collect()] == [0, 0, 0]
+
+
+def plain_smith_waterman(a, b):
+    above, best = [0] * (len(b) + 1), 0
+    for x in a:
+        here = [0]
+        for j, y in enumerate(b, 1):
+            here.append(max(0, above[j - 1] + (2 if x == y else -1), above[j] - 1, here[-1] - 1))
+        above, best = here, max(best, *here)
+    return best
+
+
+def test_edited_and_partial_copies_match_the_alignment_of_all_pairs(spark):
+    rng = random.Random(5)
+    fresh = lambda n: [f"t{rng.randrange(3000)}" for _ in range(n)]
+    common = ["one", "of", "the", "most"]
+    items = [[*fresh(10), *common, *fresh(n)] for n in (16, 20, 41, 3, 90)] + [[*common, "x"]]
+    docs, planted = [" ".join([*fresh(30), *common, *fresh(30)]) for _ in range(40)], set()
+    for k, item in enumerate(items[:5]):
+        for share in (0.2, 0.25, 0.3, 0.33):
+            edited = [f"new{rng.randrange(10**6)}" if rng.random() < share else x for x in item]
+            docs.append(" ".join([*fresh(rng.randrange(400)), *edited, *fresh(20)]))
+        inserted = [y for x in item for y in ([x] if rng.random() < 0.8 else [x, *fresh(4)])]
+        docs += [" ".join([*fresh(20), *inserted]), " ".join([*fresh(9), *item[1:14], *fresh(50)])]
+        planted |= {(len(docs) - 1, k)}
+        docs.append(" ".join("changed" if i % 4 == 3 else x for i, x in enumerate(item)))
+        planted |= {(len(docs) - 1, k)}
+    want = set()
+    for d, text in enumerate(docs):
+        words = text.split()
+        for k, item in enumerate(items):
+            seeds = {tuple(item[i : i + 3]) for i in range(len(item) - 2)}
+            score = plain_smith_waterman(item, words)
+            if any(tuple(words[i : i + 3]) in seeds for i in range(len(words) - 2)) and (score >= len(item) or score >= 26):
+                want.add((d, k, score))
+    assert planted <= {p[:2] for p in want}
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id, r.score) for r in decontaminate.contaminated(table, bench).collect()} == want

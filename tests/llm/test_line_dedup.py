@@ -93,3 +93,29 @@ def test_a_family_keeps_its_lines_once_and_strangers_keep_theirs(spark):
 def test_hardly_any_rows(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r.n_removed for r in z.op1_line_dedup(docs).collect())) == [0] * len(rows)
+
+
+def test_runs_of_short_lines_are_aligned(spark):
+    verse = [f"verse {k * k} of it" for k in range(201)]
+    chinese = [f"第{k}行，山高水长{k * 7}。" for k in range(40)]
+    rows = [(1, "\n".join(verse)), (2, "\n".join([*verse[:100], "changed", *verse[101:]])), (3, "\n".join(chinese)), (4, "\n".join([*chinese[1:], "末"]))]
+    rows += [(5, "\n".join([long(1), "- apples", "- pears", "", "- plums and figs", long(2)])), (6, "\n".join([long(3), "- apples", "- pears", "", "- plums and figs", long(4)]))]
+    rows += [(10 + k, f"own {k}\nThe end.\nok.") for k in range(20)]
+    got = {r.doc_id: r for r in z.op1_line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert [got[k].n_removed for k in (1, 3, 5)] == [0, 0, 0] and all(got[10 + k].n_removed == 0 for k in range(20))
+    assert (got[2].n_removed, got[2].text) == (200, "changed")
+    assert (got[4].n_removed, got[4].text) == (39, "末")
+    assert (got[6].n_removed, got[6].text) == (4, f"{long(3)}\n{long(4)}")
+
+
+def test_runs_match_plain_python():
+    rng = random.Random(6)
+    for _ in range(200):
+        size = [rng.choice([0, 3, 9, 14, 24, 25, 40]) for _ in range(rng.randrange(12))]
+        stop = [next((j for j in range(i, len(size)) if size[j] >= z.SEED_CHARS), len(size)) for i in range(len(size))]
+        want = []
+        for i in range(len(size)):
+            ends = [j for j in range(i + 1, stop[i] + 1) if sum(size[i:j]) >= z.SEED_CHARS]
+            want += [(i, ends[0])] if ends else []
+        begin, end = z._runs(z.np.array(size, dtype=int), z.np.array(stop, dtype=int))
+        assert list(zip(begin.tolist(), end.tolist())) == want

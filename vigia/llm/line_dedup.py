@@ -8,6 +8,10 @@ later document that lie in an aligned common block are deleted.
 * A line is a seed when it has ``SEED_CHARS`` characters or more.  A short line
   belongs to the seed line before it (at the top, to the one after): it is common
   only where its neighbourhood is, so short lines that occur everywhere stay.
+* A run of short lines one after another is a seed as well: from each of them to
+  the first with which they have ``SEED_CHARS`` characters together.  So verse,
+  lists, code and Chinese text are aligned whatever stands above them.  Runs are
+  counted, paired and aligned like lines, and an aligned run takes all its lines.
 * A line is rare when at most ``RARE_LEAST`` documents and ``RARE_SHARE`` of all hold
   it.  The share is high on purpose: linking costs one row per line however many
   documents hold it, and a lower one would lose the lines of large families.
@@ -20,7 +24,7 @@ later document that lie in an aligned common block are deleted.
 
 Null text: stays null with no lines.  Empty lines are kept unless their block goes.
 Rows that repeat both doc_id and text are one document and get one result.
-Texts without seed lines are only compared whole.  Other columns stay as they are.
+Texts of fewer than ``SEED_CHARS`` characters are only compared whole.  Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import digest, stored
+from vigia.llm.common import _powers, digest, mix, stored
 
 SEED_CHARS = 25
 RARE_LEAST, RARE_SHARE = 10, 0.5
@@ -102,13 +106,13 @@ def _id():
 
 
 def _keys(batches):
-    """A row for each distinct line key of a document, with the places of its lines."""
+    """A row for each distinct key of a line or run of a document, with its number of lines and its places."""
     for batch in batches:
         x = batch.column("x")
         sizes = np.asarray(pa.compute.list_value_length(x), dtype=np.int64)
         flat = x.flatten()
-        h, seed = np.asarray(flat.field("h")), np.asarray(flat.field("seed"))
-        n = len(h)
+        h, size = np.asarray(flat.field("h")), np.asarray(flat.field("size"), dtype=np.int64)
+        seed, n = size >= SEED_CHARS, len(h)
         first = np.repeat(np.cumsum(sizes) - sizes, sizes)
         row = np.repeat(np.arange(len(sizes)), sizes)
         before = np.maximum.accumulate(np.where(seed, np.arange(n), -1))
@@ -118,13 +122,28 @@ def _keys(batches):
         with np.errstate(over="ignore"):
             near = h * np.int64(31) + h[np.maximum(holder, 0)] * np.int64(1000003) + np.where(below, 1, 2)
         at = np.flatnonzero(holder >= 0)
-        key, row, place = np.where(seed, h, near)[at], row[at], (np.arange(n) - first)[at]
+        begin, end = _runs(size, np.minimum(after, first + np.repeat(sizes, sizes)))
+        up, down = _powers(n + 1)
+        sums = np.append(np.uint64(0), np.cumsum(mix(h.view(np.uint64)) * up[:n], dtype=np.uint64))
+        run = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)).view(np.int64)
+        key, span = np.append(np.where(seed, h, near)[at], run), np.append(np.ones(len(at), np.int64), end - begin)
+        at = np.append(at, begin)
+        row, place = row[at], (np.arange(n) - first)[at]
         order = np.lexsort((place, key, row))
-        key, row, place = key[order], row[order], place[order]
+        key, span, row, place = key[order], span[order], row[order], place[order]
         new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))) if len(key) else np.zeros(0, np.int64)
         ends = pa.array(np.append(new, len(key)).astype(np.int32))
         places = pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row[new])), pa.array(key[new]), places], names=["id", "key", "places"])
+        names = ["id", "key", "span", "places"]
+        yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row[new])), pa.array(key[new]), pa.array(span[new].astype(np.int32)), places], names=names)
+
+
+def _runs(size: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From each line the fewest lines that have ``SEED_CHARS`` characters and end before ``stop``, the next seed or text."""
+    upto = np.append(0, np.cumsum(size))
+    end = np.searchsorted(upto, upto[:-1] + SEED_CHARS)
+    begin = np.flatnonzero((size < SEED_CHARS) & (end <= stop))
+    return begin, end[begin]
 
 
 def _align(batches):
@@ -138,10 +157,11 @@ def _align(batches):
                 mine, theirs = partners.setdefault((first["doc_id"], first["digest"]), (set(), set()))
                 mine.update((p, line["key"]) for p in line["places"])
                 theirs.update((p, line["key"]) for p in line["there"])
-            lost = set()
+            lost, span = set(), {line["key"]: line["span"] for line in common}
             for mine, theirs in partners.values():
                 mine, theirs = sorted(mine), sorted(theirs)
-                lost.update(mine[k][0] for k, _ in patience([x for _, x in mine], [x for _, x in theirs]))
+                for k, _ in patience([x for _, x in mine], [x for _, x in theirs]):
+                    lost.update(range(mine[k][0], mine[k][0] + span[mine[k][1]]))
             mask = np.zeros(max(lost) + 1 if lost else 0, dtype=bool)
             mask[list(lost)] = True
             masks.append(mask)
@@ -153,14 +173,14 @@ def _align(batches):
 def aligned_lines(docs: DataFrame) -> DataFrame:
     """id and ``lost`` (array of boolean, one for each line up to the last lost one) of documents that lose lines."""
     lines = docs.where("text IS NOT NULL").select(
-        _id(), F.transform(F.split(F.col("text").cast("string"), "\n"), lambda s: F.struct(F.xxhash64(s).alias("h"), (F.length(s) >= SEED_CHARS).alias("seed"))).alias("x")
+        _id(), F.transform(F.split(F.col("text").cast("string"), "\n"), lambda s: F.struct(F.xxhash64(s).alias("h"), F.length(s).alias("size"))).alias("x")
     )
-    each = stored(lines.mapInArrow(_keys, f"{ID}, key long, places array<int>"), "lines")
+    each = stored(lines.mapInArrow(_keys, f"{ID}, key long, span int, places array<int>"), "lines")
     rare = RARE_LEAST + RARE_SHARE * docs.count()
     held = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "places")).alias("f"))
     shared = stored(held.where((F.col("n") > 1) & (F.col("n") <= rare)).select("key", F.col("f.id").alias("first"), F.col("f.places").alias("there")), "shared-lines")
     pairs = each.join(shared, "key").where("id > first")
-    common = pairs.groupBy("id").agg(F.collect_list(F.struct("first", "key", "places", "there")).alias("common"))
+    common = pairs.groupBy("id").agg(F.collect_list(F.struct("first", "key", "span", "places", "there")).alias("common"))
     return common.mapInArrow(_align, f"{ID}, lost array<boolean>")
 
 

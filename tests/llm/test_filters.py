@@ -100,3 +100,56 @@ def test_edited_and_partial_copies_match_the_alignment_of_all_pairs(spark):
     table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
     assert {(r.doc_id, r.item_id, r.score) for r in decontaminate.contaminated(table, bench).collect()} == want
+
+
+def plain_scores(urls, rules, terms):
+    """Scores and blocked URLs by id, of (id, url) that no rule fits, by the method's text."""
+    from collections import Counter
+    from math import log
+    from zlib import crc32
+
+    def parts(url):
+        host, path, query = re.match(r"([^/?#]*)([^?#]*)(\?[^#]*)?", url.split("://", 1)[1]).groups()
+        host = host.lower()
+        fits = [(h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        text = re.sub("[^a-z0./_-]", "*", re.sub("[0-9]", "0", (host + path + (query or "")).lower()))
+        return "^^^" + text + "$", max(fits, key=lambda x: len(x[0]), default=(None, None))[1], any(t in host for t in terms)
+
+    every = {i: parts(u) for i, u in urls}
+    side = {i: None if rule == "block" else "rejected" if named else "accepted" if rule == "allow" else None for i, (_, rule, named) in every.items()}
+    held = {i: crc32(str(i).encode()) % 5 == 0 for i in every}
+    counts = {"accepted": Counter(), "rejected": Counter()}
+    for i, (s, _, _) in every.items():
+        if side[i] and not held[i]:
+            for k in range(3, len(s)):
+                counts[side[i]].update(s[k - n : k + 1] for n in range(4))
+
+    def p(of, gram):
+        below = p(of, gram[1:]) if len(gram) > 1 else 1 / url_filter.ALPHABET
+        seen = [n for g, n in counts[of].items() if len(g) == len(gram) and g[:-1] == gram[:-1]]
+        return (counts[of][gram] + len(seen) * below) / (sum(seen) + len(seen)) if seen else below
+
+    known = {}
+    for s, _, _ in every.values():
+        for k in range(3, len(s)):
+            g = s[k - 3 : k + 1]
+            known.setdefault(g, log(p("accepted", g)) - log(p("rejected", g)))
+    score = {i: sum(known[s[k - 3 : k + 1]] for k in range(3, len(s))) / (len(s) - 3) for i, (s, _, _) in every.items()}
+    return score, {i for i, (_, rule, _) in every.items() if rule is None}, side, held
+
+
+def test_whole_urls_are_scored_as_plain_python_does(spark):
+    rng = random.Random(8)
+    rules = (("allow", "org", "/"), ("block", "net", "/"), ("allow", "co.uk", "/news/"))
+    name = lambda: "".join(rng.choice(["ka", "lo", "mi", "ter", "son"]) for _ in range(3))
+    urls = [f"https://{name()}.org/{name()}/{k}?id={k}" for k in range(60)] + [f"http://www.{name()}.co.uk/news/{name()}" for _ in range(40)]
+    urls += [f"https://{rng.choice(['cheap-pills', 'casino', 'big-bets'])}{rng.choice(['.com', '.net.au', '-win.example.com', '.net'])}/{rng.choice(['', 'win', 'bets/now?bonus=1'])}" for _ in range(80)]
+    judged = ["https://cheap-pills.com/", "https://kalomi.com/", "https://casino.net.au/bets/", "https://terson.net.au/kalo/", "https://miter.com/lo?id=7", "https://miter.com/lo?bonus=1", "https://sonka.com#top", "http://pills.net/"]
+    rows = list(enumerate(urls + judged))
+    score, open_, side, held = plain_scores(rows, rules, url_filter.REJECTED_TERMS)
+    got = {r.page_id: r for r in url_filter.op2_url_filter(spark.createDataFrame(rows, "page_id long, url string").repartition(3), rules).collect()}
+    assert len(got) == len(rows) and all(abs(got[i].score - score[i]) < 0.0021 for i in score)
+    assert side[rows[-1][0]] is None
+    by = {u: got[i] for i, u in rows if i >= len(urls)}
+    assert by[judged[0]].score < by[judged[1]].score and by[judged[2]].score < by[judged[3]].score and by[judged[5]].score < by[judged[4]].score
+    assert (by[judged[0]].verdict, by[judged[1]].verdict, by[judged[2]].verdict) == ("block", "allow", "block")

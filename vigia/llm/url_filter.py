@@ -8,10 +8,11 @@ the mean over its characters of log P(accepted) - log P(rejected); it is blocked
 below the level that best tells held-out rejected from held-out accepted URLs (the
 lowest of equally good levels; 0 where a side has none held out).
 
-The models read what rules do not: the host without its last two labels and the
-path after its first segment, digits as 0.  Accepted are the URLs that a rule
-allows, rejected those whose host has one of ``REJECTED_TERMS``.  What a rule blocks
-is blocked for its domain, not its looks, and teaches neither model.
+The models read the whole URL after ``://`` but for the fragment: host, path and
+query, A-Z as a-z, digits as 0 and any other character than a letter, ``.``, ``/``,
+``_`` and ``-`` as ``*``.  Accepted are the URLs that a rule allows, rejected those
+whose host has one of ``REJECTED_TERMS``.  What a rule blocks is blocked for its
+domain, not its looks, and teaches neither model, whatever its host is called.
 
 Counts are summed over all URLs by 4-character grams of a 34-letter alphabet (at
 most 34^4, 1.3 million rows), so the gram table may be broadcast.
@@ -37,25 +38,24 @@ ALPHABET = 34
 
 
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:
-    """page_id, host, path, rule and the rule's verdict: of the rules that fit, the longest."""
+    """page_id, host, path, query, rule and the rule's verdict: of the rules that fit, the longest."""
     rest = F.expr("CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END")
     parts = pages.select("page_id", rest.alias("rest")).select(
         "page_id",
         F.translate(F.regexp_extract("rest", "^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("host"),
         F.regexp_extract("rest", "^[^/?#]*([^?#]*)", 1).alias("path"),
+        F.regexp_extract("rest", r"^[^?#]*(\?[^#]*)", 1).alias("query"),
     )
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for kind, host, path in sorted(rules, key=lambda r: len(r[1] + r[2])):
         fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
         rule, verdict = F.when(fits, F.lit(host + path)).otherwise(rule), F.when(fits, F.lit(kind)).otherwise(verdict)
-    return parts.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("rule_verdict"))
+    return parts.select("page_id", "host", "path", "query", rule.alias("rule"), verdict.alias("rule_verdict"))
 
 
 def modelled():
-    """The string the models read: three start marks, host without two labels, path without a segment, end mark."""
-    host = F.regexp_replace("host", r"(^|\.)[^.]*(\.[^.]*)?$", "")
-    path = F.regexp_replace("path", "^/[^/]*", "")
-    text = F.lower(F.concat(host, F.lit("/"), path))
+    """The string the models read: three start marks, host, path and query, end mark."""
+    text = F.translate(F.concat("host", "path", "query"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     text = F.regexp_replace(F.regexp_replace(text, "[0-9]", "0"), "[^a-z0./_-]", "*")
     return F.concat(F.lit("^^^"), text, F.lit("$"))
 
@@ -98,7 +98,7 @@ def op2_url_filter(pages: DataFrame, rules=RULES, terms=REJECTED_TERMS) -> DataF
     for term in terms:
         named = named | F.col("host").contains(term)
     accepted = ((F.col("rule_verdict") == "allow") & ~named).cast("long")
-    rejected = named.cast("long")
+    rejected = (named & ~F.col("rule_verdict").eqNullSafe("block")).cast("long")
     held = F.coalesce(F.crc32(F.col("page_id").cast("string")) % 5 == 0, F.lit(False))
     rows = rows.select("*", F.coalesce(accepted, F.lit(0)).alias("accepted"), F.coalesce(rejected, F.lit(0)).alias("rejected"), held.alias("held"))
     learn = lambda c: F.sum(F.when(~F.col("held"), F.col(c)).otherwise(F.lit(0))).alias(c)

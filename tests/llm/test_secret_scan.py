@@ -64,3 +64,17 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "plain words alone understanding"), (2, None)], "doc_id long, text string")
     assert [r.spans for r in secret_scan.op8_secret_scan(docs).collect()] == ["", ""]
     assert secret_scan.op8_secret_scan(docs.where("1 = 0")).count() == 0
+
+
+def test_long_dated_identifiers_are_clean_at_two_corpus_sizes(spark):
+    rng = random.Random(9)
+    dated = ["2024-10-17_report", "release-notes-2024", "articles/2024/october/report", "invoice-20241017-0001", "1234567890123456", "2024-10-17T12-30-00", "section-1-2-3-figure-14"]
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    hidden = ["".join(rng.choice(chars) for _ in range(n)) for n in (24, 32, 40)] + ["".join(rng.choice("0123456789abcdef") for _ in range(24))]
+    rows = [(k, f"see {x} there") for k, x in enumerate([*dated, *hidden])]
+    for size in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text").where("doc_id > 100")
+        table = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+        got = {r.doc_id: r.n_markov for r in secret_scan.op8_secret_scan(table).where("doc_id < 100").collect()}
+        assert [x for k, x in enumerate(dated) if got[k]] == []
+        assert [x for k, x in enumerate(hidden, len(dated)) if not got[k]] == []

@@ -2,8 +2,12 @@
 
 The patterns find assigned values, access keys and long hex strings.  What they
 find in the corpus are the labelled random strings, all other tokens of 4
-characters or more without a digit the labelled ordinary ones; second-order character models of both are counted over
-every text (class, two characters before, character: a bounded table).  A token
+characters or more the labelled ordinary ones: those under 16 as they are, digits
+included, since they are never judged; longer ones only without a digit, and by
+triples that are common in the corpus, so that none vouches for itself.  The models
+read any digit as 0: which digit it is tells nothing.  Second-order character models
+of both are counted over every text (class, two characters before, character: a
+bounded table).  A token
 of 16 characters or more that no pattern covers is a ``markov`` span when the
 log-likelihood ratio times the share of random tokens says it is random with a
 probability over ``CERTAINTY``.
@@ -33,16 +37,17 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = ("assign", "access", "hex", "markov")
 
-#: Characters of a token; 0 stands before its first one.
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Characters of a token, 0 for all digits; symbol 0 stands before its first one.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0+/_=-"
 SIZE = len(ALPHABET) + 1
 TRAIN_LENGTH = 4
 SCAN_LENGTH = 16
 CERTAINTY = 0.999
-#: Ordinary character triples seen less often are left out.
-ORDINARY_TIMES = 3
+#: Triples of long ordinary tokens count from so many of them, and from so many for each ordinary token.
+ORDINARY_TIMES, ORDINARY_SHARE = 3, 1e-6
 SYMBOL = np.zeros(256, dtype=np.int64)
 SYMBOL[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, SIZE)
+SYMBOL[ord("1") : ord("9") + 1] = SYMBOL[ord("0")]
 _HINTS = ("passw", "secret", "token", "api")
 
 
@@ -100,31 +105,37 @@ def train(docs: DataFrame) -> np.ndarray | None:
     """Log-likelihood ratio (random to ordinary) of every cell, the last one the log odds of a random token."""
 
     def count(batches):
-        totals = np.zeros((2, SIZE**3 + 1), dtype=np.int64)
+        totals = np.zeros((3, SIZE**3 + 1), dtype=np.int64)
         for batch in chunks(batches):
             tokens = Tokens(batch.column("text"))
             size = tokens.ends - tokens.starts
             digits = np.append(0, np.cumsum((tokens.data >= 48) & (tokens.data <= 57)))
-            plain = ~tokens.covered & (size >= TRAIN_LENGTH) & (digits[tokens.ends] == digits[tokens.starts])
+            plain = ~tokens.covered & (size >= TRAIN_LENGTH)
+            short, long = plain & (size < SCAN_LENGTH), plain & (size >= SCAN_LENGTH) & (digits[tokens.ends] == digits[tokens.starts])
             values = np.array(sorted(set(tokens.values)), dtype=np.int64).reshape(-1, 2)
-            cells, _ = tokens.cells(tokens.starts[plain], tokens.ends[plain])
-            totals[0, :-1] += np.bincount(cells, minlength=SIZE**3)
+            for label, some in ((0, short), (2, long)):
+                cells, _ = tokens.cells(tokens.starts[some], tokens.ends[some])
+                totals[label, :-1] += np.bincount(cells, minlength=SIZE**3)
             # A found value counts each of its cells once, or one endless run would drown all others.
             cells, _ = tokens.cells(values[:, 0], values[:, 1])
             owner = np.repeat(np.arange(len(values)), values[:, 1] - values[:, 0])
             totals[1, :-1] += np.bincount(np.unique(owner * SIZE**3 + cells) % SIZE**3, minlength=SIZE**3)
-            totals[:, -1] += int(plain.sum()), len(values)
+            totals[:, -1] += int(short.sum()), len(values), int(long.sum())
         label, cell = np.nonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(cell), pa.array(totals[label, cell])], names=["label", "cell", "n"])
 
     rows = docs.mapInArrow(count, "label long, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).toArrow()
-    totals = np.zeros((2, SIZE**3 + 1))
+    totals = np.zeros((3, SIZE**3 + 1))
     totals[rows.column("label").to_numpy(), rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
+    # A long random token of letters that no pattern found counts as ordinary too; it must not vouch for itself.
+    long = totals[2].copy()
+    totals = totals[:2]
+    totals[0, -1] += long[-1]
+    long[:-1][(totals[0] + long)[:-1] < max(ORDINARY_TIMES, ORDINARY_SHARE * totals[0, -1])] = 0
+    totals[0, :-1] += long[:-1]
     if not totals[:, -1].all():
         return None
     counts = totals[:, :-1].reshape(2, SIZE, SIZE, SIZE)
-    # A random token of letters that no pattern found counts as ordinary too; it must not vouch for itself.
-    counts[0][counts[0] < ORDINARY_TIMES] = 0
     # Each order is smoothed towards the one below: none, one and two characters before.
     p = np.full((2, 1, 1, SIZE), 1.0 / SIZE)
     for seen in (counts.sum(axis=(1, 2), keepdims=True), counts.sum(axis=1, keepdims=True), counts):

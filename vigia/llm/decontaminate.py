@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import Words, chunks
+from vigia.llm.common import Words, chunks, digest
 
 SEED = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -246,6 +246,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a contaminated pair, with all their columns; null ids go only by their pairs."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    """The documents without a contaminated pair, with all their columns; those of one id, or of none, each by its own text."""
+    named = docs.select(F.struct("doc_id", digest().alias("digest")).alias("doc_id"), "text")
+    bad = contaminated(named, benchmark).select(F.col("doc_id.doc_id").alias("__bad"), F.col("doc_id.digest").alias("__digest")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]) & (digest() == bad["__digest"]), "left_anti")

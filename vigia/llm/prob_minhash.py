@@ -250,10 +250,15 @@ def _pairs(rows: pa.Table, cut: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
+def _rooted(docs: DataFrame) -> DataFrame:
+    """id (digest), least doc_id and component root of every text."""
+    groups, owners = links(docs)
+    return owners.join(groups, "id", "left").select("id", "doc_id", F.coalesce("root", "id").alias("root"))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """id (digest of a text), class_id and copy_id: least doc_id of its component, and of its exact copies."""
-    groups, owners = links(docs)
-    named = owners.join(groups, "id", "left").select("id", "doc_id", F.coalesce("root", "id").alias("root"))
+    named = _rooted(docs)
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return named.join(least, "root").select("id", "class_id", F.col("doc_id").alias("copy_id"))
 
@@ -268,8 +273,9 @@ def op3_near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The first document of each class, with all columns; of rows that repeat doc_id and text, one."""
-    kept = classes(docs).where("class_id <=> copy_id").select(F.col("id").alias("__kept"), F.col("copy_id").alias("__first"))
+    """One document of each class, with all columns: the first by doc_id (null last), then by digest; all of null text."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "id")).alias("f")
+    kept = _rooted(docs).groupBy("root").agg(first).select(F.col("f.id").alias("__kept"), F.col("f.doc_id").alias("__first"))
     rows = docs.withColumn("__id", digest()).dropDuplicates(["doc_id", "__id"])
     joined = rows.join(kept, F.col("__id") == F.col("__kept"), "left").where(F.col("__id").isNull() | (F.col("__kept").isNotNull() & F.col("doc_id").eqNullSafe(F.col("__first"))))
     return joined.select(*(joined[f"`{c}`"] for c in docs.columns))

@@ -1,0 +1,120 @@
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from conftest import TESTDATA
+from oracle_check import compare, duck
+
+from vigia.llm import pivotal_grams as p
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+def brute_words(rows):
+    seen = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 7:
+                seen[run] += 1
+    return {w: n for w, n in seen.items() if n >= 2}
+
+
+def brute_groups(words):
+    near = {w: [] for w in words}
+    for a, b in itertools.combinations(words, 2):
+        if edits(a, b) == 1:
+            near[a].append(b)
+            near[b].append(a)
+    form = {}
+    for w, others in near.items():
+        if others:
+            best = min(others, key=lambda o: (-words[o], o))
+            if words[best] >= 10 * words[w]:
+                form[w] = best
+    out = set()
+    for w in words:
+        root = w
+        while root in form:
+            root = form[root]
+        out.add((w, form.get(w), root, words[w], len(near[w]), words.get(form.get(w))))
+    return out
+
+
+def corpus():
+    rng = random.Random(5)
+    stems = ["kitchen", "Sentence", "aaaaaaa", "aaaaaaaa", "abababab", "straße÷x", "Éclairs", "éclairs", "mississippi"]
+    stems += ["".join(rng.choice("abcd") for _ in range(rng.randint(6, 9))) for _ in range(80)]
+    rows = []
+    for i in range(150):
+        words = []
+        for _ in range(rng.randint(0, 60)):
+            w = rng.choice(stems[: rng.choice((3, 20, len(stems)))])
+            if rng.random() < 0.2:
+                at = rng.randrange(len(w) + 1)
+                w = rng.choice((w[:at] + rng.choice("abzé") + w[at:], w[:at] + w[at + 1 :], w[:at] + rng.choice("abz") + w[at + 1 :]))
+            words.append(w)
+        rows.append((i, rng.choice((" ", ", ", "1", "\n")).join(words)))
+    return rows + [(None, None), (1, ""), (None, "kitchen kitchen"), (7, "kitchen " * 300), (7, "kitchen " * 300), (8, "x" * 70_000)] + [(9, "kitchens " * 2)] * 2
+
+
+def test_matches_brute_force(spark):
+    rows = corpus()
+    words = brute_words(rows)
+    assert len(words) > 150
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, word string, n int")
+    got = p.op11_spelling_groups(docs.repartition(5)).collect()
+    assert [f for f in got[0].asDict()] == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert len(got) == len(words) and {tuple(r) for r in got} == brute_groups(words)
+
+
+def test_every_pair_one_edit_apart_is_found_whatever_its_bigrams(spark):
+    """All words over two letters: every bigram is common, ranks tie, places repeat."""
+    words = {"".join(w): 2 for n in (6, 7, 8) for w in itertools.product("ab", repeat=n)}
+    got = {(r.a, r.b) for r in p.near_pairs(spark.createDataFrame(list(words.items()), "word string, n long")).collect()}
+    want = {(a, b) for a, b in itertools.combinations(sorted(words), 2) if abs(len(a) - len(b)) < 2 and edits(a, b) == 1}
+    assert got == want
+
+
+def test_links_are_followed_to_the_last_form(spark):
+    chain = ["aaaaaaa", "aaaaaab", "aaaaabb", "aaaabbb", "aaabbbb", "aabbbbb"]
+    words = [(w, 2 * 10**i) for i, w in enumerate(chain)] + [("zzzzzzzz", 5)]
+    got = {r.word: r for r in p.spelling_groups(spark.createDataFrame(words, "word string, n long")).collect()}
+    assert [got[w].form for w in chain] == [*chain[1:], None] and {got[w].root for w in chain} == {chain[-1]}
+    assert tuple(got["zzzzzzzz"]) == ("zzzzzzzz", None, "zzzzzzzz", 5, 0, None)
+
+
+@pytest.mark.parametrize("many", [1, 2, 3])
+def test_pivots_are_the_cheapest_disjoint_bigrams(many):
+    rng = random.Random(many)
+    for _ in range(200):
+        places = sorted(rng.sample(range(12), rng.randint(5, 9)))
+        grams = [(i, rng.randint(1, 9)) for i in places]
+        cost = dict(grams)
+        ways = [c for c in itertools.combinations(places, many) if all(b - a > 1 for a, b in itertools.pairwise(c))]
+        chosen = p.cheapest_disjoint(grams, many)
+        assert tuple(chosen) in ways if ways else chosen == []
+        assert not ways or sum(cost[i] for i in chosen) == min(sum(cost[i] for i in w) for w in ways)
+
+
+def test_empty_table(spark):
+    assert p.op11_spelling_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_matches_reference_sql(spark):
+    sf_dir = f"{TESTDATA}/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert compare(p.op11_spelling_groups(docs), duck(sf_dir), p.SQL) is None

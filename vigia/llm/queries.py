@@ -7,6 +7,7 @@ from vigia.llm import (
     decontaminate,
     language_id,
     line_dedup,
+    pivotal_grams,
     prob_minhash,
     quality_rules,
     secret_scan,
@@ -58,11 +59,15 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.op10_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_spelling_groups(spark, sf_dir):
+    return pivotal_grams.op11_spelling_groups(read(spark, sf_dir, "documents"))
+
+
 def queries():
     own = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return {**own, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():
-    sql = {"op9_quality_rules": quality_rules.SQL}
+    sql = {"op9_quality_rules": quality_rules.SQL, "op11_spelling_groups": pivotal_grams.SQL}
     return sql if corpus_pipeline.ORACLE_SQL is None else {**sql, "pipeline": corpus_pipeline.ORACLE_SQL}

@@ -7,6 +7,7 @@ from vigia.llm import (
     decontaminate,
     language_id,
     line_dedup,
+    periodic_runs,
     pivotal_grams,
     prob_minhash,
     quality_rules,
@@ -63,6 +64,10 @@ def op11_spelling_groups(spark, sf_dir):
     return pivotal_grams.op11_spelling_groups(read(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.op12_periodic_runs(read(spark, sf_dir, "documents"))
+
+
 def queries():
     own = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return {**own, "pipeline": corpus_pipeline.run}

@@ -11,6 +11,7 @@ from vigia.llm import (
     pivotal_grams,
     prob_minhash,
     quality_rules,
+    rp_forest,
     secret_scan,
     sentencepiece_codec,
     substring_dedup,
@@ -68,6 +69,10 @@ def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.op12_periodic_runs(read(spark, sf_dir, "documents"))
 
 
+def op13_nearest_vectors(spark, sf_dir):
+    return rp_forest.op13_nearest_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def queries():
     own = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return {**own, "pipeline": corpus_pipeline.run}

@@ -11,10 +11,11 @@ programming.  One edit touches one of two disjoint bigrams at most, so of two wo
 one edit apart, the one whose prefix ends at the rarer rank has a pivot that is
 also in the prefix of the other, shifted by one place at most.
 
-The edit lies wholly on one side of that pivot.  So the other side is equal, and of
-the edited side either the first half or the last half is.  The join key holds the
-equal side, the place of the bigram (the position limit) and that half; there is
-no list of all words with a bigram, so no group grows with the vocabulary.  The
+An edit lies wholly after the first pivot or wholly before the second.  So up to the
+first, or from the second on, the words are equal, and of the edited side either
+the first half or the last half is.  The join key holds the equal side, the place of
+the bigram (the position limit) and that half; there is no list of all words with a
+bigram, so no group grows with the vocabulary.  The
 edit distance is checked inside the join, and only near pairs become rows.
 
 **Defined cases.**  A null text holds no words; a null ``doc_id`` counts as empty
@@ -112,14 +113,15 @@ def prefix(word: str, rank: dict[str, int]) -> tuple[int, list[int]]:
     return last, [i for i, r in enumerate(ranks) if r <= last]
 
 
-def keys(word: str, at: int) -> Iterator[str]:
+def keys(word: str, at: int, sides: str = "<>") -> Iterator[str]:
     """What a word one edit away shares if the bigram at ``at`` survives the edit.
 
-    The side of the bigram without the edit is equal.  Of the other side, ``longest``
+    ``<``: the words are equal up to the bigram and edited after it; ``>``: equal from the bigram on.  Of the other side, ``longest``
     code points in the longer word, all but one agree from its two ends, so its
     first or its last half does.
     """
-    for side, equal, rest in (("<", word[: at + 2], word[at + 2 :]), (">", word[at:], word[:at])):
+    for side in sides:
+        equal, rest = (word[: at + 2], word[at + 2 :]) if side == "<" else (word[at:], word[:at])
         for longest in (len(rest), len(rest) + 1):
             first = longest // 2
             last = longest - first
@@ -129,10 +131,11 @@ def keys(word: str, at: int) -> Iterator[str]:
                 yield f"{side}{longest} {equal} .{rest[len(rest) - last :]}"
 
 
-_SIGNED = "role int, key string, word string, n bigint, last int"
+_SIGNED = "key string, word string, n bigint, last int"
 
 
-def _signatures(cost: dict[str, int]):
+def _signatures(cost: dict[str, int], pivots: bool):
+    """Keys of the pivots, or of all bigrams of the prefix."""
     rank = {gram: i for i, gram in enumerate(sorted(cost, key=lambda g: (cost[g], g)))}
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,11 +145,13 @@ def _signatures(cost: dict[str, int]):
                 rows = []
                 for word, n in zip(part.column("word").to_pylist(), part.column("n").to_pylist(), strict=True):
                     last, places = prefix(word, rank)
-                    chosen = cheapest_disjoint([(i, cost[word[i : i + 2]]) for i in places])
-                    rows += [(role, key, word, n, last) for role, where in enumerate((chosen, places)) for at in where for key in keys(word, at)]
-                columns = zip(*rows, strict=True) if rows else ((),) * 5
-                types = (pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int32())
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["role", "key", "word", "n", "last"])
+                    where = zip(places, ["<>"] * len(places), strict=True)
+                    if pivots:
+                        where = zip(cheapest_disjoint([(i, cost[word[i : i + 2]]) for i in places]), "<>", strict=True)
+                    rows += [(key, word, n, last) for at, sides in where for key in keys(word, at, sides)]
+                columns = zip(*rows, strict=True) if rows else ((),) * 4
+                types = (pa.string(), pa.string(), pa.int64(), pa.int32())
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["key", "word", "n", "last"])
 
     return signed
 
@@ -158,9 +163,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """
     gram = F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.col("word").substr(i, F.lit(2))))
     cost = {r["gram"]: r["n"] for r in words.select(gram.alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
-    signed = stored(words.mapInArrow(_signatures(cost), _SIGNED), "pivots")
-    p = signed.where("role = 0").select("key", "word", "n", "last")
-    x = signed.where("role = 1").select("key", *(F.col(c).alias(f"x_{c}") for c in ("word", "n", "last")))
+    # Keys travel as hashes: words that meet by chance fail the check of their distance.
+    signed = [words.select("word", "n").mapInArrow(_signatures(cost, own), _SIGNED).withColumn("key", F.xxhash64("key")) for own in (True, False)]
+    p, x = signed[0], signed[1].select("key", *(F.col(c).alias(f"x_{c}") for c in ("word", "n", "last")))
     near = (F.col("last") <= F.col("x_last")) & (F.levenshtein("word", "x_word", 1) == 1)
     met = p.join(x, "key").where(near)
     least, most = F.least("word", "x_word"), F.greatest("word", "x_word")

@@ -48,7 +48,6 @@ NATIVE = [
     "op_spec_groups",
     "op_json_decode",
     "op_quality_report",
-    "op_synth_table",
 ]
 
 

@@ -2,7 +2,7 @@ from fractions import Fraction
 from math import ceil
 
 import pytest
-from conftest import plan, rows
+from conftest import numbered_events, plan, rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -16,12 +16,11 @@ from vigia.operators import (
     lookup,
     quality_report,
     split_by_rules,
-    synthetic_events,
     top_k,
     top_per_group,
     with_server_attributes,
 )
-from vigia.schema import EVENT_COLUMNS, EVENT_SCHEMA, SERVERS
+from vigia.schema import EVENT_COLUMNS, SERVERS
 
 POINTS = {"p1": 0.01, "p50": 0.5, "p90": 0.9, "p99": 0.99, "p100": 1}
 
@@ -141,41 +140,8 @@ def test_server_attributes_replace_what_was_there(spark):
     assert got["other"]["zona"] is None
 
 
-def test_synthetic_events_keep_every_rule_and_are_repeatable(spark):
-    made = synthetic_events(spark.range(3000), seed=7)
-    assert made.columns == EVENT_COLUMNS
-    assert [f.dataType for f in made.schema] == [f.dataType for f in EVENT_SCHEMA]
-    assert rows(quality_report(made, event_rules(), "id_log").where("violations > 0")) == []
-    other_cut = synthetic_events(spark.range(3000).repartition(3), seed=7)
-    assert made.exceptAll(other_cut).count() == 0
-    assert made.select("nivel").exceptAll(synthetic_events(spark.range(3000), seed=8).select("nivel")).count() > 0
-
-
-def test_synthetic_events_follow_the_domain(spark):
-    made = synthetic_events(spark.range(20000), with_meta=True).persist()
-    assert {r[0]: r[1] for r in made.groupBy("tipo_evento").count().collect()} == dict.fromkeys(
-        ["resource", "request", "error", "network", "security"], 4000
-    )
-    share = made.where("tipo_evento = 'error'").agg(F.avg(F.expr("int(nivel = 'ERROR')"))).first()[0]
-    assert 0.57 < share < 0.63
-    assert made.where("tipo_evento = 'request'").where("metodo_http IS NULL").count() == 0
-    assert made.where("nivel = 'INFO'").agg(F.max("codigo_estado")).first()[0] < 300
-    # Perturbation reaches the caps.
-    assert made.agg(F.max("uso_cpu_porcentaje")).first()[0] == 100
-    assert made.agg(F.max("temperatura_cpu")).first()[0] == 115
-    assert made.select("_kafka_topic").distinct().count() == 5
-    made.unpersist()
-
-
-def test_synthetic_numbers_above_two_to_the_31(spark):
-    far = spark.range(3).selectExpr(f"id + {2**31 - 1} AS id")
-    assert synthetic_events(far).select("mensaje", "usuario").exceptAll(
-        synthetic_events(spark.range(3)).select("mensaje", "usuario")
-    ).count() > 0
-
-
 def test_quality_counts_each_broken_rule(spark):
-    good = synthetic_events(spark.range(50))
+    good = numbered_events(spark.range(50))
     faults = {
         "required:servicio": {"servicio": "null"},
         "width:metodo_http": {"tipo_evento": "'request'", "metodo_http": "repeat('G', 11)", "intento_login": "null",

@@ -6,7 +6,7 @@ from vigia import __main__ as cli
 from vigia.operators import Analysis
 from vigia.plans import BENCHMARK, SUITES, SqlAnalysis, Timing, run_report, run_workload, save_timing, speed_up
 from vigia.plans.report import columns_used
-from vigia.sources import materialise, read_events, sinks
+from vigia.sources import materialise, read_csv, read_jsonl, sinks, write_events
 
 
 def saved_rows(path):
@@ -53,13 +53,15 @@ def test_benchmark_table_and_speed_up(spark, logs, tmp_path):
 class Args:
     def __init__(self, **values):
         self.input = self.json = self.csv = None
-        self.mode, self.seed, self.staging = "local_n", 42, None
+        self.mode, self.staging = "local_n", None
         self.__dict__.update(values)
 
 
-def test_jobs_by_name(spark, tmp_path, capsys):
-    cli.run_job(spark, "datos", Args(rows=500, output=str(tmp_path)))
-    assert read_events(spark, f"{tmp_path}/eventos").count() == 500
+def test_jobs_by_name(spark, logs, tmp_path, capsys):
+    write_events(logs, f"{tmp_path}/eventos")
+    cli.run_job(spark, "copias", Args(input=f"{tmp_path}/eventos", output=str(tmp_path)))
+    for read, name in ((read_jsonl, "jsonl"), (read_csv, "csv")):
+        assert read(spark, f"{tmp_path}/eventos.{name}").count() == 1000
     args = Args(
         json=f"{tmp_path}/eventos.jsonl",
         csv=f"{tmp_path}/eventos.csv",

@@ -2,10 +2,9 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import plan, rows
+from conftest import numbered_events, plan, rows
 from pyspark.sql import functions as F
 
-from vigia.operators import synthetic_events
 from vigia.schema import EVENT_COLUMNS, EVENT_SCHEMA, META_COLUMNS, conform, create_event_table
 from vigia.sources import (
     JdbcTable,
@@ -24,8 +23,8 @@ from vigia.sources.jdbc import for_database
 
 @pytest.fixture(scope="module")
 def events(spark):
-    """Synthetic events with text that needs quoting."""
-    made = synthetic_events(spark.range(40), with_meta=True)
+    """Events with text that needs quoting."""
+    made = numbered_events(spark.range(40), with_meta=True)
     hard = F.element_at(
         F.array(*map(F.lit, ['a,b', 'say "hi"', 'two\nlines', 'é ñ', ' pad '])), (F.col("_kafka_offset") % 5 + 1).cast("int")
     )
@@ -115,7 +114,7 @@ def test_inferred_reads_drop_bookkeeping(spark, events, tmp_path):
 
 
 def test_date_bounds_and_filters_reach_the_scan(spark, tmp_path):
-    write_events(synthetic_events(spark.range(500), step_ms=3_600_000), f"{tmp_path}/t")
+    write_events(numbered_events(spark.range(500), "INTERVAL 1 HOUR"), f"{tmp_path}/t")
     df = read_events(spark, f"{tmp_path}/t", "2026-01-03", "2026-01-05")
     assert df.count() == 48
     text = plan(df.where("nivel = 'ERROR'").groupBy("servidor").count())
@@ -130,7 +129,7 @@ def test_table_definition(spark, tmp_path):
     try:
         table = spark.table("eventos_prueba")
         assert table.columns == EVENT_COLUMNS + ["fecha"]
-        write_events(synthetic_events(spark.range(10)), f"{tmp_path}/tabla")
+        write_events(numbered_events(spark.range(10)), f"{tmp_path}/tabla")
         spark.sql("MSCK REPAIR TABLE eventos_prueba")
         assert spark.table("eventos_prueba").count() == 10
     finally:

@@ -2,10 +2,9 @@ import json
 import uuid
 
 import pytest
-from conftest import rows
+from conftest import numbered_events, rows
 from pyspark.sql import functions as F
 
-from vigia.operators import synthetic_events
 from vigia.schema import EVENT_COLUMNS, META_COLUMNS
 from vigia.sources import publish_rows, read_csv, read_events, read_jsonl
 from vigia.streaming import (
@@ -102,7 +101,7 @@ def test_decoded_values(spark):
 
 
 def test_published_messages_decode_to_the_same_events(spark):
-    made = synthetic_events(spark.range(200))
+    made = numbered_events(spark.range(200)).persist()
     sent = publish_rows(made).selectExpr(
         "key", "value", "topic", "0 partition", "0L offset", "current_timestamp() timestamp"
     )
@@ -140,7 +139,7 @@ def test_restart_reads_nothing_and_lost_checkpoint_adds_nothing(spark, tmp_path)
 def test_stream_equals_batch_over_several_batches(spark, tmp_path, same_date):
     """Batches of one file each, with copies, against one batch over everything."""
     base = str(tmp_path)
-    made = synthetic_events(spark.range(300), step_ms=3_600_000)
+    made = numbered_events(spark.range(300), "INTERVAL 1 HOUR").persist()
     sent = publish_rows(made).select(
         "key", "value", "topic", F.lit(0).alias("partition"), F.lit(1).cast("bigint").alias("offset"),
         F.lit("2026-06-17 10:00:00").cast("timestamp").alias("timestamp"),

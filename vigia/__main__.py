@@ -4,12 +4,12 @@
     python -m vigia csv --input data/eventos.csv --output out
     python -m vigia sql --input warehouse/logs --output out
     python -m vigia comparacion --input warehouse/logs --output out --mode local_n
-    python -m vigia datos --rows 100000 --output data
+    python -m vigia copias --input warehouse/logs --output data
 
 ``sql`` and ``comparacion`` read the database named by MYSQL_* when there is
 no ``--input``; with one they read the Parquet event table.  ``todos`` runs
-the four in this order and stops at the first failure.  ``datos`` writes a
-synthetic event table as JSON lines, CSV and Parquet.
+the four in this order and stops at the first failure.  ``copias`` writes the
+event table as JSON lines and CSV.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from __future__ import annotations
 import argparse
 import os
 
-from .operators import synthetic_events
 from .plans import SUITES, run_report, run_workload, save_timing
 from .session import build_session
 from .sources import (
@@ -28,7 +27,6 @@ from .sources import (
     read_jdbc,
     read_jsonl,
     write_csv,
-    write_events,
     write_jsonl,
 )
 
@@ -38,12 +36,11 @@ def _events(spark, path):
 
 
 def run_job(spark, job: str, args) -> None:
-    if job == "datos":
-        made = synthetic_events(spark.range(args.rows), seed=args.seed, with_meta=True)
-        write_jsonl(made, f"{args.output}/eventos.jsonl", "overwrite")
-        write_csv(made, f"{args.output}/eventos.csv", "overwrite")
-        write_events(made, f"{args.output}/eventos", "overwrite")
-        print(f"datos: {args.rows} events in {args.output}")
+    if job == "copias":
+        events = _events(spark, args.input)
+        write_jsonl(events, f"{args.output}/eventos.jsonl", "overwrite")
+        write_csv(events, f"{args.output}/eventos.csv", "overwrite")
+        print(f"copias: JSON lines and CSV in {args.output}")
         return
     if job == "comparacion":
         timing = run_workload(_events(spark, args.input), args.mode)
@@ -69,15 +66,13 @@ def run_job(spark, job: str, args) -> None:
 def main(argv: list[str] | None = None) -> None:
     env = os.environ
     parser = argparse.ArgumentParser(prog="vigia")
-    parser.add_argument("job", nargs="?", default="todos", choices=[*SUITES, "comparacion", "todos", "datos"])
+    parser.add_argument("job", nargs="?", default="todos", choices=[*SUITES, "comparacion", "todos", "copias"])
     parser.add_argument("--input", default=env.get("DATA_PATH"))
     parser.add_argument("--json", default=env.get("DATA_JSON"), help="JSON-lines input")
     parser.add_argument("--csv", default=env.get("DATA_CSV"), help="CSV input")
     parser.add_argument("--output", default=env.get("OUTPUT_DIR", "output"))
     parser.add_argument("--master", default=env.get("SPARK_MASTER"))
     parser.add_argument("--staging", help="keep parsed sources as Parquet here instead of caching")
-    parser.add_argument("--rows", type=int, default=100_000, help="events written by datos")
-    parser.add_argument("--seed", type=int, default=42)
     parser.add_argument("--mode", default="spark", help="label of a comparacion run")
     args = parser.parse_args(argv)
 

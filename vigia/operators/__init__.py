@@ -2,7 +2,6 @@ from .analysis import Analysis, Measure, run, run_shared
 from .distribution import approx_percentiles, exact_percentiles, exact_summary, global_rank
 from .joins import insert_if_absent, lookup, with_server_attributes
 from .quality import Rule, event_rules, mark_rules, quality_report, split_by_rules
-from .synth import synthetic_events
 from .windows import first_per_key, rank_groups, top_k, top_per_group
 
 __all__ = [
@@ -23,7 +22,6 @@ __all__ = [
     "run",
     "run_shared",
     "split_by_rules",
-    "synthetic_events",
     "top_k",
     "top_per_group",
     "with_server_attributes",

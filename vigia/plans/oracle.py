@@ -7,7 +7,6 @@ analysis is written as one SELECT.
 
 from __future__ import annotations
 
-from ..operators import synth
 from ..schema import (
     CITIES,
     ENDPOINTS,
@@ -222,63 +221,6 @@ SELECT CAST((c * 8) >> 32 AS INTEGER) AS split, COUNT(*) AS filas, MIN(c) AS crc
 FROM crc GROUP BY 1"""
 
 
-def _synth() -> str:
-    """The synthetic table over the numbers ``events.event_id``, seed 42."""
-    m = synth.MODULUS
-    draws = []
-    for name, i in synth.DRAW_NUMBER.items():
-        first, _ = synth.draw_constants(i, 42)
-        draws.append(f"(seq % {m} * 48271 + (seq >> 31) * 65537 + {first}) % {m} AS a{i}")
-    second = ", ".join(
-        f"(a{i} * a{i} + {synth.draw_constants(i, 42)[1]}) % {m} AS b{i}" for i in synth.DRAW_NUMBER.values()
-    )
-    third = ", ".join(f"(b{i} * b{i} + a{i}) % {m} AS d{i}" for i in synth.DRAW_NUMBER.values())
-    d = {name: f"d{i}" for name, i in synth.DRAW_NUMBER.items()}
-    level = _case("tipo_evento", {k: _pick(v, d["nivel"]) for k, v in LEVEL_WEIGHTS.items()})
-    service = _case("tipo_evento", {k: _pick(v, d["servicio"]) for k, v in SERVICES.items()})
-    req = _case("nivel", {k: _pick(v, d["codigo_estado"]) for k, v in synth.REQUEST_STATUS_CODES.items()})
-    other = _case("nivel", {k: _pick(v, d["codigo_estado"]) for k, v in synth.STATUS_CODES.items()})
-    metrics = []
-    for metric in METRICS:
-        low = _case("nivel", {k: str(metric.band(k)[0]) for k in LEVELS})
-        width = _case("nivel", {k: str(metric.band(k)[1] - metric.band(k)[0] + 1) for k in LEVELS})
-        v = d[f"{metric.name}:variation"]
-        factor = f"({v} // 100) % 101"
-        spike = (
-            f"CASE WHEN {v} % 100 >= 18 THEN 100 WHEN {v} % 100 % 2 = 0 THEN 25 + {factor} % 46 "
-            f"ELSE 140 + {factor} % 101 END"
-        )
-        jitter = f"(8500 + ({v} // 100 // 101) % 3001)"
-        base = f"({low} + {d[f'{metric.name}:base']} % {width})"
-        units = f"({base} * ({spike}) * {jitter} + 500000) // 1000000"
-        if metric.cap:
-            units = f"LEAST({units}, {metric.cap})"
-        if metric.hundredths:
-            units = f"CAST({units} AS DOUBLE) / CAST(100 AS DOUBLE)"
-        else:
-            units = f"CAST({units} AS BIGINT)"
-        metrics.append(f"{units} AS {metric.name}")
-    server = d["servidor"]
-    return f"""WITH s0 AS (SELECT event_id AS seq, {', '.join(draws)} FROM events),
-s1 AS (SELECT *, {second} FROM s0),
-s2 AS (SELECT seq, {third} FROM s1),
-s3 AS (SELECT *, {_pick(EVENT_TYPES, 'seq')} AS tipo_evento, md5('42-' || seq) AS hex FROM s2),
-s4 AS (SELECT *, {level} AS nivel, {service} AS servicio FROM s3)
-SELECT substr(hex, 1, 8) || '-' || substr(hex, 9, 4) || '-' || substr(hex, 13, 4) || '-' ||
-    substr(hex, 17, 4) || '-' || substr(hex, 21, 12) AS id_log,
-  strftime(TIMESTAMP '2026-01-01 00:00:00' + to_seconds(seq), '%Y-%m-%d %H:%M:%S') AS momento,
-  {_pick([r[0] for r in SERVERS], server)} AS servidor, {_pick([r[2] for r in SERVERS], server)} AS zona,
-  tipo_evento, nivel, servicio,
-  CAST(CASE WHEN tipo_evento = 'request' THEN {req} ELSE {other} END AS INTEGER) AS codigo_estado,
-  CASE WHEN tipo_evento = 'request' THEN {_pick(HTTP_METHODS, d['metodo_http'])} END AS metodo_http,
-  {_pick(CITIES, d['ciudad'])} AS ciudad,
-  CASE WHEN tipo_evento = 'security' THEN {_pick(LOGIN_RESULTS, d['intento_login'])} END AS intento_login,
-  CAST(tipo_evento = 'security' AND nivel <> 'INFO' AS INTEGER) AS ip_sospechosa,
-  servicio || '-' || ({d['proceso']} % 9000 + 1000) AS proceso,
-  {', '.join(metrics)}
-FROM s4"""
-
-
 def _quality() -> str:
     """Violations per rule of the event table with planted faults."""
     pieces = []
@@ -390,7 +332,6 @@ FROM lineitem WHERE l_discount > 0.05 GROUP BY l_suppkey, l_linestatus""",
   ) AS reglas FROM bad) a GROUP BY reglas""",
             f",\nbad AS ({FAULTS})",
         ),
-        "op_synth_table": _synth(),
         "op_csv_roundtrip": _over_logs(f"SELECT {ROUND_TRIP} FROM logs"),
         "op_jsonl_roundtrip": _over_logs(f"SELECT {ROUND_TRIP} FROM logs"),
         "op_event_table_scan": _over_logs(

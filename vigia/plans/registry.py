@@ -21,12 +21,11 @@ from ..operators import (
     mark_rules,
     quality_report,
     run,
-    synthetic_events,
     top_k,
     top_per_group,
     with_server_attributes,
 )
-from ..schema import EVENT_COLUMNS, METRICS, SERVER_SCHEMA
+from ..schema import EVENT_COLUMNS, SERVER_SCHEMA
 from ..session import configure, scratch_path
 from ..sources import publish_rows, read_csv, read_events, read_jsonl, register, write_csv, write_events, write_jsonl
 from ..streaming import file_records, start_csv_copy, start_jsonl_copy, start_table_ingest, text_records
@@ -226,30 +225,6 @@ def op_json_decode(events):
     return events.select("event_id", decoded["k"].alias("k"))
 
 
-@_over_tables("events")
-def op_synth_table(events):
-    made = synthetic_events(events, seq="event_id", seed=42)
-    metrics = [
-        F.col(m.name).cast("double" if m.hundredths else "bigint").alias(m.name) for m in METRICS
-    ]
-    return made.select(
-        "id_log",
-        F.date_format("timestamp_evento", "yyyy-MM-dd HH:mm:ss").alias("momento"),
-        "servidor",
-        "zona",
-        "tipo_evento",
-        "nivel",
-        "servicio",
-        "codigo_estado",
-        "metodo_http",
-        "ciudad",
-        "intento_login",
-        F.col("ip_sospechosa").cast("int").alias("ip_sospechosa"),
-        "proceso",
-        *metrics,
-    )
-
-
 # --- operators on the event table ----------------------------------------------------
 
 

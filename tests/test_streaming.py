@@ -15,9 +15,14 @@ from vigia.streaming import (
     distinct_events,
     drain_and_stop,
     file_records,
+    progress_of,
+    read_late,
+    read_windows,
+    start_copies,
     start_csv_copy,
     start_jsonl_copy,
     start_table_ingest,
+    start_windowed_counts,
     text_records,
     valid_events,
 )
@@ -211,3 +216,98 @@ def test_duplicates_dropped_inside_the_stream(spark, tmp_path, horizon):
     )
     query.awaitTermination()
     assert rows(spark.read.parquet(f"{tmp_path}/out").select("id_log")) == [("a",), ("b",), ("c",)]
+
+
+def test_totals_count_batches_whose_progress_is_gone(spark, tmp_path):
+    """Ten batches, of which the session keeps three."""
+    for i in range(10):
+        put(spark, [message(id_log=f"e{i}-{j}") for j in range(i + 1)], f"{tmp_path}/inbox")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        records = file_records(spark, f"{tmp_path}/inbox", max_files_per_trigger=1)
+        query = start_copies(records, f"{tmp_path}/cp", jsonl=f"{tmp_path}/out", interval="0 seconds", name=f"q{uuid.uuid4().hex}")
+        assert drain_and_stop(query) == {query.name: 55}
+        assert sum(p["numInputRows"] for p in query.recentProgress) < 55
+        assert progress_of(spark).observed[query.name] == {"copiados": 55, "muertos": 0}
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_copies_keep_incomplete_events_and_dead_letters_the_rest(spark, tmp_path):
+    values = [message(id_log="a"), message(id_log="b", servidor=...), "not json", "", message(id_log="c", nivel=None), "[1]"]
+    put(spark, values, f"{tmp_path}/inbox")
+    name = f"q{uuid.uuid4().hex}"
+    paths = {k: f"{tmp_path}/{k}" for k in ("csv", "jsonl", "dead")}
+    query = start_copies(file_records(spark, f"{tmp_path}/inbox"), f"{tmp_path}/cp", interval=None, name=name, **paths)
+    query.awaitTermination()
+    for read, kind in ((read_csv, "csv"), (read_jsonl, "jsonl")):
+        assert rows(read(spark, paths[kind]).select("id_log", "servidor", "nivel")) == [
+            ("a", "server-01", "INFO"),
+            ("b", None, "INFO"),
+            ("c", "server-01", None),
+        ]
+    assert rows(spark.read.parquet(paths["dead"]).select("_raw", "_reason")) == [("[1]", "malformed"), ("not json", "malformed")]
+    progress = progress_of(spark)
+    progress.wait_for(query)
+    assert progress.observed[name] == {"copiados": 3, "muertos": 2}
+
+
+def test_a_replayed_batch_copies_nothing_twice(spark, tmp_path):
+    """The commit of the batch is lost, as if the driver had died after writing: it runs again."""
+    put(spark, [message(id_log=i) for i in "abc"] + ["bad"], f"{tmp_path}/inbox")
+
+    def drain_copies():
+        start_copies(
+            file_records(spark, f"{tmp_path}/inbox"), f"{tmp_path}/cp", f"{tmp_path}/csv", f"{tmp_path}/jsonl", f"{tmp_path}/dead", None
+        ).awaitTermination()
+
+    drain_copies()
+    for commit in (tmp_path / "cp" / "commits").iterdir():
+        commit.unlink()
+    drain_copies()
+    assert read_csv(spark, f"{tmp_path}/csv").count() == read_jsonl(spark, f"{tmp_path}/jsonl").count() == 3
+    assert spark.read.parquet(f"{tmp_path}/dead").count() == 1
+
+
+def windowed(spark, base):
+    events = valid_events(decode_records(file_records(spark, f"{base}/inbox")))
+    queries = start_windowed_counts(events, f"{base}/out", f"{base}/cp", interval=None, name=f"w{uuid.uuid4().hex}")
+    for query in queries:
+        query.awaitTermination()
+    return queries
+
+
+def test_windows_close_after_the_delay_and_late_rows_are_counted_apart(spark, tmp_path):
+    def at(minute, **changes):
+        return message(id_log=uuid.uuid4().hex, timestamp_evento=f"2026-06-17T10:{minute:02}:30Z", **changes)
+
+    put(spark, [at(1), at(1, nivel="ERROR"), at(30), at(21, servicio="db")], f"{tmp_path}/inbox")
+    windowed(spark, tmp_path)
+    # The mark is now 10:20:30: windows that end at 10:20 or before are closed.
+    put(spark, [at(2, nivel="CRITICAL"), at(19), at(20), at(31), at(14, servicio="db")], f"{tmp_path}/inbox", start=9)
+    counted, _ = windowed(spark, tmp_path)
+    windows = [(r.servicio, f"{r.inicio:%H:%M}", r.eventos, r.errores) for r in read_windows(spark, f"{tmp_path}/out").collect()]
+    assert sorted(windows) == [
+        ("api-gateway", "10:00", 2, 1),
+        ("api-gateway", "10:20", 1, 0),
+        ("api-gateway", "10:30", 2, 0),
+        ("db", "10:20", 1, 0),
+    ]
+    assert rows(read_late(spark, f"{tmp_path}/out")) == [("api-gateway", 2, 1), ("db", 1, 0)]
+    # Closed windows leave the state: the mark is 10:21:30, and three windows end later.
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in counted.recentProgress if p["stateOperators"]]
+    assert states[-1] == 3
+
+
+def test_windows_survive_a_replay_and_an_empty_stream(spark, tmp_path):
+    (tmp_path / "inbox").mkdir()
+    put(spark, [message(id_log="a"), message(id_log="b", nivel="ERROR"), "bad"], f"{tmp_path}/inbox")
+    windowed(spark, tmp_path)
+    before = rows(read_windows(spark, f"{tmp_path}/out"))
+    for part in ("ventanas", "totales"):
+        for commit in (tmp_path / "cp" / part / "commits").iterdir():
+            commit.unlink()
+    windowed(spark, tmp_path)
+    assert rows(read_windows(spark, f"{tmp_path}/out")) == before and len(before) == 1 and before[0][2:] == (2, 1)
+    assert rows(read_late(spark, f"{tmp_path}/out")) == []

@@ -266,7 +266,8 @@ FAULTS = """SELECT * REPLACE (
 
 def _operators() -> dict[str, str]:
     route = _case("tipo_evento", {k: _lit(v) for k, v in TOPIC_OF_TYPE.items()})
-    copies = "UNION ALL".join(f" SELECT '{c}' AS copia, * FROM logs " for c in ("csv", "jsonl"))
+    decodable = "SELECT * FROM logs UNION ALL SELECT * REPLACE (NULL AS servidor) FROM logs WHERE event_id % 40 = 0"
+    copies = "UNION ALL".join(f" SELECT '{c}' AS copia, * FROM ({decodable}) x " for c in ("csv", "jsonl"))
     return {
         "op_crc32_split": _crc32_split(),
         "op_left_anti_ingest": """SELECT o_orderkey, o_custkey FROM orders
@@ -344,7 +345,20 @@ WHERE timestamp_evento >= TIMESTAMP '2024-01-05' AND timestamp_evento < TIMESTAM
   UNION ALL SELECT 'missing:servidor' FROM events WHERE event_id % 40 = 0) a GROUP BY motivo""",
         "op_stream_copies": _over_logs(
             f"""SELECT copia, {route} AS topic, COUNT(*) AS eventos, COUNT(metodo_http) AS con_metodo,
-  CAST(SUM(bytes_entrada) AS BIGINT) AS bytes FROM ({copies}) a GROUP BY copia, 2"""
+  COUNT(*) FILTER (WHERE servidor IS NULL) AS sin_servidor, CAST(SUM(bytes_entrada) AS BIGINT) AS bytes FROM ({copies}) a GROUP BY copia, 2"""
+        ),
+        "op_copy_dead_letters": _over_logs(
+            f"""SELECT {route} AS topic, 'malformed' AS motivo, COUNT(*) AS mensajes, COUNT(*) AS con_texto
+FROM logs WHERE event_id % 50 = 0 GROUP BY 1"""
+        ),
+        "op_stream_windowed": _over_logs(
+            """SELECT servicio, CASE WHEN NOT late THEN strftime(w, '%Y-%m-%d %H:%M:%S') END AS inicio,
+  COUNT(*) AS eventos, COUNT(*) FILTER (WHERE nivel IN ('ERROR', 'CRITICAL')) AS errores, CAST(late AS INTEGER) AS tarde
+FROM timed GROUP BY servicio, 2, late""",
+            """,
+mark AS (SELECT MAX(timestamp_evento) - INTERVAL 10 MINUTES AS m FROM logs WHERE event_id % 3 <> 0),
+timed AS (SELECT servicio, nivel, w, event_id % 3 = 0 AND w + INTERVAL 5 MINUTES <= m AS late
+  FROM (SELECT *, time_bucket(INTERVAL 5 MINUTES, timestamp_evento) AS w FROM logs) x, mark)""",
         ),
     }
 

@@ -28,7 +28,17 @@ from ..operators import (
 from ..schema import EVENT_COLUMNS, SERVER_SCHEMA
 from ..session import configure, scratch_path
 from ..sources import publish_rows, read_csv, read_events, read_jsonl, register, write_csv, write_events, write_jsonl
-from ..streaming import file_records, start_csv_copy, start_jsonl_copy, start_table_ingest, text_records
+from ..streaming import (
+    decode_records,
+    file_records,
+    read_late,
+    read_windows,
+    start_copies,
+    start_table_ingest,
+    start_windowed_counts,
+    text_records,
+    valid_events,
+)
 from . import analyses as A
 from .fixture import logs_view, read_table
 from .sql import SQL_CATALOG, run_sql
@@ -386,20 +396,22 @@ def op_stream_dead_letters(logs):
     return letters.groupBy(F.col("_reason").alias("motivo")).agg(F.count(F.lit(1)).alias("mensajes"))
 
 
-@_over_logs
-def op_stream_copies(logs):
-    """CSV and JSON-lines copies of raw message lines, one directory per topic."""
+def _copied(logs: DataFrame) -> str:
+    """One stream copies raw message lines, one directory per topic, to CSV and JSON lines; the rest is kept apart."""
     spark = logs.sparkSession
     base = scratch_path(spark, "copies")
     lines = _messages(logs).unionAll(_broken(_messages(logs)))
     lines.select("topic", "value").write.partitionBy("topic").text(f"{base}/inbox")
-    starts = {"csv": start_csv_copy, "jsonl": start_jsonl_copy}
-    queries = [
-        start(text_records(spark, f"{base}/inbox"), f"{base}/{name}", f"{base}/checkpoint-{name}", None)
-        for name, start in starts.items()
-    ]
-    for query in queries:
-        query.awaitTermination()
+    records = text_records(spark, f"{base}/inbox")
+    start_copies(records, f"{base}/checkpoint", f"{base}/csv", f"{base}/jsonl", f"{base}/dead", None).awaitTermination()
+    return base
+
+
+@_over_logs
+def op_stream_copies(logs):
+    """The copies hold every message that can be decoded, those without a server too."""
+    spark = logs.sparkSession
+    base = _copied(logs)
     reads = {"csv": read_csv, "jsonl": read_jsonl}
     stored = None
     for name, read in reads.items():
@@ -408,10 +420,40 @@ def op_stream_copies(logs):
     return stored.groupBy("copia", F.col("_kafka_topic").alias("topic")).agg(
         F.count(F.lit(1)).alias("eventos"),
         F.count("metodo_http").alias("con_metodo"),
+        F.count_if(F.col("servidor").isNull()).alias("sin_servidor"),
         F.sum("bytes_entrada").alias("bytes"),
     )
 
 
+@_over_logs
+def op_copy_dead_letters(logs):
+    letters = logs.sparkSession.read.parquet(f"{_copied(logs)}/dead")
+    return letters.groupBy(F.col("_kafka_topic").alias("topic"), F.col("_reason").alias("motivo")).agg(
+        F.count(F.lit(1)).alias("mensajes"), F.count_if(F.col("_raw").startswith("not json ")).alias("con_texto")
+    )
+
+
+@_over_logs
+def op_stream_windowed(logs):
+    """Error rows by service and five minutes over two runs from one checkpoint.
+
+    The second run brings every third event: those whose window ended before the
+    latest event of the first run less ten minutes are late, and counted apart.
+    """
+    spark = logs.sparkSession
+    base = scratch_path(spark, "windows")
+    messages = _messages(logs)
+    for later in (False, True):
+        messages.where((F.col("offset") % 3 == 0) == later).write.mode("append").parquet(f"{base}/inbox")
+        events = valid_events(decode_records(file_records(spark, f"{base}/inbox", "parquet")))
+        for query in start_windowed_counts(events, f"{base}/out", f"{base}/checkpoint", interval=None):
+            query.awaitTermination()
+    started = F.date_format("inicio", "yyyy-MM-dd HH:mm:ss").alias("inicio")
+    windows = read_windows(spark, f"{base}/out").select("servicio", started, "eventos", "errores", F.lit(0).alias("tarde"))
+    none = F.lit(None).cast("string").alias("inicio")
+    return windows.unionAll(read_late(spark, f"{base}/out").select("servicio", none, "eventos", "errores", F.lit(1).alias("tarde")))
+
+
 def queries() -> dict[str, Query]:
     rounded = {
         name: _over_logs(lambda logs, build=build: build(logs, rounding=round_ties_up))

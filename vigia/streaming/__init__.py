@@ -1,27 +1,37 @@
-from .ingest import dead_letters, decode_records, distinct_events, valid_events
+from .ingest import dead_letters, decodable_events, decode_records, distinct_events, valid_events
 from .queries import (
     ProgressLog,
     drain_and_stop,
+    progress_of,
+    start_copies,
     start_csv_copy,
     start_jdbc_ingest,
     start_jsonl_copy,
     start_table_ingest,
 )
 from .records import RECORD_SCHEMA, file_records, kafka_records, text_records
+from .windows import read_late, read_windows, start_windowed_counts, windowed_counts
 
 __all__ = [
     "ProgressLog",
     "RECORD_SCHEMA",
     "dead_letters",
+    "decodable_events",
     "decode_records",
     "distinct_events",
     "drain_and_stop",
     "file_records",
     "kafka_records",
+    "progress_of",
+    "read_late",
+    "read_windows",
+    "start_copies",
     "start_csv_copy",
     "start_jdbc_ingest",
     "start_jsonl_copy",
     "start_table_ingest",
+    "start_windowed_counts",
     "text_records",
     "valid_events",
+    "windowed_counts",
 ]

@@ -9,6 +9,7 @@ from ..operators.windows import first_per_key
 from ..schema import EVENT_COLUMNS, META_COLUMNS, REQUIRED_COLUMNS
 
 REASON, RAW = "_reason", "_raw"
+MALFORMED = "malformed"
 
 
 def _reason(event: Column) -> Column:
@@ -17,7 +18,7 @@ def _reason(event: Column) -> Column:
         ",", *(F.when(event[c].isNull(), F.lit(c)) for c in REQUIRED_COLUMNS)
     )
     return (
-        F.when(event.isNull() | event[CORRUPT].isNotNull(), F.lit("malformed"))
+        F.when(event.isNull() | event[CORRUPT].isNotNull(), F.lit(MALFORMED))
         .when(missing != "", F.concat(F.lit("missing:"), missing))
     )
 
@@ -47,6 +48,11 @@ def valid_events(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col(REASON).isNull()).drop(RAW, REASON)
 
 
+def decodable_events(decoded: DataFrame) -> DataFrame:
+    """Everything that could be decoded, with or without its required fields."""
+    return decoded.where(F.col(REASON).isNull() | (F.col(REASON) != MALFORMED)).drop(RAW, REASON)
+
+
 def dead_letters(decoded: DataFrame) -> DataFrame:
     """Rejected records: bookkeeping columns, raw text and reason."""
     return decoded.where(F.col(REASON).isNotNull()).select(*META_COLUMNS, RAW, REASON)

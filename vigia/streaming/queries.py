@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from weakref import WeakKeyDictionary
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
@@ -16,7 +18,7 @@ from ..operators.joins import insert_if_absent
 from ..sources.files import TABLE_SCHEMA
 from ..sources.jdbc import JdbcTable, append_jdbc, read_jdbc_keys
 from ..sources.sinks import CSV_OPTIONS, JSON_OPTIONS, with_all_columns, write_events
-from .ingest import REASON, dead_letters, decode_records, first_arrivals, valid_events
+from .ingest import MALFORMED, REASON, dead_letters, decodable_events, decode_records, first_arrivals, valid_events
 
 log = logging.getLogger(__name__)
 
@@ -24,18 +26,32 @@ FLUSH_INTERVAL = "2 seconds"
 
 
 class ProgressLog(StreamingQueryListener):
-    """Logs rows per micro-batch and keeps running totals per query name."""
+    """Logs rows per micro-batch and keeps running totals, by query name and by run.
+
+    Totals grow with every batch that is reported, whatever the session keeps of
+    its progress.  ``observed`` adds up the metrics that a stream observes.
+    """
 
     def __init__(self) -> None:
         self.totals: dict[str, int] = {}
+        self.by_run: dict[str, int] = {}
+        self.observed: dict[str, dict[str, int]] = {}
+        self.last_batch: dict[str, int] = {}
+        self.ended: set[str] = set()
 
     def onQueryStarted(self, event) -> None:
         log.info("started %s", event.name or event.id)
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        name = p.name or str(p.id)
+        name, run = p.name or str(p.id), str(p.runId)
         self.totals[name] = self.totals.get(name, 0) + p.numInputRows
+        self.by_run[run] = self.by_run.get(run, 0) + p.numInputRows
+        for row in (p.observedMetrics or {}).values():
+            own = self.observed.setdefault(name, {})
+            for metric, value in row.asDict().items():
+                own[metric] = own.get(metric, 0) + (value or 0)
+        self.last_batch[run] = p.batchId
         log.info("%s: batch %d, %d rows, %d in total", name, p.batchId, p.numInputRows, self.totals[name])
 
     def onQueryIdle(self, event) -> None:
@@ -43,15 +59,41 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         log.info("stopped %s", event.id)
+        self.ended.add(str(event.runId))
+
+    def wait_for(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until all batches of a stopped query have been reported; events of a run arrive in order."""
+        until = time.monotonic() + seconds
+        while str(query.runId) not in self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no end of {query.name or query.id} reported")
+            time.sleep(0.02)
+
+
+_progress: WeakKeyDictionary[SparkContext, ProgressLog] = WeakKeyDictionary()
+
+
+def progress_of(spark: SparkSession) -> ProgressLog:
+    """The log of all streams that this package starts in the session."""
+    context = spark.sparkContext
+    if context not in _progress:
+        _progress[context] = ProgressLog()
+        spark.streams.addListener(_progress[context])
+    return _progress[context]
 
 
 def drain_and_stop(*queries: StreamingQuery) -> dict[str, int]:
-    """Process what has arrived, stop, and report the rows each query read."""
+    """Process what has arrived, stop, and report the rows each query read since it was started.
+
+    For streams that this package started: the numbers come from its listener.
+    """
     read = {}
     for query in queries:
         query.processAllAvailable()
         query.stop()
-        read[query.name or query.id] = sum(p["numInputRows"] for p in query.recentProgress)
+        progress = _progress[SparkSession.active().sparkContext]
+        progress.wait_for(query)
+        read[query.name or query.id] = progress.by_run.get(str(query.runId), 0)
     return read
 
 
@@ -60,29 +102,87 @@ def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWrit
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
-def _start(df: DataFrame, name: str, checkpoint: str, interval: str | None, configure) -> StreamingQuery:
+def start_stream(df: DataFrame, name: str, checkpoint: str, interval: str | None, configure) -> StreamingQuery:
+    """Start ``df`` as a named stream whose totals the session's progress log keeps."""
+    progress_of(df.sparkSession)
     writer = df.writeStream.queryName(name).option("checkpointLocation", checkpoint)
     return _triggered(configure(writer), interval).start()
 
 
-def start_csv_copy(
-    records: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL, name: str = "csv_copy"
+def batch_directory(batch: DataFrame, path: str, batch_id: int) -> str:
+    """Where a batch keeps its rows, the same for a replay.
+
+    The query id changes only with a new checkpoint, whose batch numbers start again.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{path}/query={query}/batch={batch_id}"
+
+
+def keep_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch body that keeps each batch as Parquet in its own directory."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(batch_directory(batch, path, batch_id))
+
+    return handle
+
+
+def start_copies(
+    records: DataFrame,
+    checkpoint: str,
+    csv: str | None = None,
+    jsonl: str | None = None,
+    dead: str | None = None,
+    interval: str | None = FLUSH_INTERVAL,
+    name: str = "copias",
 ) -> StreamingQuery:
-    """Append every decodable event, with bookkeeping, to CSV files."""
-    rows = with_all_columns(valid_events(decode_records(records)))
-    return _start(
-        rows, name, checkpoint, interval, lambda w: w.format("csv").options(**CSV_OPTIONS).option("path", path)
+    """Decode once; copy every decodable event, with bookkeeping, to CSV and JSON-lines files.
+
+    Events that lack required fields are decodable: they are copied as they came.
+    Messages that are not go to ``dead`` as Parquet.  Each sink has a directory per
+    batch, which a replay overwrites, so a batch that failed half-way leaves no copies
+    twice.  The stream observes ``copiados`` and ``muertos``.
+    """
+    decoded = decode_records(records)
+    broken = F.col(REASON) == MALFORMED
+    decoded = decoded.observe(
+        name, F.count_if(~F.coalesce(broken, F.lit(False))).alias("copiados"), F.count_if(broken).alias("muertos")
     )
+    sinks = {"csv": (csv, CSV_OPTIONS), "json": (jsonl, JSON_OPTIONS)}
+    wanted = {fmt: sink for fmt, sink in sinks.items() if sink[0]}
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        shared = len(wanted) + bool(dead) > 1
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK) if shared else batch
+        try:
+            rows = with_all_columns(decodable_events(kept))
+            for fmt, (path, options) in wanted.items():
+                writer = rows.write.mode("overwrite").format(fmt).options(**options)
+                writer.save(batch_directory(batch, path, batch_id))
+            if dead:
+                letters = dead_letters(kept).where(F.col(REASON) == MALFORMED)
+                letters.write.mode("overwrite").parquet(batch_directory(batch, dead, batch_id))
+        finally:
+            if shared:
+                kept.unpersist()
+
+    return start_stream(decoded, name, checkpoint, interval, lambda w: w.foreachBatch(handle))
+
+
+def start_csv_copy(
+    records: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL, name: str = "csv_copy",
+    dead: str | None = None,
+) -> StreamingQuery:
+    """Append every decodable event, with bookkeeping, to CSV files; the rest to ``dead`` (see :func:`start_copies`)."""
+    return start_copies(records, checkpoint, csv=path, dead=dead, interval=interval, name=name)
 
 
 def start_jsonl_copy(
-    records: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL, name: str = "jsonl_copy"
+    records: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL, name: str = "jsonl_copy",
+    dead: str | None = None,
 ) -> StreamingQuery:
-    """Append every decodable event, with bookkeeping, to JSON-lines files."""
-    rows = with_all_columns(valid_events(decode_records(records)))
-    return _start(
-        rows, name, checkpoint, interval, lambda w: w.format("json").options(**JSON_OPTIONS).option("path", path)
-    )
+    """Append every decodable event, with bookkeeping, to JSON-lines files; the rest to ``dead`` (see :func:`start_copies`)."""
+    return start_copies(records, checkpoint, jsonl=path, dead=dead, interval=interval, name=name)
 
 
 @dataclass(frozen=True)
@@ -128,12 +228,7 @@ def _ingest_batches(
         try:
             summary = _summarise(batch)
             if summary.dead:
-                # The query id changes only with a new checkpoint, whose batch
-                # numbers start again.
-                query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-                dead_letters(batch).write.mode("overwrite").parquet(
-                    f"{dead_path}/query={query}/batch={batch_id}"
-                )
+                dead_letters(batch).write.mode("overwrite").parquet(batch_directory(batch, dead_path, batch_id))
             if summary.good:
                 events = valid_events(batch)
                 fresh = first_arrivals(events)
@@ -181,7 +276,7 @@ def start_table_ingest(
         write_events(fresh, table)
 
     handle = _ingest_batches(stored_keys, append, dead)
-    return _start(
+    return start_stream(
         decode_records(records), name, checkpoint, interval, lambda w: w.foreachBatch(handle)
     )
 
@@ -210,6 +305,6 @@ def start_jdbc_ingest(
         append_jdbc(fresh, target)
 
     handle = _ingest_batches(stored_keys, append, dead)
-    return _start(
+    return start_stream(
         decode_records(records), name, checkpoint, interval, lambda w: w.foreachBatch(handle)
     )

@@ -2,12 +2,13 @@ import json
 import uuid
 
 import pytest
-from conftest import numbered_events, rows
+from conftest import numbered_events, plan, rows
 from pyspark.sql import functions as F
 
 from vigia.schema import EVENT_COLUMNS, META_COLUMNS
-from vigia.sources import publish_rows, read_csv, read_events, read_jsonl
+from vigia.sources import publish_rows, read_csv, read_events, read_jsonl, write_events
 from vigia.streaming import (
+    IdIndex,
     RECORD_SCHEMA,
     ProgressLog,
     dead_letters,
@@ -311,3 +312,54 @@ def test_windows_survive_a_replay_and_an_empty_stream(spark, tmp_path):
     windowed(spark, tmp_path)
     assert rows(read_windows(spark, f"{tmp_path}/out")) == before and len(before) == 1 and before[0][2:] == (2, 1)
     assert rows(read_late(spark, f"{tmp_path}/out")) == []
+
+
+def ids(spark, names):
+    return spark.createDataFrame([(n,) for n in names], "id_log string")
+
+
+def test_only_the_new_side_of_an_indexed_lookup_is_shuffled(spark, tmp_path):
+    index = IdIndex(f"{tmp_path}/ids", buckets=16)
+    index.add(ids(spark, [f"e{i}" for i in range(3000)]), "a")
+    index.add(ids(spark, [f"f{i}" for i in range(3000)]), "b")
+    absent = index.absent(ids(spark, ["e1", "f2", "g3", None]))
+    assert rows(absent) == [("g3",), (None,)]
+    text = plan(absent).split("== Initial Plan ==")[-1]
+    assert text.count("Exchange hashpartitioning(id_log") == 1 and "SelectedBucketsCount: 16 out of 16" in text
+    stored = text[text.index("FileScan") - 400 :]
+    assert "Exchange" not in stored
+    # One file a bucket and batch, then one a bucket.
+    assert len(list((tmp_path / "ids").glob("*.parquet"))) == 32
+    small = index.compacted(spark, f"{tmp_path}/small")
+    assert len(list((tmp_path / "small").glob("*.parquet"))) == 16 and small.ids(spark).count() == 6000
+
+
+def test_another_session_reads_the_same_buckets(spark, tmp_path):
+    index = IdIndex(f"{tmp_path}/ids", buckets=4)
+    index.add(ids(spark, ["a", "b"]), "x")
+    spark.sql(f"DROP TABLE {index.table}")  # the catalog of a new session knows nothing of it
+    assert rows(index.absent(ids(spark, ["a", "c"]))) == [("c",)]
+    assert index.has(spark, "x") and not index.has(spark, "y")
+
+
+@pytest.mark.parametrize("lost", ["index", "table", "both"])
+def test_indexed_ingest_ends_right_wherever_a_batch_was_cut(spark, tmp_path, lost):
+    """The second batch is run again with its index entries, its rows, or both already there."""
+    base, index = str(tmp_path), IdIndex(f"{tmp_path}/ids", buckets=4)
+    put(spark, [message(id_log=i) for i in "abc"], f"{base}/inbox")
+    drain(spark, base, index=index)
+    put(spark, [message(id_log=i) for i in "cde"], f"{base}/inbox", start=9)
+    if lost != "both":
+        drain(spark, base, index=index)
+        commits = tmp_path / "checkpoint" / "commits"
+        last = max(int(p.name) for p in commits.glob("[0-9]*"))
+        for name in (f"{last}", f".{last}.crc"):
+            (commits / name).unlink()
+        if lost == "table":  # only the ids had been added
+            kept = spark.createDataFrame(read_events(spark, f"{base}/table").where("id_log IN ('a', 'b', 'c')").collect(), read_events(spark, f"{base}/table").schema)
+            write_events(kept, f"{base}/table", "overwrite")
+    drain(spark, base, index=index)
+    assert rows(read_events(spark, f"{base}/table").select("id_log")) == [(i,) for i in "abcde"]
+    put(spark, [message(id_log=i, timestamp_evento="2020-01-01T00:00:00Z") for i in "aef"], f"{base}/inbox", start=20)
+    drain(spark, base, index=index)
+    assert rows(read_events(spark, f"{base}/table").select("id_log")) == [(i,) for i in "abcdef"]

@@ -29,6 +29,7 @@ from ..schema import EVENT_COLUMNS, SERVER_SCHEMA
 from ..session import configure, scratch_path
 from ..sources import publish_rows, read_csv, read_events, read_jsonl, register, write_csv, write_events, write_jsonl
 from ..streaming import (
+    IdIndex,
     decode_records,
     file_records,
     read_late,
@@ -358,27 +359,32 @@ def _broken(messages: DataFrame) -> DataFrame:
     return some(50, unreadable).unionAll(some(40, no_server)).unionAll(some(30, F.lit("")))
 
 
-def _ingested(logs: DataFrame) -> tuple[str, str]:
+def _ingested(logs: DataFrame, indexed: bool = False) -> tuple[str, str]:
     """Two runs of the ingest stream over messages with copies and faults.
 
     The first run holds copies within a batch; the second, restarted from the
-    checkpoint, brings copies of stored events.
+    checkpoint, brings copies of stored events.  ``indexed`` looks their ids up in
+    a bucketed index, and the copies have other event times than the originals.
     """
     spark = logs.sparkSession
     base = scratch_path(spark, "stream")
     inbox, table, dead = f"{base}/inbox", f"{base}/table", f"{base}/dead"
     messages = _messages(logs)
+    index = IdIndex(f"{base}/ids", buckets=16) if indexed else None
 
     def drain() -> None:
         query = start_table_ingest(
-            file_records(spark, inbox, "parquet"), table, dead, f"{base}/checkpoint", interval=None
+            file_records(spark, inbox, "parquet"), table, dead, f"{base}/checkpoint", interval=None, index=index
         )
         query.awaitTermination()
 
     first = messages.unionAll(_redelivered(messages, 10, "1 HOUR")).unionAll(_broken(messages))
     first.write.mode("append").parquet(inbox)
     drain()
-    _redelivered(messages, 7, "2 HOURS").write.mode("append").parquet(inbox)
+    again = _redelivered(messages, 7, "2 HOURS")
+    if indexed:
+        again = again.withColumn("value", F.regexp_replace("value", '"timestamp_evento":"2024', '"timestamp_evento":"2025'))
+    again.write.mode("append").parquet(inbox)
     drain()
     return table, dead
 
@@ -389,6 +395,13 @@ def op_stream_ingest(logs):
     return _round_trip(read_events(logs.sparkSession, table))
 
 
+@_over_logs
+def op_ingest_indexed(logs):
+    """The ingest stream with a bucketed index of ids: redelivered events of another year are found too."""
+    table, _ = _ingested(logs, indexed=True)
+    return _round_trip(read_events(logs.sparkSession, table))
+
+
 @_over_logs
 def op_stream_dead_letters(logs):
     _, dead = _ingested(logs)

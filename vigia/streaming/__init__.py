@@ -1,3 +1,4 @@
+from .index import IdIndex
 from .ingest import dead_letters, decodable_events, decode_records, distinct_events, valid_events
 from .queries import (
     ProgressLog,
@@ -13,6 +14,7 @@ from .records import RECORD_SCHEMA, file_records, kafka_records, text_records
 from .windows import read_late, read_windows, start_windowed_counts, windowed_counts
 
 __all__ = [
+    "IdIndex",
     "ProgressLog",
     "RECORD_SCHEMA",
     "dead_letters",

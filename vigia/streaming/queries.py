@@ -18,6 +18,7 @@ from ..operators.joins import insert_if_absent
 from ..sources.files import TABLE_SCHEMA
 from ..sources.jdbc import JdbcTable, append_jdbc, read_jdbc_keys
 from ..sources.sinks import CSV_OPTIONS, JSON_OPTIONS, with_all_columns, write_events
+from .index import IdIndex
 from .ingest import MALFORMED, REASON, dead_letters, decodable_events, decode_records, first_arrivals, valid_events
 
 log = logging.getLogger(__name__)
@@ -212,7 +213,7 @@ def _summarise(batch: DataFrame) -> BatchSummary:
 
 
 def _ingest_batches(
-    stored_keys: Callable[[SparkSession, BatchSummary], DataFrame | None],
+    stored_keys: Callable[[SparkSession, BatchSummary], DataFrame],
     append: Callable[[DataFrame, BatchSummary], None],
     dead_path: str,
 ) -> Callable[[DataFrame, int], None]:
@@ -232,16 +233,55 @@ def _ingest_batches(
             if summary.good:
                 events = valid_events(batch)
                 fresh = first_arrivals(events)
-                stored = stored_keys(spark, summary)
-                if stored is not None:
-                    fresh = insert_if_absent(fresh, stored, "id_log")
-                append(fresh, summary)
+                append(insert_if_absent(fresh, stored_keys(spark, summary), "id_log"), summary)
         finally:
             batch.unpersist()
 
     return handle
 
 
+def _indexed_batches(index: IdIndex, table: str, dead_path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch body that asks the index for stored ids, not the table.
+
+    A batch adds its ids to the index before its rows to the table.  If the run
+    ended between the two, the index knows the batch: it is then held against the
+    table itself, and what is missing there is added.
+    """
+    started: set[str] = set()
+
+    def handle(decoded: DataFrame, batch_id: int) -> None:
+        spark = decoded.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        lot = f"{query}-{batch_id}"
+        batch = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            dead_letters(batch).write.mode("overwrite").parquet(batch_directory(batch, dead_path, batch_id))
+            fresh = index.absent(first_arrivals(valid_events(batch)), lot)
+            # Only the first batch of a run can be one that was begun before.
+            if query not in started and index.has(spark, lot):
+                fresh = insert_if_absent(fresh, _stored_ids(spark, table), "id_log")
+            started.add(query)
+            fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+            index.add(fresh, lot)
+            write_events(fresh, table)
+            fresh.unpersist()
+        finally:
+            batch.unpersist()
+
+    return handle
+
+
+def _stored_ids(spark: SparkSession, table: str) -> DataFrame:
+    """The ids of the event table; of none if it is not there yet."""
+    try:
+        # The schema is given, so no footer is read to plan the lookup.
+        return spark.read.schema(TABLE_SCHEMA).parquet(table).select("id_log", "fecha")
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return spark.createDataFrame([], "id_log string, fecha date")
+        raise
+
+
 def start_table_ingest(
     records: DataFrame,
     table: str,
@@ -250,22 +290,21 @@ def start_table_ingest(
     interval: str | None = FLUSH_INTERVAL,
     same_date: bool = False,
     name: str = "table_ingest",
+    index: IdIndex | None = None,
 ) -> StreamingQuery:
     """Insert-if-absent into the Parquet event table; one writer per table.
 
+    With ``index`` the stored ids are looked up there, bucket by bucket: exact
+    whatever the event times are, and the stored ids are not shuffled.  The index
+    must have been kept from the table's first row on.
+
     The stored ids are looked up in the whole table.  ``same_date=True`` looks
     only in the dates present in the batch, which is exact when copies of an
     event carry the event time of the original, as redelivered messages do.
     """
 
-    def stored_keys(spark: SparkSession, summary: BatchSummary) -> DataFrame | None:
-        try:
-            # The schema is given, so no footer is read to plan the lookup.
-            stored = spark.read.schema(TABLE_SCHEMA).parquet(table)
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+    def stored_keys(spark: SparkSession, summary: BatchSummary) -> DataFrame:
+        stored = _stored_ids(spark, table)
         if same_date:
             # Literal bounds: only the batch's date partitions are read.
             dates = (F.lit(t).cast("timestamp").cast("date") for t in (summary.first_time, summary.last_time))
@@ -275,7 +314,7 @@ def start_table_ingest(
     def append(fresh: DataFrame, summary: BatchSummary) -> None:
         write_events(fresh, table)
 
-    handle = _ingest_batches(stored_keys, append, dead)
+    handle = _indexed_batches(index, table, dead) if index else _ingest_batches(stored_keys, append, dead)
     return start_stream(
         decode_records(records), name, checkpoint, interval, lambda w: w.foreachBatch(handle)
     )

@@ -2,6 +2,7 @@ from .analysis import Analysis, Measure, run, run_shared
 from .distribution import approx_percentiles, exact_percentiles, exact_summary, global_rank
 from .joins import insert_if_absent, lookup, with_server_attributes
 from .quality import Rule, event_rules, mark_rules, quality_report, split_by_rules
+from .sketches import daily_sketches, rank_bounds, read_sketches, sketch_percentiles, write_sketches
 from .windows import first_per_key, rank_groups, top_k, top_per_group
 
 __all__ = [
@@ -9,6 +10,7 @@ __all__ = [
     "Measure",
     "Rule",
     "approx_percentiles",
+    "daily_sketches",
     "event_rules",
     "exact_percentiles",
     "exact_summary",
@@ -18,11 +20,15 @@ __all__ = [
     "lookup",
     "mark_rules",
     "quality_report",
+    "rank_bounds",
     "rank_groups",
+    "read_sketches",
     "run",
     "run_shared",
+    "sketch_percentiles",
     "split_by_rules",
     "top_k",
     "top_per_group",
     "with_server_attributes",
+    "write_sketches",
 ]

@@ -264,6 +264,15 @@ FAULTS = """SELECT * REPLACE (
   FROM logs"""
 
 
+def _rank_bounds(points: dict[str, str], error: str) -> str:
+    """The exact values ``error`` of the rows below and above each percentile, which an estimate must lie between."""
+    column = "l_extendedprice"
+    return ", ".join(
+        f"quantile_disc({column}, {p} - {error}) AS {name}_min, quantile_disc({column}, {p} + {error}) AS {name}_max, TRUE AS {name}_ok"
+        for name, p in points.items()
+    )
+
+
 def _operators() -> dict[str, str]:
     route = _case("tipo_evento", {k: _lit(v) for k, v in TOPIC_OF_TYPE.items()})
     decodable = "SELECT * FROM logs UNION ALL SELECT * REPLACE (NULL AS servidor) FROM logs WHERE event_id % 40 = 0"
@@ -300,8 +309,11 @@ GROUP BY o_custkey HAVING COUNT(*) > 15 OR MAX(o_totalprice) > 480000""",
         "op_percentile_exact": """SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS p50,
   quantile_disc(l_extendedprice, 0.9) AS p90, quantile_disc(l_extendedprice, 0.95) AS p95,
   quantile_disc(l_extendedprice, 0.99) AS p99 FROM lineitem GROUP BY l_returnflag""",
-        "op_percentile_approx": """SELECT l_suppkey, COUNT(*) AS lineas, TRUE AS p50_ok, TRUE AS p99_ok
-FROM lineitem GROUP BY l_suppkey""",
+        "op_percentile_approx": f"""SELECT l_returnflag, {_rank_bounds({"p50": "0.5", "p99": "0.99"}, "0.001")}
+FROM lineitem GROUP BY l_returnflag""",
+        "op_percentile_sketch": f"""SELECT l_returnflag, COUNT(*) AS filas, MIN(l_extendedprice) AS minimo,
+  MAX(l_extendedprice) AS maximo, {_rank_bounds({"p1": "0.01", "p50": "0.5", "p90": "0.9", "p99": "0.99"}, "0.005")}
+FROM lineitem WHERE l_shipdate >= DATE '1994-01-01' AND l_shipdate < DATE '1998-01-01' GROUP BY l_returnflag""",
         "op_case_bucket": """SELECT banda, COUNT(*) AS total FROM (
   SELECT CASE WHEN o_totalprice < 50000 THEN 'bajo' WHEN o_totalprice BETWEEN 50000 AND 250000 THEN 'medio'
     WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'alto urgente' ELSE 'alto' END AS banda

@@ -12,6 +12,7 @@ from ..functions.split import crc32_split
 from ..operators import (
     Analysis,
     approx_percentiles,
+    daily_sketches,
     event_rules,
     exact_percentiles,
     first_per_key,
@@ -20,11 +21,16 @@ from ..operators import (
     lookup,
     mark_rules,
     quality_report,
+    rank_bounds,
+    read_sketches,
     run,
+    sketch_percentiles,
     top_k,
     top_per_group,
     with_server_attributes,
+    write_sketches,
 )
+from ..operators.sketches import RANK_ERROR
 from ..schema import EVENT_COLUMNS, SERVER_SCHEMA
 from ..session import configure, scratch_path
 from ..sources import publish_rows, read_csv, read_events, read_jsonl, register, write_csv, write_events, write_jsonl
@@ -163,29 +169,44 @@ def op_percentile_exact(lineitem):
     return exact_percentiles(lineitem, ["l_returnflag"], "l_extendedprice", points)
 
 
+def _held_to_bounds(found: DataFrame, rows: DataFrame, keys: list[str], value: str, points: dict, error: float) -> DataFrame:
+    """Estimated percentiles next to the exact values ``error`` below and above in rank.
+
+    An estimate may differ from run to run, so the result holds the bounds, and
+    whether the estimate lies between them.
+    """
+    exact = exact_percentiles(rows, keys, value, rank_bounds(points, error))
+    bounds = [F.col(c) for p in points for c in (f"{p}_min", f"{p}_max")]
+    inside = [F.col(p).between(F.col(f"{p}_min"), F.col(f"{p}_max")).alias(f"{p}_ok") for p in points]
+    kept = [F.col(c) for c in found.columns if c not in points]
+    return found.join(exact, keys).select(*kept, *bounds, *inside)
+
+
+APPROX_POINTS, APPROX_ERROR = {"p50": 0.5, "p99": 0.99}, 0.001
+
+
 @_over_tables("lineitem")
 def op_percentile_approx(lineitem):
-    """Approximate percentiles by supplier, checked against their rank error.
+    """Percentiles by return flag from one digest, between the exact values at 0.1 % of the rows below and above."""
+    found = approx_percentiles(lineitem, ["l_returnflag"], "l_extendedprice", APPROX_POINTS, round(1 / APPROX_ERROR))
+    return _held_to_bounds(found, lineitem, ["l_returnflag"], "l_extendedprice", APPROX_POINTS, APPROX_ERROR)
 
-    A digest's answer depends on how rows are spread over tasks, so the result
-    tells whether each one lies within its bound.
-    """
-    key, value, accuracy = "l_suppkey", "l_extendedprice", 1000
-    points = {"p50": 0.5, "p99": 0.99}
-    found = approx_percentiles(lineitem, [key], value, points, accuracy)
-    counted = lineitem.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-    ranked = lookup(counted, found, key, list(points)).groupBy(key).agg(
-        F.sum("n").alias("lineas"),
-        *(F.sum(F.when(F.col(value) < F.col(p), F.col("n")).otherwise(0)).alias(f"{p}_below") for p in points),
-        *(F.sum(F.when(F.col(value) <= F.col(p), F.col("n")).otherwise(0)).alias(f"{p}_upto") for p in points),
-    )
-    slack = F.col("lineas") * F.lit(5 / accuracy) + 1
-    within = [
-        (F.col(f"{p}_below") - slack <= F.col("lineas") * F.lit(share))
-        & (F.col("lineas") * F.lit(share) <= F.col(f"{p}_upto") + slack)
-        for p, share in points.items()
-    ]
-    return ranked.select(key, "lineas", *(w.alias(f"{p}_ok") for w, p in zip(within, points)))
+
+SKETCH_POINTS, SKETCH_RANGE = {"p1": 0.01, "p50": 0.5, "p90": 0.9, "p99": 0.99}, ("1994-01-01", "1998-01-01")
+
+
+@_over_tables("lineitem")
+def op_percentile_sketch(lineitem):
+    """Percentiles over four years from stored monthly sketches, some months stored again."""
+    spark, (since, until) = lineitem.sparkSession, SKETCH_RANGE
+    path = scratch_path(spark, "sketches")
+    month = F.trunc("l_shipdate", "MM")
+    months = daily_sketches(lineitem, ["l_returnflag"], "l_extendedprice", month)
+    write_sketches(months.where("fecha < '1996-06-01'"), path)
+    write_sketches(months.where("fecha >= '1996-01-01'"), path)
+    found = sketch_percentiles(read_sketches(spark, path, since, until), ["l_returnflag"], SKETCH_POINTS)
+    rows = lineitem.where((F.col("l_shipdate") >= since) & (F.col("l_shipdate") < until))
+    return _held_to_bounds(found, rows, ["l_returnflag"], "l_extendedprice", SKETCH_POINTS, RANK_ERROR)
 
 
 @_over_tables("orders")

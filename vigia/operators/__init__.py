@@ -1,6 +1,7 @@
-from .analysis import Analysis, Measure, run, run_shared
+from .analysis import Analysis, Measure, run, run_fused, run_shared
 from .distribution import approx_percentiles, exact_percentiles, exact_summary, global_rank
 from .joins import insert_if_absent, lookup, with_server_attributes
+from .partials import daily_state, merge_state, read_state, run_from_state, write_state
 from .quality import Rule, event_rules, mark_rules, quality_report, split_by_rules
 from .sketches import daily_sketches, rank_bounds, read_sketches, sketch_percentiles, write_sketches
 from .windows import first_per_key, rank_groups, top_k, top_per_group
@@ -11,6 +12,7 @@ __all__ = [
     "Rule",
     "approx_percentiles",
     "daily_sketches",
+    "daily_state",
     "event_rules",
     "exact_percentiles",
     "exact_summary",
@@ -18,12 +20,16 @@ __all__ = [
     "global_rank",
     "insert_if_absent",
     "lookup",
+    "merge_state",
     "mark_rules",
     "quality_report",
     "rank_bounds",
     "rank_groups",
     "read_sketches",
+    "read_state",
     "run",
+    "run_from_state",
+    "run_fused",
     "run_shared",
     "sketch_percentiles",
     "split_by_rules",
@@ -31,4 +37,5 @@ __all__ = [
     "top_per_group",
     "with_server_attributes",
     "write_sketches",
+    "write_state",
 ]

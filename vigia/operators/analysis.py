@@ -98,7 +98,7 @@ def measure_column(m: Measure, schema: T.StructType, rounding: Rounding = round_
     return out.alias(m.alias)
 
 
-def _ordered(df: DataFrame, a: Analysis) -> DataFrame:
+def ordered(df: DataFrame, a: Analysis) -> DataFrame:
     if not a.order:
         return df
     column, direction = a.order
@@ -111,7 +111,7 @@ def run(df: DataFrame, a: Analysis, rounding: Rounding = round_half_up) -> DataF
     """Filter, group, aggregate and order as ``a`` says.  No keys: one row."""
     base = df.where(a.where) if a.where else df
     measures = [measure_column(m, df.schema, rounding) for m in a.aggs]
-    return _ordered(base.groupBy(*a.group_by).agg(*measures), a)
+    return ordered(base.groupBy(*a.group_by).agg(*measures), a)
 
 
 def run_shared(
@@ -150,5 +150,69 @@ def run_shared(
         shared.append(merged)
         for a in members:
             picked = [F.col(slots[m.fn, m.column]).alias(m.alias) for m in a.aggs]
-            results[a.name] = _ordered(merged.select(*keys, *picked), a)
+            results[a.name] = ordered(merged.select(*keys, *picked), a)
     return results, shared
+
+
+def run_fused(
+    df: DataFrame, analyses: Iterable[Analysis], rounding: Rounding = round_half_up, staging: str | None = None
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Run analyses with any keys and filters from one scan of ``df``.
+
+    One aggregate holds a grouping set for each different list of keys, and each
+    measure once; a measure under a filter takes the rows that pass it.  Returns
+    the results by name and that aggregate (one row per group and set): stored in
+    ``staging``, or persisted for the caller to unpersist.
+    """
+    analyses = list(analyses)
+    keys = list(dict.fromkeys(k for a in analyses for k in a.group_by))
+    sets = list(dict.fromkeys(tuple(sorted(a.group_by, key=keys.index)) for a in analyses))
+    filters = list(dict.fromkeys(a.where for a in analyses if a.where))
+    passes = {w: f"__f{i}" for i, w in enumerate(filters)}
+    slots: dict[tuple[str, str, str | None], str] = {}
+    for a in analyses:
+        for m in a.aggs:
+            slots.setdefault((m.fn, m.column, a.where), f"__m{len(slots)}")
+
+    flagged = df.withColumns({name: F.coalesce(F.expr(w), F.lit(False)) for w, name in passes.items()})
+    taken = {name: F.col(column) if where is None else F.when(F.col(passes[where]), F.col(column))
+             for (_, column, where), name in slots.items() if column != "*"}
+    # Keys under names of their own: a grouping set sets the keys it lacks to
+    # null, and a key may be measured too.
+    named = {k: f"__k{i}" for i, k in enumerate(keys)}
+    base = flagged.select(
+        *(F.col(k).alias(named[k]) for k in keys),
+        *passes.values(),
+        *(c.alias(name) for name, c in taken.items()),
+    )
+    measures = []
+    for (fn, column, where), name in slots.items():
+        if column != "*":
+            measures.append(measure_column(Measure(fn, name, name), base.schema, rounding))
+        else:
+            measures.append((F.count_if(passes[where]) if where else F.count(F.lit(1))).alias(name))
+    present = [F.count_if(flag).alias(f"{flag}_n") for flag in passes.values()]
+    grouped = base.groupingSets([[F.col(named[k]) for k in s] for s in sets], *(F.col(n) for n in named.values())) if keys else base.groupBy()
+    which = F.grouping_id() if keys else F.lit(0).cast("bigint")
+    fused = grouped.agg(which.alias("__set"), *present, *measures)
+    if staging:
+        fused.write.mode("overwrite").parquet(staging)
+        fused = df.sparkSession.read.schema(fused.schema).parquet(staging)
+    else:
+        fused = fused.persist()
+
+    results = {}
+    for a in analyses:
+        own = fused.where(F.col("__set") == sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in a.group_by))
+        if a.where and a.group_by:
+            own = own.where(F.col(f"{passes[a.where]}_n") > 0)
+        picked = own.select(
+            *(F.col(named[k]).alias(k) for k in a.group_by),
+            *(F.col(slots[m.fn, m.column, a.where]).alias(m.alias) for m in a.aggs),
+        )
+        if not a.group_by:
+            # A grouping set without keys has no row over empty input.
+            empty = run(df.where(F.lit(False)), Analysis(a.name, a.aggs), rounding)
+            picked = picked.withColumn("__o", F.lit(0)).unionAll(empty.withColumn("__o", F.lit(1))).orderBy("__o").limit(1).drop("__o")
+        results[a.name] = ordered(picked, a)
+    return results, fused

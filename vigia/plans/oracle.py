@@ -264,6 +264,41 @@ FAULTS = """SELECT * REPLACE (
   FROM logs"""
 
 
+# Key and measures of every analysis of the suites C and J.
+SUITE_MEASURES = {
+    "c1_events_by_type": ("tipo_evento", "total"),
+    "c2_response_by_service": (
+        "servicio",
+        "total_peticiones",
+        "resp_avg_ms",
+        "resp_min_ms",
+        "resp_max_ms",
+        "resp_stddev_ms",
+        "peticiones_min_avg",
+    ),
+    "c3_latency_by_server": ("servidor", "latencia_avg_ms", "latencia_max_ms"),
+    "c4_bytes_by_server": ("servidor", "total_bytes_entrada", "total_bytes_salida"),
+    "c5_errors_by_server": ("servidor", "errores_min_avg", "errores_total"),
+    "j1_events_by_level": ("nivel", "total"),
+    "j2_cpu_ram_by_server": ("servidor", "total", "cpu_avg", "cpu_min", "cpu_max", "cpu_stddev", "ram_avg"),
+    "j3_ram_by_service": ("servicio", "ram_avg", "total"),
+    "j4_disk_by_server": ("servidor", "disco_max", "disco_avg"),
+    "j5_events_by_zone": ("zona", "total"),
+    "j6_critical_servers": ("servidor", "eventos_criticos", "cpu_avg", "temp_avg"),
+}
+
+
+def _suites() -> str:
+    """All analyses of the suites C and J, one row per group and measure."""
+    texts = _spec_analyses()
+    rows = [
+        f"SELECT '{name}' AS analisis, {key} AS clave, '{m}' AS medida, CAST({m} AS DOUBLE) AS valor FROM ({texts[name]}) x"
+        for name, (key, *measures) in SUITE_MEASURES.items()
+        for m in measures
+    ]
+    return _over_logs("\nUNION ALL ".join(rows))
+
+
 def _rank_bounds(points: dict[str, str], error: str) -> str:
     """The exact values ``error`` of the rows below and above each percentile, which an estimate must lie between."""
     column = "l_extendedprice"
@@ -279,6 +314,8 @@ def _operators() -> dict[str, str]:
     copies = "UNION ALL".join(f" SELECT '{c}' AS copia, * FROM ({decodable}) x " for c in ("csv", "jsonl"))
     return {
         "op_crc32_split": _crc32_split(),
+        "op_suite_one_scan": _suites(),
+        "op_report_incremental": _suites(),
         "op_left_anti_ingest": """SELECT o_orderkey, o_custkey FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)""",
         "op_dim_join": """SELECT s_suppkey, s_name, n_name FROM supplier

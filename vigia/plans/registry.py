@@ -13,6 +13,7 @@ from ..operators import (
     Analysis,
     approx_percentiles,
     daily_sketches,
+    daily_state,
     event_rules,
     exact_percentiles,
     first_per_key,
@@ -23,12 +24,16 @@ from ..operators import (
     quality_report,
     rank_bounds,
     read_sketches,
+    read_state,
     run,
+    run_from_state,
+    run_fused,
     sketch_percentiles,
     top_k,
     top_per_group,
     with_server_attributes,
     write_sketches,
+    write_state,
 )
 from ..operators.sketches import RANK_ERROR
 from ..schema import EVENT_COLUMNS, SERVER_SCHEMA
@@ -268,6 +273,40 @@ def op_crc32_split(logs):
     )
 
 
+def _long(results: dict[str, DataFrame], analyses: list[Analysis]) -> DataFrame:
+    """Results of analyses with one key each, one row per group and measure."""
+    out = None
+    for a in analyses:
+        numbers = [F.struct(F.lit(m.alias).alias("medida"), F.col(m.alias).cast("double").alias("valor")) for m in a.aggs]
+        rows = results[a.name].select(F.lit(a.name).alias("analisis"), F.col(a.group_by[0]).alias("clave"), F.inline(F.array(*numbers)))
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
+@_over_logs
+def op_suite_one_scan(logs):
+    """The suites C and J, five keys and a filter, from one scan."""
+    suite = A.CSV_SUITE + A.JSON_SUITE
+    results, _ = run_fused(logs, suite, round_ties_up, scratch_path(logs.sparkSession, "suite"))
+    return _long(results, suite)
+
+
+STATE_KEYS = ["tipo_evento", "servicio", "servidor", "nivel", "zona"]
+
+
+@_over_logs
+def op_report_incremental(logs):
+    """The suites C and J from daily state, loaded in three parts of which two hold the same days."""
+    spark, suite = logs.sparkSession, A.CSV_SUITE + A.JSON_SUITE
+    path = scratch_path(spark, "state")
+    metrics = sorted({m.column for a in suite for m in a.aggs if m.column != "*"})
+    day = F.to_date("timestamp_evento")
+    for part in (day < "2024-01-12", day.between("2024-01-09", "2024-01-20"), day > "2024-01-20"):
+        write_state(daily_state(logs.where(part), STATE_KEYS, metrics), path)
+    state = read_state(spark, path)
+    return _long({a.name: run_from_state(state, a, round_ties_up) for a in suite}, suite)
+
+
 @_over_logs
 def op_server_dim(logs):
     attributes = [c for c in SERVER_SCHEMA.fieldNames() if c != "servidor"]

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.analysis import Analysis, run_shared
+from ..operators.analysis import Analysis, run, run_fused
 from ..sources.sinks import export_csv, print_result
 from ..sources.views import materialise, register
 from .analyses import CSV_SUITE, JSON_SUITE
@@ -60,7 +60,13 @@ def columns_used(df: DataFrame, analyses: Iterable[AnyAnalysis]) -> list[str]:
 def build(df: DataFrame, analyses: Iterable[AnyAnalysis]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """Result DataFrames by name, in order, and the aggregates they share."""
     analyses = list(analyses)
-    results, shared = run_shared(df, [a for a in analyses if isinstance(a, Analysis)])
+    specs = [a for a in analyses if isinstance(a, Analysis)]
+    results, shared = {}, []
+    if len(specs) > 1:  # one scan for all
+        results, fused = run_fused(df, specs)
+        shared = [fused]
+    elif specs:
+        results[specs[0].name] = run(df, specs[0])
     register(df)
     for a in analyses:
         if isinstance(a, SqlAnalysis):

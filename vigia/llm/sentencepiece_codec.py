@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 from vigia.llm import pieces
 from vigia.llm.common import chunks, text_bytes
 
-#: Bytes of text encoded in one go, and distinct segments kept between blocks.
-BLOCK_BYTES = 4 << 20
-CACHE_SEGMENTS = 1_000_000
+#: Bytes of text encoded in one go, and distinct segments and their ids kept between
+#: blocks.  A worker holds the automaton, some arrays of a block's length and this.
+BLOCK_BYTES = 1 << 20
+CACHE_SEGMENTS, CACHE_IDS = 250_000, 2_000_000
 
 
 class Codec:
@@ -59,7 +60,7 @@ class Codec:
         lowest = np.int64(-(1 << 62))
         best = np.full(total, lowest)
         best[base] = 0
-        token, back = np.zeros(total, np.int32), np.ones(total, np.int64)
+        token, back = np.zeros(total, np.int32), np.ones(total, np.int32)
         char = np.zeros(len(starts), dtype=np.int64)  # where the current character began
         for end, active, matches in self.automaton.walk(data, starts, sizes):
             own, place = starts[:active] + end, base[:active] + end
@@ -104,7 +105,7 @@ class Codec:
         marked = pc.if_else(pc.equal(pc.binary_length(text), 0), text, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), text, pa.scalar("", pa.large_string())))
         found = pieces.Segments(marked, self.automaton.inside)
         keys, where, which = np.unique(found.hashes, return_index=True, return_inverse=True)
-        if self.cache.count > self.cache.most:
+        if self.cache.count > self.cache.most or len(self.tokens) > CACHE_IDS:
             self.reset()
         rows = self.cache.find(keys)
         fresh = np.flatnonzero(rows < 0)

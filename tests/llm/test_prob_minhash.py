@@ -95,13 +95,52 @@ def test_classes_match_all_pairs(spark):
 def test_sketches_drop_no_link():
     some = [t for t in texts() if len(t) > 20]
     row, hashes, weights = z.shingles(pa.array(some))
-    sketch, size = z.sketches(row, hashes, weights, len(some))
+    sketch, facts = z.sketches(row, hashes, weights, len(some))
     sets = [(hashes[row == k], weights[row == k]) for k in range(len(some))]
     i, j = np.triu_indices(len(some), 1)
-    may = z.may_be_similar(sketch[i], sketch[j], size[i], size[j])
+    may = z.may_be_similar(sketch[i], sketch[j], facts[i], facts[j])
     like = np.array([z.similarity(sets[x], sets[y]) >= z.SIMILAR for x, y in zip(i, j)])
     assert like.any() and may[like].all() and not may.all()
-    assert any(size == 0)
+    assert (facts[:, 1] > facts[:, 0]).any()
+
+
+def test_bounds_hold_for_repeated_shingles():
+    """Texts with lines repeated up to 300 times: no link is ruled out, and most others are."""
+    rng = random.Random(4)
+    some = []
+    for _ in range(14):
+        light = [f"l{rng.randrange(400)}" for _ in range(rng.choice((30, 150)))]
+        heavy = [f"h{k} h{k + 1} h{k + 2}" for k in range(rng.choice((1, 3, 30)))]
+        many = rng.choice((2, 9, 300))
+        for _ in range(6):
+            w = light[:]
+            for _ in range(rng.choice((0, 1, 3, 20))):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+            some.append(" ".join(w + [line for line in heavy for _ in range(max(1, many + rng.choice((-1, 0, 0, 5))))]))
+    row, hashes, weights = z.shingles(pa.array(some))
+    sketch, facts = z.sketches(row, hashes, weights, len(some))
+    sets = [(hashes[row == k], weights[row == k]) for k in range(len(some))]
+    i, j = np.triu_indices(len(some), 1)
+    may = z.may_be_similar(sketch[i], sketch[j], facts[i], facts[j])
+    like = np.array([z.similarity(sets[x], sets[y]) for x, y in zip(i, j)])
+    assert may[like >= z.SIMILAR].all() and (like >= z.SIMILAR).sum() > 20
+    assert may[like < 0.5].mean() < 0.3
+
+
+def test_null_texts_repeated_rows_and_clashing_names(spark):
+    """All rows of null text stay; of a repeated document one row stays, always the same; no name is taken."""
+    schema = "doc_id long, text string, id string, __id string, __kept int, __first int, row string, hash long, number int, root binary"
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(5, None, "a"), (5, None, "b"), (None, None, "c"), (None, None, "d"), (1, text, "x"), (1, text, "y"), (2, text, "z"), (2, "other text of one line", "v")]
+    rows = [(*r, "i", 1, 2, "r", 3, 4, b"q") for r in rows]
+    docs = spark.createDataFrame(rows, schema)
+    out = [z.one_of_each(x) for x in (docs, docs.repartition(5))]
+    assert out[0].columns == docs.columns
+    got = [sorted(map(repr, x.collect())) for x in out]
+    assert got[0] == got[1] and len(got[0]) == 6
+    kept = [(r.doc_id, r.text is None, r.id) for r in out[0].collect()]
+    assert {k for k in kept if k[1]} == {(5, True, "a"), (5, True, "b"), (None, True, "c"), (None, True, "d")}
+    assert sum(k[0] == 1 for k in kept) == 1 and not any(k[2] == "z" for k in kept)
 
 
 @pytest.mark.parametrize("block", [3])

@@ -17,9 +17,10 @@ largest component and the rest are dealt into blocks of about ``BLOCK`` members,
 rest meets itself and the largest component block by block, and a pair in different
 components goes on when the bucket is the first that both share and its sketches
 allow the similarity.  The largest component never meets itself, so a bucket of
-copies costs nothing, however large.  A sketch is the parity of a text's shingles in ``BITS``
-bits: it bounds from below in how many shingles two texts differ, so it drops no
-link.  Texts that repeat a shingle have none, and are always compared exactly.
+copies costs nothing, however large.  A sketch holds the parity of a text's distinct
+shingles in ``BITS`` bits, which bounds from below in how many shingles two texts
+differ, and its ``HEAVY`` most repeated shingles.  Together they bound the similarity
+from above (:func:`may_be_similar`), so no link is dropped.
 
 Exact copies are one text from the start.  Result: a row for each document with
 ``class_id``, the least doc_id of its component (null only if it has none), and
@@ -43,6 +44,8 @@ BANDS, ROWS = 24, 4
 COMPONENTS = BANDS * ROWS
 #: Members of a block of an open bucket, and bits of a sketch.
 BLOCK, BITS = 256, 1024
+#: Repeated shingles that a sketch names.
+HEAVY = 8
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,20 +89,60 @@ def signatures(row: np.ndarray, hashes: np.ndarray, weights: np.ndarray, rows: i
 
 
 def sketches(row: np.ndarray, hashes: np.ndarray, weights: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Parity sketch (rows x BITS / 64) of each row's shingles and their number; number 0 where a shingle repeats."""
-    size = np.bincount(row, minlength=rows)
-    size[row[weights > 1]] = 0
+    """Of each row, parity sketch (rows x BITS / 64) and (rows x 3 + 2 HEAVY) what :func:`may_be_similar` asks.
+
+    The latter: distinct shingles, their total weight, the most that a shingle not
+    named can weigh, then the most repeated shingles and then their weights (0: none).
+    """
     bit = mix(hashes ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(BITS)
     sketch = np.zeros(rows * BITS // 64, dtype=np.uint64)
     np.bitwise_xor.at(sketch, row * (BITS // 64) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-    return sketch.reshape(rows, -1), size
-
-
-def may_be_similar(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
-    """False only for pairs of sketches whose texts are surely less similar than SIMILAR."""
-    differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-    both = size_x + size_y
-    return (size_x == 0) | (size_y == 0) | (both - differ >= (SIMILAR - 1e-9) * (both + differ))
+    facts = np.zeros((rows, 3 + 2 * HEAVY), dtype=np.int64)
+    facts[:, 0] = np.bincount(row, minlength=rows)
+    facts[:, 1] = np.bincount(row, weights, minlength=rows)
+    facts[:, 2] = 1
+    often = np.flatnonzero(weights > 1)
+    often = often[np.lexsort((hashes[often], -weights[often], row[often]))]
+    own = row[often]
+    first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
+    rank = np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))
+    named, next_one = rank < HEAVY, rank == HEAVY
+    facts[own[named], 3 + rank[named]] = hashes[often[named]].view(np.int64)
+    facts[own[named], 3 + HEAVY + rank[named]] = weights[often[named]].astype(np.int64)
+    facts[own[next_one], 2] = weights[often[next_one]].astype(np.int64)
+    return sketch.reshape(rows, -1), facts
+
+
+def may_be_similar(x: np.ndarray, y: np.ndarray, facts_x: np.ndarray, facts_y: np.ndarray) -> np.ndarray:
+    """False only for pairs of sketches whose texts are surely less similar than SIMILAR.
+
+    Two bounds from above hold for the probability Jaccard similarity of weights x, y:
+
+    * the part of sum(max(x, y)) that common shingles have.  At least as many
+      shingles as the parities differ in are not common, each with weight 1 or more,
+      and sum(max) is at most the shingles of both plus all repeats, those that
+      both name counted once;
+    * one minus the distance in variation of x / sum(x) and y / sum(y), as for any
+      two draws that agree: what the named shingles show of it.
+    """
+    differ = np.maximum(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64), np.abs(facts_x[:, 0] - facts_y[:, 0]))
+    shingles_of_both = facts_x[:, 0] + facts_y[:, 0]
+    most = (shingles_of_both + differ) / 2 + (facts_x[:, 1] + facts_y[:, 1] - shingles_of_both)
+    enough, slack = np.ones(len(x), dtype=bool), 1e-9
+    repeat = np.flatnonzero((facts_x[:, 1] > facts_x[:, 0]) | (facts_y[:, 1] > facts_y[:, 0]))
+    for start in range(0, len(repeat), 1 << 15):
+        at = repeat[start : start + (1 << 15)]
+        p, q = facts_x[at], facts_y[at]
+        names_p, names_q, heavy_p, heavy_q = p[:, 3 : 3 + HEAVY], q[:, 3 : 3 + HEAVY], p[:, 3 + HEAVY :], q[:, 3 + HEAVY :]
+        same = (names_p[:, :, None] == names_q[:, None, :]) & (heavy_p[:, :, None] > 0) & (heavy_q[:, None, :] > 0)
+        # Weight of each named shingle in the other text: as named there, or at most the rest.
+        in_q = np.where(same.any(axis=2), (same * heavy_q[:, None, :]).sum(axis=2), q[:, 2:3])
+        in_p = np.where(same.any(axis=1), (same * heavy_p[:, :, None]).sum(axis=1), p[:, 2:3])
+        most[at] -= np.where(same.any(axis=2), np.minimum(heavy_p, in_q) - 1, 0).sum(axis=1)
+        apart_p = np.where(heavy_p > 0, heavy_p / p[:, 1:2] - in_q / q[:, 1:2], 0).clip(min=0).sum(axis=1)
+        apart_q = np.where(heavy_q > 0, heavy_q / q[:, 1:2] - in_p / p[:, 1:2], 0).clip(min=0).sum(axis=1)
+        enough[at] = 1 - np.maximum(apart_p, apart_q) >= SIMILAR - slack
+    return enough & (most - differ >= (SIMILAR - slack) * most)
 
 
 def _lists(rows: np.ndarray) -> pa.ListArray:
@@ -112,11 +155,11 @@ def _bands(batches):
         row, hashes, weights = shingles(batch.column("text"))
         some = np.bincount(row, minlength=batch.num_rows) > 0
         sign = signatures(row, hashes, weights, batch.num_rows)[some].reshape(-1, BANDS, ROWS)
-        sketch, size = sketches(row, hashes, weights, batch.num_rows)
+        sketch, facts = sketches(row, hashes, weights, batch.num_rows)
         key = np.zeros(sign.shape[:2], dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
         for k in range(ROWS):
             key = mix(key * np.uint64(31) + sign[:, :, k])
-        yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(some)), _lists(key), _lists(sketch[some]), pa.array(size[some])], names=["id", "bands", "sketch", "size"])
+        yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(some)), _lists(key), _lists(sketch[some]), _lists(facts[some])], names=["id", "bands", "sketch", "facts"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -157,7 +200,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     owners = stored(rows.groupBy("id").agg(F.min("doc_id").alias("doc_id")), "texts")
     # One row for each distinct text; equal rows of one doc_id are the same text twice.
     texts = rows.select("id", "text")
-    bands = texts.mapInArrow(_bands, "id binary, bands array<long>, sketch array<long>, size long").dropDuplicates(["id"])
+    bands = texts.mapInArrow(_bands, "id binary, bands array<long>, sketch array<long>, facts array<long>").dropDuplicates(["id"])
     bands = stored(bands, "bands")
     each = bands.select("id", F.explode("bands").alias("band"))
     led = each.groupBy("band").agg(F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id")).alias("l"), F.max("id").alias("m"), F.min("id").alias("n"))
@@ -176,7 +219,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _across(bands: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs (a > b) of one bucket and different components whose sketches allow a link; each pair once."""
     rooted = stored(bands.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id")), "open-bands")
-    each = rooted.select("id", "root", "bands", "sketch", "size", F.posexplode("bands").alias("k", "band"))
+    each = rooted.select("id", "root", "bands", "sketch", "facts", F.posexplode("bands").alias("k", "band"))
     # For every bucket its largest component, and how many blocks that and the rest fill.
     parts = each.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     whole = parts.groupBy("band").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
@@ -190,7 +233,7 @@ def _across(bands: DataFrame, groups: DataFrame) -> DataFrame:
     within = within.withColumn("slot", slot)
     last = F.when(F.col("slot") < F.col("others"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
     dealt = within.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    dealt = dealt.select("band", "k", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "id", "root", "size", "bands", "sketch")
+    dealt = dealt.select("band", "k", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "id", "root", "facts", "bands", "sketch")
     dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     return dealt.mapInArrow(_met, "a binary, b binary")
 
@@ -231,7 +274,8 @@ def _pairs(rows: pa.Table, cut: np.ndarray) -> pa.RecordBatch:
         ids, roots = rows.column("id").to_pylist(), rows.column("root").to_pylist()
         name = np.frombuffer(b"".join(roots), dtype=np.int64).reshape(n, 2)
         bands, sketch = _matrix(rows.column("bands"), n), _matrix(rows.column("sketch"), n).view(np.uint64)
-        slot, k, size = (rows.column(c).to_numpy() for c in ("slot", "k", "size"))
+        facts = _matrix(rows.column("facts"), n)
+        slot, k = (rows.column(c).to_numpy() for c in ("slot", "k"))
         i, j = rows.column("i").to_numpy(), rows.column("j").to_numpy()
         for start, end in zip(cut[:-1].tolist(), cut[1:].tolist()):
             x, y = np.triu_indices(end - start, 1)
@@ -243,7 +287,7 @@ def _pairs(rows: pa.Table, cut: np.ndarray) -> pa.RecordBatch:
             # Texts that share several buckets meet in the first.
             ok = (bands[x] == bands[y]).argmax(axis=1) == k[start]
             x, y = x[ok], y[ok]
-            ok = may_be_similar(sketch[x], sketch[y], size[x], size[y])
+            ok = may_be_similar(sketch[x], sketch[y], facts[x], facts[y])
             for u, v in zip(x[ok].tolist(), y[ok].tolist()):
                 a.append(max(ids[u], ids[v]))
                 b.append(min(ids[u], ids[v]))
@@ -273,9 +317,16 @@ def op3_near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each class, with all columns: the first by doc_id (null last), then by digest; all of null text."""
+    """One document of each class, with all columns: the first by doc_id (null last), then by digest; all of null text.
+
+    Of rows that repeat that document (equal doc_id and text) the one of least hash
+    stays.  Columns may have any names: the row travels in one column.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    told_apart = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    rows = docs.select(whole.alias("row"), digest().alias("id"), F.col("doc_id").alias("number"), F.xxhash64(*told_apart).alias("hash"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "id")).alias("f")
-    kept = _rooted(docs).groupBy("root").agg(first).select(F.col("f.id").alias("__kept"), F.col("f.doc_id").alias("__first"))
-    rows = docs.withColumn("__id", digest()).dropDuplicates(["doc_id", "__id"])
-    joined = rows.join(kept, F.col("__id") == F.col("__kept"), "left").where(F.col("__id").isNull() | (F.col("__kept").isNotNull() & F.col("doc_id").eqNullSafe(F.col("__first"))))
-    return joined.select(*(joined[f"`{c}`"] for c in docs.columns))
+    kept = _rooted(docs).groupBy("root").agg(first).select(F.col("f.id").alias("id"), F.col("f.doc_id").alias("first"))
+    chosen = rows.join(kept, "id").where(F.col("number").eqNullSafe(F.col("first")))
+    one = chosen.groupBy("id").agg(F.min_by("row", "hash").alias("row"))
+    return one.select("row.*").unionAll(rows.where("id IS NULL").select("row.*"))

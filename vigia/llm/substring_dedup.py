@@ -190,33 +190,98 @@ def _sieve(parts: int):
     return run
 
 
-def _sieved(group: pa.Table) -> pa.Table:
-    """For each document of a part, its sieve keys that another document has too."""
-    doc, key = [], []
-    for docs, keys, owners in zip(*(group.column(c).to_pylist() for c in ("docs", "keys", "owners"))):
-        doc.append(np.frombuffer(docs, np.int64)[np.frombuffer(owners, np.int32)])
-        key.append(np.frombuffer(keys, np.uint32))
-    doc, key = np.concatenate(doc), np.concatenate(key)
-    order, several, _ = _shared(doc, key)
-    doc, key = doc[order][several], key[order][several]
-    order = np.lexsort((key, doc))
-    doc, key = doc[order], key[order]
-    runs = _runs(doc)
-    part = group.column("part")[0].as_py()
-    return pa.table({
-        "doc_id": pa.array(doc[runs[:-1]], pa.int64()),
-        "part": pa.array([part] * (len(runs) - 1), pa.int32()),
-        "keys": pa.array([key[a:b].tobytes() for a, b in zip(runs[:-1], runs[1:])], pa.binary()),
-    })
+def _group(doc: np.ndarray, groups: int) -> np.ndarray:
+    """Which of ``groups`` a document belongs to; as :func:`_group_of`."""
+    x = doc.astype(np.int64).view(np.uint64)
+    for by in (7, 15, 31):
+        x = x ^ (x >> np.uint64(by))
+    return ((x >> np.uint64(1)) % np.uint64(groups)).astype(np.int64)
+
+
+def _group_of(doc: str, groups: int):
+    x = F.col(doc)
+    for by in (7, 15, 31):
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, by))
+    return (F.shiftrightunsigned(x, 1) % groups).cast("int")
+
+
+def _sieved(groups: int):
+    """For each group of documents, the sieve keys of a part that several documents have: one row a group and part."""
+
+    def run(packs: pa.Table) -> pa.Table:
+        doc, key = [], []
+        for docs, keys, owners in zip(*(packs.column(c).to_pylist() for c in ("docs", "keys", "owners"))):
+            doc.append(np.frombuffer(docs, np.int64)[np.frombuffer(owners, np.int32)])
+            key.append(np.frombuffer(keys, np.uint32))
+        doc, key = np.concatenate(doc), np.concatenate(key)
+        order, several, _ = _shared(doc, key)
+        doc, key = doc[order][several], key[order][several]
+        group = _group(doc, groups)
+        order = np.lexsort((key, doc, group))
+        group, doc, key = group[order], doc[order], key[order]
+        runs = _runs(group)
+        cut = list(zip(runs[:-1].tolist(), runs[1:].tolist()))
+        part = packs.column("part")[0].as_py()
+        return pa.table({
+            "group": pa.array(group[runs[:-1]], pa.int32()),
+            "part": pa.array([part] * len(cut), pa.int32()),
+            "docs": pa.array([doc[a:b].tobytes() for a, b in cut], pa.binary()),
+            "keys": pa.array([key[a:b].tobytes() for a, b in cut], pa.binary()),
+        })
+
+    return run
+
+
+class _Known:
+    """What a group's documents have: repeated sieve keys, and texts that are exact copies of an earlier document's."""
+
+    def __init__(self, rows: list[pa.RecordBatch]):
+        doc, name, self.copies = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], {}
+        for batch in rows:
+            for r in batch.select(["part", "docs", "keys", "doc_id", "copies"]).to_pylist():
+                if r["part"] is None:
+                    self.copies[r["doc_id"]] = set(r["copies"])
+                else:
+                    doc.append(np.frombuffer(r["docs"], np.int64))
+                    name.append(np.frombuffer(r["keys"], np.uint32).astype(np.uint64) | np.uint64(r["part"]) << np.uint64(32))
+        doc, name = np.concatenate(doc), np.concatenate(name)
+        order = np.lexsort((name, doc))
+        doc, self.names = doc[order], name[order]
+        self.runs = _runs(doc)
+        self.docs = doc[self.runs[:-1]]
+
+    def texts(self, rows: pa.RecordBatch) -> tuple[pa.RecordBatch, list[np.ndarray]]:
+        """The rows that have repeated keys and are no copies, and their keys, sorted."""
+        docs = rows.column("doc_id").to_numpy()
+        at = np.minimum(np.searchsorted(self.docs, docs), max(len(self.docs) - 1, 0))
+        some = self.docs[at] == docs if len(self.docs) else np.zeros(len(docs), dtype=bool)
+        if self.copies:
+            some &= [d not in self.copies or i not in self.copies[d] for d, i in zip(docs.tolist(), rows.column("id").to_pylist())]
+        return rows.filter(pa.array(some)), [self.names[self.runs[k] : self.runs[k + 1]] for k in at[some].tolist()]
 
 
 def _first_level(parts: int):
-    """Candidates of level WINDOW from texts and their repeated sieve keys."""
+    """Candidates of level WINDOW; the rows of a group come together, what is known of its documents before their texts."""
 
     def run(batches):
-        for batch in chunks(batches, most=BLOCK_BYTES):
+        current, told, known = None, [], None
+        for batch in batches:
+            group, is_text = batch.column("group").to_numpy(), np.asarray(batch.column("part").is_null()) & np.asarray(batch.column("copies").is_null())
+            cuts = np.flatnonzero((group[1:] != group[:-1]) | (is_text[1:] != is_text[:-1])) + 1
+            for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(group)).tolist()) if len(group) else ():
+                if group[a] != current:
+                    current, told, known = group[a], [], None
+                if not is_text[a]:
+                    told.append(batch.slice(a, b - a))
+                    continue
+                if known is None:
+                    known, told = _Known(told), []
+                for block in chunks([batch.slice(a, b - a)], most=BLOCK_BYTES):
+                    yield from found(*known.texts(block))
+
+    def found(batch: pa.RecordBatch, known: list[np.ndarray]):
+        if batch.num_rows:
             docs = batch.column("doc_id").to_numpy()
-            known = [np.sort(np.concatenate([np.frombuffer(x["keys"], np.uint32).astype(np.uint64) | np.uint64(x["part"]) << np.uint64(32) for x in row])) for row in batch.column("sieved").to_pylist()]
             who, keys, places, start = [], [], [], 0
             for piece in chunks([batch]):
                 w = Words(piece.column("text"))
@@ -281,11 +346,16 @@ def repeated_windows(docs: DataFrame, copies: DataFrame) -> list[DataFrame]:
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packs = docs.mapInArrow(_sieve(parts), "part int, docs binary, keys binary, owners binary")
-    sieved = packs.groupBy("part").applyInArrow(_sieved, "doc_id long, part int, keys binary")
-    sieved = stored(sieved, "sieved").groupBy("doc_id").agg(F.collect_list(F.struct("part", "keys")).alias("sieved"))
+    sieved = packs.groupBy("part").applyInArrow(_sieved(parts), "group int, part int, docs binary, keys binary")
     found, length = [], WINDOW
-    texts = docs.join(sieved.join(copies, "doc_id", "left"), "doc_id").where(~_is_copy()).select("doc_id", "text", "sieved")
-    mixed = texts.mapInArrow(_first_level(parts), MIXED)
+    # Texts and what is known of them are dealt by group; nothing has a row per document and part.
+    columns = {"group": "int", "part": "int", "docs": "binary", "keys": "binary", "copies": "array<binary>", "doc_id": "bigint", "id": "binary", "text": "string"}
+    texts = docs.withColumns({"group": _group_of("doc_id", parts), "id": digest()})
+    copied = copies.withColumn("group", _group_of("doc_id", parts))
+    sides = [df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items())) for df in (sieved, copied, texts)]
+    dealt = sides[0].unionAll(sides[1]).unionAll(sides[2]).repartition("group")
+    ordered = dealt.sortWithinPartitions("group", F.col("text").isNotNull())
+    mixed = ordered.mapInArrow(_first_level(parts), MIXED)
     while True:
         level = _level(mixed, length)
         found.append(level)

@@ -65,3 +65,45 @@ def split_by_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Dat
     """(kept, rejected); rejected rows carry ``reglas``."""
     marked = mark_rules(df, rules)
     return marked.where("reglas = ''").drop("reglas"), marked.where("reglas <> ''")
+
+
+def dependency_report(df: DataFrame, dependencies: Sequence[tuple[str, str]]) -> DataFrame:
+    """Does one column fix another?  A line per (determinant, dependent).
+
+    ``claves``: different determinants; ``rotas``: those with two or more different
+    values; ``filas``: their rows with a value; ``nulos``: rows without one, which
+    contradict nothing; ``testigo``: the least broken determinant with its least
+    and greatest value (``valor_a``, ``valor_b``), as text.  Rows without a
+    determinant are left out.
+
+    One aggregate per determinant over all its dependents: least, greatest and
+    number of the values, so a hot key sends one row per task and no list of
+    values is ever held.
+    """
+    by_key: dict[str, list[str]] = {}
+    for key, dependent in dependencies:
+        by_key.setdefault(key, []).append(dependent)
+    out = None
+    for key, dependents in by_key.items():
+        found = []
+        for i, c in enumerate(dependents):
+            found += [F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}"), F.count(c).alias(f"n{i}")]
+        groups = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"), *found)
+        lines = []
+        for i, c in enumerate(dependents):
+            broken = F.col(f"a{i}") != F.col(f"b{i}")
+            text = [F.col(x).cast("string") for x in ("key", f"a{i}", f"b{i}")]
+            lines.append(
+                F.struct(
+                    F.lit(f"{key} -> {c}").alias("dependencia"),
+                    F.count(F.lit(1)).alias("claves"),
+                    F.count_if(broken).alias("rotas"),
+                    F.coalesce(F.sum(F.when(broken, F.col(f"n{i}"))), F.lit(0)).alias("filas"),
+                    F.coalesce(F.sum(F.col("rows") - F.col(f"n{i}")), F.lit(0)).alias("nulos"),
+                    F.min(F.when(broken, F.struct(*(t.alias(n) for t, n in zip(text, ("testigo", "valor_a", "valor_b")))))).alias("w"),
+                ).alias(f"l{i}")
+            )
+        told = groups.agg(*lines).select(F.inline(F.array(*(F.col(f"l{i}") for i in range(len(dependents))))))
+        told = told.select("dependencia", "claves", "rotas", "filas", "nulos", "w.testigo", "w.valor_a", "w.valor_b")
+        out = told if out is None else out.unionAll(told)
+    return out

@@ -288,17 +288,37 @@ SUITE_MEASURES = {
 }
 
 
-def _suites() -> str:
-    """All analyses of the suites C and J, one row per group and measure."""
+def _suites(*names: str) -> str:
+    """Analyses of the suites C and J (all, or those named), one row per group and measure."""
     texts = _spec_analyses()
     rows = [
         f"SELECT '{name}' AS analisis, {key} AS clave, '{m}' AS medida, CAST({m} AS DOUBLE) AS valor FROM ({texts[name]}) x"
         for name, (key, *measures) in SUITE_MEASURES.items()
+        if not names or name in names
         for m in measures
     ]
     return _over_logs("\nUNION ALL ".join(rows))
 
 
+def _dependencies() -> str:
+    """Which columns fix others, over events of which some say otherwise."""
+    fixed = [("servidor", c) for c in ("ip_servidor", "zona", "sistema_operativo", "ambiente")]
+    lines = []
+    for key, column in [*fixed, ("servicio", "tipo_evento"), ("servicio", "nivel")]:
+        lines.append(f"""SELECT '{key} -> {column}' AS dependencia, COUNT(*) AS claves, COUNT(*) FILTER (WHERE a <> b) AS rotas,
+  CAST(COALESCE(SUM(n) FILTER (WHERE a <> b), 0) AS BIGINT) AS filas, CAST(SUM(r - n) AS BIGINT) AS nulos,
+  MIN(k) FILTER (WHERE a <> b) AS testigo, arg_min(a, k) FILTER (WHERE a <> b) AS valor_a, arg_min(b, k) FILTER (WHERE a <> b) AS valor_b
+FROM (SELECT {key} AS k, MIN({column}) AS a, MAX({column}) AS b, COUNT({column}) AS n, COUNT(*) AS r
+  FROM bad WHERE {key} IS NOT NULL GROUP BY {key}) x""")
+    faults = """,
+bad AS (SELECT * REPLACE (
+    CASE WHEN event_id % 503 = 11 THEN 'rack-x' ELSE zona END AS zona,
+    CASE WHEN event_id % 211 = 7 THEN NULL ELSE ambiente END AS ambiente,
+    CASE WHEN servidor = 'server-03' AND event_id % 97 = 5 THEN '10.0.0.1' ELSE ip_servidor END AS ip_servidor,
+    CASE WHEN event_id % 307 = 2 THEN NULL ELSE servidor END AS servidor) FROM logs)"""
+    return _over_logs("\nUNION ALL ".join(lines), faults)
+
+
 def _rank_bounds(points: dict[str, str], error: str) -> str:
     """The exact values ``error`` of the rows below and above each percentile, which an estimate must lie between."""
     column = "l_extendedprice"
@@ -383,6 +403,21 @@ FROM lineitem WHERE l_discount > 0.05 GROUP BY l_suppkey, l_linestatus""",
             f",\nbad AS ({FAULTS})",
         ),
         "op_csv_roundtrip": _over_logs(f"SELECT {ROUND_TRIP} FROM logs"),
+        "op_csv_reordered": _over_logs(
+            f"SELECT {ROUND_TRIP} FROM seen",
+            """,
+seen AS (SELECT * REPLACE (
+    CASE WHEN event_id % 3 <> 1 THEN ciudad END AS ciudad, CASE WHEN event_id % 3 <> 1 THEN mensaje END AS mensaje,
+    CASE WHEN event_id % 30 <> 2 THEN codigo_estado END AS codigo_estado,
+    CASE WHEN event_id % 42 <> 2 THEN uso_cpu_porcentaje END AS uso_cpu_porcentaje) FROM logs)""",
+        ),
+        "op_csv_rejects": _over_logs(
+            """SELECT id_log, concat_ws(',', CASE WHEN event_id % 30 = 2 THEN 'codigo_estado' END,
+  CASE WHEN event_id % 42 = 2 THEN 'uso_cpu_porcentaje' END) AS celdas
+FROM logs WHERE event_id % 30 = 2 OR event_id % 42 = 2"""
+        ),
+        "op_report_saved": _suites("c2_response_by_service", "c5_errors_by_server"),
+        "op_quality_dependency": _dependencies(),
         "op_jsonl_roundtrip": _over_logs(f"SELECT {ROUND_TRIP} FROM logs"),
         "op_event_table_scan": _over_logs(
             f"""SELECT {ROUND_TRIP} FROM logs
@@ -420,10 +455,6 @@ ROUND_TRIP = """id_log, strftime(timestamp_evento, '%Y-%m-%d %H:%M:%S') AS momen
   CAST(ip_sospechosa AS INTEGER) AS ip_sospechosa, pais_origen"""
 
 
-# Q5 selects nothing with its default thresholds.
-WITHOUT_SQL_TWIN = ("q5_critical_servers",)
-
-
 def oracle_sql() -> dict[str, str]:
     analyses = {**_q_analyses(), **_spec_analyses()}
     over_logs = {}
@@ -433,6 +464,11 @@ def oracle_sql() -> dict[str, str]:
     sql_twins = {
         f"sql_{name}": text
         for name, text in over_logs.items()
-        if name.startswith("q") and name not in WITHOUT_SQL_TWIN
+        if name.startswith("q")
     }
+    cpu, ram, temp = map(_avg, ("uso_cpu_porcentaje", "uso_ram_porcentaje", "temperatura_cpu"))
+    sql_twins["sql_q5_critical_servers"] = _over_logs(
+        f"""SELECT * FROM (SELECT servidor, COUNT(*) AS eventos, {cpu} AS cpu_avg, {ram} AS ram_avg, {temp} AS temp_avg
+FROM logs WHERE nivel IN ('ERROR', 'CRITICAL') GROUP BY servidor) a WHERE cpu_avg > 70 OR ram_avg > 70 OR temp_avg > 75"""
+    )
     return {**over_logs, **sql_twins, **_operators()}

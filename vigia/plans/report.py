@@ -10,7 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.analysis import Analysis, run, run_fused
+from ..functions.numeric import round_half_up
+from ..operators.analysis import Analysis, Rounding, run, run_fused
 from ..sources.sinks import export_csv, print_result
 from ..sources.views import materialise, register
 from .analyses import CSV_SUITE, JSON_SUITE
@@ -57,16 +58,18 @@ def columns_used(df: DataFrame, analyses: Iterable[AnyAnalysis]) -> list[str]:
     return [c for c in df.columns if c.lower() in words] or df.columns[:1]
 
 
-def build(df: DataFrame, analyses: Iterable[AnyAnalysis]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+def build(
+    df: DataFrame, analyses: Iterable[AnyAnalysis], rounding: Rounding = round_half_up
+) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """Result DataFrames by name, in order, and the aggregates they share."""
     analyses = list(analyses)
     specs = [a for a in analyses if isinstance(a, Analysis)]
     results, shared = {}, []
     if len(specs) > 1:  # one scan for all
-        results, fused = run_fused(df, specs)
+        results, fused = run_fused(df, specs, rounding)
         shared = [fused]
     elif specs:
-        results[specs[0].name] = run(df, specs[0])
+        results[specs[0].name] = run(df, specs[0], rounding)
     register(df)
     for a in analyses:
         if isinstance(a, SqlAnalysis):
@@ -82,6 +85,7 @@ def run_report(
     cache: bool = False,
     staging: str | None = None,
     show: Callable[[DataFrame], None] | None = print_result,
+    rounding: Rounding = round_half_up,
 ) -> Report:
     """Run analyses over ``df``; each result is computed once.
 
@@ -98,7 +102,7 @@ def run_report(
     saved: dict[str, str] = {}
     shared: list[DataFrame] = []
     try:
-        results, shared = build(source, analyses)
+        results, shared = build(source, analyses, rounding)
         for a in analyses:
             log.info("analysis %s", a.name)
             result = results[a.name].persist()

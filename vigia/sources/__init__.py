@@ -1,4 +1,4 @@
-from .files import read_csv, read_events, read_jsonl
+from .files import csv_headers, read_csv, read_csv_rejects, read_events, read_jsonl
 from .jdbc import JdbcTable, append_jdbc, read_jdbc, read_jdbc_keys
 from .sinks import export_csv, publish_rows, print_result, write_csv, write_events, write_jsonl
 from .views import materialise, register
@@ -6,11 +6,13 @@ from .views import materialise, register
 __all__ = [
     "JdbcTable",
     "append_jdbc",
+    "csv_headers",
     "export_csv",
     "materialise",
     "print_result",
     "publish_rows",
     "read_csv",
+    "read_csv_rejects",
     "read_events",
     "read_jdbc",
     "read_jdbc_keys",

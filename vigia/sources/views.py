@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 VIEW = "logs"
 
@@ -23,12 +23,13 @@ def materialise(
 
     Worth it for CSV, JSON and JDBC, which would be parsed or fetched again by
     each analysis.  With ``staging`` they are written there as Parquet, which
-    outlives executors and prunes columns; without, they are cached.
+    outlives executors and prunes columns, and the rows are counted while they are
+    written; without, they are cached, and counting fills the cache.
     """
     needed = df.select(*columns) if columns else df
     if staging:
-        needed.write.mode("overwrite").parquet(staging)
-        kept = df.sparkSession.read.schema(needed.schema).parquet(staging)
-    else:
-        kept = needed.persist(StorageLevel.MEMORY_AND_DISK)
+        seen = Observation()
+        needed.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staging)
+        return df.sparkSession.read.schema(needed.schema).parquet(staging), seen.get["rows"]
+    kept = needed.persist(StorageLevel.MEMORY_AND_DISK)
     return kept, kept.count()

@@ -160,6 +160,54 @@ def test_blocks_of_an_open_bucket_miss_nothing(spark, monkeypatch, block):
     assert got == brute_classes(rows)
 
 
+def test_texts_too_long_to_send_are_verified_afterwards():
+    """Blocks give links between texts that were sent, one less than a component has members, and open pairs for the rest."""
+    rng = random.Random(9)
+    base = [f"f{k}" for k in range(300)]
+    some = []
+    for k in range(12):
+        w = list(base)
+        for _ in range(2):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        some.append(" ".join(w))
+    row, hashes, weights = z.shingles(pa.array(some))
+    sign = z.signatures(row, hashes, weights, len(some)).reshape(-1, z.BANDS, z.ROWS)[:, :, 0]
+    sketch, facts = z.sketches(row, hashes, weights, len(some))
+    sets = [(hashes[row == k], weights[row == k]) for k in range(len(some))]
+    sign[:] = 1  # all meet in the first bucket
+    ids = [bytes([k]) * 16 for k in range(len(some))]
+
+    def table(sent):
+        names = [h.tobytes() if k in sent else None for k, (h, _) in enumerate(sets)]
+        n = len(some)
+        number = lambda x: pa.chunked_array([pa.array([x] * n, pa.int64())])
+        columns = {"id": pa.chunked_array([pa.array(ids, pa.binary())]), "root": pa.chunked_array([pa.array(ids, pa.binary())])}
+        for name, rows in (("bands", sign), ("sketch", sketch), ("facts", facts)):
+            columns[name] = pa.chunked_array([z._lists(rows)])
+        columns |= {c: number(0) for c in ("slot", "k", "i", "j", "band")}
+        columns |= {"shingles": pa.chunked_array([pa.array(names, pa.binary())]), "weights": pa.chunked_array([pa.array([None] * n, pa.binary())])}
+        return pa.table(columns)
+
+    links = {(i, j) for i in range(12) for j in range(i) if z.similarity(sets[i], sets[j]) >= z.SIMILAR}
+    got = z._pairs(table(range(12)), np.array([0, 12])).to_pylist()
+    assert all(r["sure"] and (r["a"][0], r["b"][0]) in links for r in got)
+
+    def groups(pairs):
+        parent = list(range(12))
+        for i, j in pairs:
+            a, b = parent[i], parent[j]
+            parent = [b if p == a else p for p in parent]
+        return [[x for x in range(12) if parent[x] == parent[y]] for y in range(12)]
+
+    whole = groups(links)
+    assert groups([(r["a"][0], r["b"][0]) for r in got]) == whole
+    assert len(got) == 12 - len({min(g) for g in whole})
+    part = z._pairs(table(range(6)), np.array([0, 12])).to_pylist()
+    assert {r["sure"] for r in part} == {True, False}
+    kept = [(r["a"][0], r["b"][0]) for r in part if r["sure"] or (r["a"][0], r["b"][0]) in links]
+    assert groups(kept) == whole
+
+
 def test_a_chain_is_one_class(spark):
     """Each text is like its neighbours only; no leader is like all."""
     w = [f"v{k}" for k in range(600)]

@@ -20,7 +20,10 @@ allow the similarity.  The largest component never meets itself, so a bucket of
 copies costs nothing, however large.  A sketch holds the parity of a text's distinct
 shingles in ``BITS`` bits, which bounds from below in how many shingles two texts
 differ, and its ``HEAVY`` most repeated shingles.  Together they bound the similarity
-from above (:func:`may_be_similar`), so no link is dropped.
+from above (:func:`may_be_similar`), so no link is dropped.  What passes is verified
+where it meets, on the shingles themselves, and only links that join components of
+the block leave the task: fewer than it has members.  Texts of more than ``SENT``
+shingles are not sent along; pairs with one are verified on the texts afterwards.
 
 Exact copies are one text from the start.  Result: a row for each document with
 ``class_id``, the least doc_id of its component (null only if it has none), and
@@ -46,6 +49,8 @@ COMPONENTS = BANDS * ROWS
 BLOCK, BITS = 256, 1024
 #: Repeated shingles that a sketch names.
 HEAVY = 8
+#: Most shingles of a text that travel with its sketch.
+SENT = 4096
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,13 +216,25 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Most texts of a family are joined by the leader that shares most bands with them.
     best = stored(pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "best-pairs")
     groups = stored(components(verified(best, some), "components"), "groups")
-    compared = best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    rest = stored(_across(bands.join(involved, "id", "left_semi"), groups).join(compared, ["a", "b"], "left_anti"), "open-pairs")
-    return merged(groups, verified(rest, some), "groups"), owners
+    met = stored(_across(bands.join(involved, "id", "left_semi"), groups, some), "open-links")
+    rest = met.where("NOT sure").select("a", "b").distinct()
+    sure = met.where("sure").select("a", "b")
+    return merged(groups, sure.unionAll(verified(rest, some)), "groups"), owners
 
 
-def _across(bands: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (a > b) of one bucket and different components whose sketches allow a link; each pair once."""
+def _sets(batches):
+    """The shingles of every text and, where one repeats, their weights; null for a text of more than SENT."""
+    for batch in chunks(batches):
+        row, hashes, weights = shingles(batch.column("text"))
+        cut = np.searchsorted(row, np.arange(batch.num_rows + 1)).tolist()
+        spans = list(zip(cut[:-1], cut[1:]))
+        names = [hashes[a:b].tobytes() if b - a <= SENT else None for a, b in spans]
+        often = [weights[a:b].astype(np.int32).tobytes() if b - a <= SENT and (weights[a:b] > 1).any() else None for a, b in spans]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.binary()), pa.array(often, pa.binary())], names=["id", "shingles", "weights"])
+
+
+def _across(bands: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a > b) of one bucket that join its components, and pairs still to be verified (``sure`` false)."""
     rooted = stored(bands.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id")), "open-bands")
     each = rooted.select("id", "root", "bands", "sketch", "facts", F.posexplode("bands").alias("k", "band"))
     # For every bucket its largest component, and how many blocks that and the rest fill.
@@ -228,18 +245,21 @@ def _across(bands: DataFrame, groups: DataFrame) -> DataFrame:
         F.ceil((F.col("n") - F.col("main.n")) / BLOCK).alias("others"), F.ceil(F.col("main.n") / BLOCK).alias("mains"),
     )
     within = each.join(stored(whole, "open-buckets"), "band")
+    within = stored(within, "open-members")
+    wanted = texts.join(within.select("id").distinct(), "id", "left_semi").select("id", "text")
+    within = within.join(wanted.mapInArrow(_sets, "id binary, shingles binary, weights binary"), "id")
     dice = F.xxhash64("id", "band")
     slot = F.when(F.col("root") == F.col("main"), F.col("others") + F.pmod(dice, F.col("mains"))).otherwise(F.pmod(dice, F.col("others")))
     within = within.withColumn("slot", slot)
     last = F.when(F.col("slot") < F.col("others"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
     dealt = within.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    dealt = dealt.select("band", "k", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "id", "root", "facts", "bands", "sketch")
+    dealt = dealt.select("band", "k", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "id", "root", "facts", "bands", "sketch", "shingles", "weights")
     dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return dealt.mapInArrow(_met, "a binary, b binary")
+    return dealt.mapInArrow(_met, "a binary, b binary, sure boolean")
 
 
 def _met(batches):
-    """Pairs of every block pair; the rows come in order of (band, i, j)."""
+    """Links and open pairs of every block pair; the rows come in order of (band, i, j)."""
     held = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
@@ -267,7 +287,7 @@ def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
 
 
 def _pairs(rows: pa.Table, cut: np.ndarray) -> pa.RecordBatch:
-    a, b = [], []
+    a, b, sure = [], [], []
     if len(cut) > 1:
         rows = rows.slice(0, cut[-1])
         n = rows.num_rows
@@ -276,6 +296,15 @@ def _pairs(rows: pa.Table, cut: np.ndarray) -> pa.RecordBatch:
         bands, sketch = _matrix(rows.column("bands"), n), _matrix(rows.column("sketch"), n).view(np.uint64)
         facts = _matrix(rows.column("facts"), n)
         slot, k = (rows.column(c).to_numpy() for c in ("slot", "k"))
+        names, often = rows.column("shingles").to_pylist(), rows.column("weights").to_pylist()
+        own: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def weighted(u: int) -> tuple[np.ndarray, np.ndarray]:
+            if u not in own:
+                hashes = np.frombuffer(names[u], np.uint64)
+                own[u] = hashes, np.ones(len(hashes)) if often[u] is None else np.frombuffer(often[u], np.int32).astype(np.float64)
+            return own[u]
+
         i, j = rows.column("i").to_numpy(), rows.column("j").to_numpy()
         for start, end in zip(cut[:-1].tolist(), cut[1:].tolist()):
             x, y = np.triu_indices(end - start, 1)
@@ -288,10 +317,30 @@ def _pairs(rows: pa.Table, cut: np.ndarray) -> pa.RecordBatch:
             ok = (bands[x] == bands[y]).argmax(axis=1) == k[start]
             x, y = x[ok], y[ok]
             ok = may_be_similar(sketch[x], sketch[y], facts[x], facts[y])
-            for u, v in zip(x[ok].tolist(), y[ok].tolist()):
+            x, y = x[ok], y[ok]
+            # The most alike first: they join components, and pairs within one need no look.
+            order = np.argsort(np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64), kind="stable")
+            parent: dict[bytes, bytes] = {}
+
+            def root(r: bytes) -> bytes:
+                while parent.get(r, r) != r:
+                    parent[r] = r = parent.get(parent[r], parent[r])
+                return r
+
+            for u, v in zip(x[order].tolist(), y[order].tolist()):
+                p, q = root(roots[u]), root(roots[v])
+                if p == q:
+                    continue
+                whole = names[u] is not None and names[v] is not None
+                if whole:
+                    if similarity(weighted(u), weighted(v)) < SIMILAR:
+                        continue
+                    parent[p] = q
                 a.append(max(ids[u], ids[v]))
                 b.append(min(ids[u], ids[v]))
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+                sure.append(whole)
+            own.clear()
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(sure, pa.bool_())], names=["a", "b", "sure"])
 
 
 def _rooted(docs: DataFrame) -> DataFrame:

@@ -37,6 +37,53 @@ def test_forward_sums_all_segmentations(vocabulary):
             assert got[0, k] == pytest.approx(brute_log(text, vocabulary, logs[:, k]), rel=1e-9)
 
 
+def brute_log_of_long(text, vocabulary, logs):
+    """As brute_log, in logarithms."""
+    number = {p: i for i, p in enumerate(vocabulary)}
+    chars = [c.encode() for c in text]
+    alpha = [0.0]
+    for end in range(1, len(chars) + 1):
+        parts = []
+        for start in range(max(0, end - 16), end):
+            k = number.get(b"".join(chars[start:end]), len(vocabulary) if end == start + 1 else None)
+            if k is not None:
+                parts.append(alpha[start] + logs[k])
+        most = max(parts)
+        alpha.append(most + math.log(sum(math.exp(x - most) for x in parts)))
+    return alpha[-1]
+
+
+def test_long_words_are_summed_whole(vocabulary):
+    """A word of 61 letters and one of 400: no segmentation is lost at a cut, alone or among short ones."""
+    rng = np.random.default_rng(7)
+    logs = np.log(rng.dirichlet(np.ones(len(vocabulary) + 1), size=2).T)
+    automaton = pieces.Automaton(vocabulary)
+    words = ["internationalisation" * 3 + "s", " the", "counterrevolutionary" * 20, "é漢" * 30]
+    seg = pieces.Segments(pa.array(words), automaton.inside)
+    got = language_id.likelihoods(automaton, logs, seg.data, seg.starts, seg.sizes)
+    assert (seg.sizes > language_id.STRETCH).sum() >= 2
+    for i, word in enumerate(words):
+        for k in range(2):
+            own = got[seg.first[i] : seg.first[i + 1], k].sum()
+            assert own == pytest.approx(brute_log_of_long(word, vocabulary, logs[:, k]), rel=1e-9)
+
+
+def test_expected_counts_of_a_long_word(vocabulary):
+    """The counts in logarithms are those of the plain pass, and spell the word."""
+    automaton = pieces.Automaton(vocabulary)
+    data = np.frombuffer(b"abcdefgh" * 4, np.uint8)
+    one = np.array([[1.0]])
+    plain = language_id.expected(automaton, data, np.array([0]), np.array([32]), one)
+    count = len(vocabulary) + 1
+    flat = np.full(count, 1.0 / count)
+    flat[-1] *= language_id.UNKNOWN
+    logs = language_id._long_expected(automaton, np.log(flat), data, np.array([0]), np.array([32]))
+    assert logs == pytest.approx(plain[:, 0], rel=1e-9, abs=1e-15)
+    data = np.frombuffer(b"abcdefgh" * 40, np.uint8)
+    long = language_id.expected(automaton, data, np.array([0]), np.array([320]), one)
+    assert (long[:, 0] * np.append(automaton.length, 1)).sum() == pytest.approx(320)
+
+
 def test_expected_counts_spell_the_text(vocabulary):
     """Expected pieces times their lengths is the text's length, times the copies."""
     automaton = pieces.Automaton(vocabulary)
@@ -49,7 +96,7 @@ def test_expected_counts_spell_the_text(vocabulary):
 def test_long_runs_do_not_underflow(vocabulary):
     automaton = pieces.Automaton(vocabulary)
     logs = np.log(np.full((len(vocabulary) + 1, 1), 1e-7))
-    seg = pieces.Segments(pa.array(["漢" * 3000 + "x" * 5000]), automaton.inside, language_id.STRETCH)
+    seg = pieces.Segments(pa.array(["漢" * 3000 + "x" * 5000]), automaton.inside)
     got = language_id.likelihoods(automaton, logs, seg.data, seg.starts, seg.sizes)
     assert np.isfinite(got).all() and seg.sizes.sum() == 14000
 

@@ -12,7 +12,9 @@ language and piece.  Their number is bounded by languages times pieces.
 
 No piece crosses a word's blank, so a text's likelihood is the product over its
 segments, and each distinct segment is scored once per task.  Runs of more than
-40 bytes that no piece boundary cuts are scored in stretches of that length.
+``STRETCH`` bytes that no piece boundary cuts are summed whole as well, in logarithms
+(a window of the longest piece is kept, whatever the run's length).  Training takes
+runs beyond ``TRAINING_STRETCH`` bytes in parts of that length.
 
 Null text, or text without a letter: ``und`` with score 0.  Nothing to learn
 from: ``und`` for all.  Equal likelihoods: the language first in order.
@@ -31,7 +33,7 @@ from vigia.llm.common import chunks
 
 BLOCK_BYTES = 8 << 20
 CACHE_SEGMENTS = 1_000_000
-STRETCH = 40
+STRETCH, TRAINING_STRETCH = 40, 1 << 14
 #: Probabilities are carried times e^SCALE per byte, which keeps 40 bytes inside a double.
 SCALE = 2.5
 SMOOTHING = 0.5
@@ -69,8 +71,45 @@ def _edges(automaton, data, starts, sizes):
         yield end, out
 
 
+def _log_sums(parts: list[tuple[np.ndarray, np.ndarray]], rows: int, width: int) -> np.ndarray:
+    """Log of the sum of exponentials by row; ``parts``: (different rows, values) each."""
+    most = np.full((rows, width), -np.inf)
+    for at, value in parts:
+        most[at] = np.maximum(most[at], value)
+    shift = np.where(np.isfinite(most), most, 0.0)
+    total = np.zeros((rows, width))
+    for at, value in parts:
+        total[at] += np.exp(value - shift[at])
+    with np.errstate(divide="ignore"):
+        return np.log(total) + shift
+
+
+def long_likelihoods(automaton, logs: np.ndarray, data, starts, sizes) -> np.ndarray:
+    """:func:`likelihoods` of runs of any length, in logarithms, with a window of the longest piece."""
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes = starts[order], sizes[order]
+    window = int(max(automaton.length.max(initial=1), 4)) + 1
+    held = np.full((len(sizes), window, logs.shape[1]), -np.inf)
+    held[:, 0] = 0.0
+    out = np.empty((len(sizes), logs.shape[1]))
+    for end, found in _edges(automaton, data, starts, sizes):
+        active = int(np.searchsorted(-sizes, -end, side="right"))
+        parts = [(at, held[at, (end - length) % window] + logs[piece]) for at, piece, length in found if len(at)]
+        held[:active, end % window] = _log_sums(parts, active, logs.shape[1])
+        done = np.flatnonzero(sizes[:active] == end)
+        out[order[done]] = held[done, end % window]
+    return out
+
+
 def likelihoods(automaton, logs: np.ndarray, data, starts, sizes) -> np.ndarray:
     """Log of the summed probability of all segmentations: a row per segment, a column per language."""
+    long = sizes > STRETCH
+    if long.any():
+        out = np.empty((len(sizes), logs.shape[1]))
+        out[long] = long_likelihoods(automaton, logs, data, starts[long], sizes[long])
+        if not long.all():
+            out[~long] = likelihoods(automaton, logs, data, starts[~long], sizes[~long])
+        return out
     order = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[order], sizes[order]
     base = np.cumsum(sizes + 1) - (sizes + 1)
@@ -96,6 +135,10 @@ def expected(automaton, data, starts, sizes, weights: np.ndarray) -> np.ndarray:
     total = np.zeros((count, weights.shape[1]))
     flat = np.full(count, 1.0 / count)
     flat[-1] *= UNKNOWN
+    long = sizes > STRETCH
+    for k in np.flatnonzero(long).tolist():
+        total += _long_expected(automaton, np.log(flat), data, starts[k : k + 1], sizes[k : k + 1])[:, None] * weights[k]
+    starts, sizes, weights = starts[~long], sizes[~long], weights[~long]
     for a in range(0, len(starts), 50_000):
         order = a + np.argsort(-sizes[a : a + 50_000], kind="stable")
         s, z, w = starts[order], sizes[order], weights[order]
@@ -118,6 +161,27 @@ def expected(automaton, data, starts, sizes, weights: np.ndarray) -> np.ndarray:
     return total
 
 
+def _long_expected(automaton, logs: np.ndarray, data, start, size) -> np.ndarray:
+    """Expected piece counts of one run of any length, in logarithms."""
+    n = int(size[0])
+    ahead, behind = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+    ahead[0] = behind[n] = 0.0
+    kept = []
+    for end, found in _edges(automaton, data, start, size):
+        piece = np.concatenate([p for at, p, _ in found if len(at)] or [np.zeros(0, np.int64)])
+        length = np.concatenate([z for at, _, z in found if len(at)] or [np.zeros(0, np.int64)])
+        if len(piece):
+            ahead[end] = np.logaddexp.reduce(ahead[end - length] + logs[piece])
+        kept.append((end, piece, length))
+    total = np.zeros(len(logs))
+    for end, piece, length in reversed(kept):
+        if len(piece) and np.isfinite(behind[end]):
+            of = end - length  # pieces that end here have different lengths
+            np.add.at(total, piece, np.exp(ahead[of] + logs[piece] + behind[end] - ahead[n]))
+            behind[of] = np.logaddexp(behind[of], logs[piece] + behind[end])
+    return total
+
+
 class Model:
     """Languages in order, and log probabilities (piece, language), the last row for characters in no piece."""
 
@@ -152,7 +216,7 @@ def train(labelled: DataFrame, model_file: str = pieces.MODEL_FILE) -> Model:
                 sums[name] = sums.get(name, 0) + found[:, k]
 
         for batch in chunks(batches, most=BLOCK_BYTES):
-            seg = pieces.Segments(batch.column("text"), automaton.inside, STRETCH)
+            seg = pieces.Segments(batch.column("text"), automaton.inside, TRAINING_STRETCH)
             lang = np.array([names.setdefault(x, len(names)) for x in batch.column("lang").to_pylist()], dtype=np.int64)
             keys, where, which = np.unique(seg.hashes, return_index=True, return_inverse=True)
             rows = cache.find(keys)
@@ -217,7 +281,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             known = has_letter(column) & (width > 0)
             sums = np.zeros((batch.num_rows, max(width, 1)))
             if width:
-                seg = pieces.Segments(column, automaton.inside, STRETCH)
+                seg = pieces.Segments(column, automaton.inside)
                 keys, where, which = np.unique(seg.hashes, return_index=True, return_inverse=True)
                 if cache.count > cache.most:
                     cache, held = pieces.Cache(CACHE_SEGMENTS), np.zeros((0, width))

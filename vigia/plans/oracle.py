@@ -203,8 +203,8 @@ FROM logs GROUP BY servicio""",
     }
 
 
-def _crc32_split() -> str:
-    """CRC-32 (reflected polynomial 0xEDB88320) bit by bit, as SQL."""
+def _with_crc32(select: str) -> str:
+    """``select`` over ``crc``: the event table and its CRC-32 ``c`` (reflected polynomial 0xEDB88320), bit by bit as SQL."""
     step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
     return f"""WITH RECURSIVE bits(n, c, i) AS (
   SELECT r, CAST(r AS BIGINT), 0 FROM range(256) t(r)
@@ -212,13 +212,12 @@ def _crc32_split() -> str:
 tab AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE i = 8),
 {LOGS},
 crc AS (
-  SELECT xor(list_reduce(
+  SELECT logs.*, xor(list_reduce(
       list_concat([CAST(4294967295 AS BIGINT)],
         list_transform(range(1, length(id_log) + 1), lambda p: CAST(ascii(substr(id_log, CAST(p AS INTEGER), 1)) AS BIGINT))),
       lambda acc, b: xor(t[1 + (xor(acc, b) & 255)], acc >> 8)), 4294967295) AS c
   FROM logs, tab)
-SELECT CAST((c * 8) >> 32 AS INTEGER) AS split, COUNT(*) AS filas, MIN(c) AS crc_min, MAX(c) AS crc_max
-FROM crc GROUP BY 1"""
+{select}"""
 
 
 def _quality() -> str:
@@ -333,7 +332,14 @@ def _operators() -> dict[str, str]:
     decodable = "SELECT * FROM logs UNION ALL SELECT * REPLACE (NULL AS servidor) FROM logs WHERE event_id % 40 = 0"
     copies = "UNION ALL".join(f" SELECT '{c}' AS copia, * FROM ({decodable}) x " for c in ("csv", "jsonl"))
     return {
-        "op_crc32_split": _crc32_split(),
+        "op_crc32_split": _with_crc32(
+            """SELECT CAST((c * 8) >> 32 AS INTEGER) AS split, COUNT(*) AS filas, MIN(c) AS crc_min, MAX(c) AS crc_max
+FROM crc GROUP BY 1"""
+        ),
+        "op_split_reads": _with_crc32(
+            """SELECT CAST((c * 7) >> 32 AS INTEGER) AS split, COUNT(*) AS filas, MIN(c) AS crc_min,
+  CAST(SUM(bytes_salida) AS BIGINT) AS bytes FROM crc GROUP BY 1"""
+        ),
         "op_suite_one_scan": _suites(),
         "op_report_incremental": _suites(),
         "op_left_anti_ingest": """SELECT o_orderkey, o_custkey FROM orders

@@ -46,10 +46,12 @@ from ..sources import (
     read_csv_rejects,
     read_events,
     read_jsonl,
+    read_split,
     register,
     write_csv,
     write_events,
     write_jsonl,
+    write_splits,
 )
 from ..sources.sinks import CSV_OPTIONS
 from ..streaming import (
@@ -321,6 +323,21 @@ def op_report_incremental(logs):
     return _long({a.name: run_from_state(state, a, round_ties_up) for a in suite}, suite)
 
 
+@_over_logs
+def op_split_reads(logs):
+    """Seven splits read one by one from a copy laid out by CRC32."""
+    spark = logs.sparkSession
+    path = scratch_path(spark, "splits")
+    write_splits(logs, path)
+    out = None
+    for k in range(7):
+        part = read_split(spark, path, k, 7).groupBy(F.lit(k).alias("split")).agg(
+            F.count(F.lit(1)).alias("filas"), F.min(F.crc32("id_log")).alias("crc_min"), F.sum("bytes_salida").alias("bytes")
+        )
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
 @_over_logs
 def op_server_dim(logs):
     attributes = [c for c in SERVER_SCHEMA.fieldNames() if c != "servidor"]

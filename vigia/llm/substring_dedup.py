@@ -28,6 +28,7 @@ document: none is earlier than another.  Only doc_id and text are read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -100,22 +101,24 @@ def _shared(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return order, np.repeat(low != high, size), np.repeat(low, size)
 
 
-def _by_doc(doc, place, key, later, label):
-    """One row for each document: its places, keys and whether an earlier document has the window."""
-    order = np.lexsort((place, doc))
-    doc, place, key, later = doc[order], place[order], key[order], later[order]
-    runs = _runs(doc)
-    ids, cut = doc[runs[:-1]], list(zip(runs[:-1].tolist(), runs[1:].tolist()))
+def _by_group(doc, place, key, later, level, groups):
+    """One row for each group of documents: docs, places, keys and whether an earlier document has the window."""
+    group = _group(doc, groups)
+    order = np.argsort(group, kind="stable")
+    group, doc, place, key, later = group[order], doc[order], place[order], key[order], later[order]
+    runs = _runs(group)
+    cut = list(zip(runs[:-1].tolist(), runs[1:].tolist()))
     return {
-        "doc_id": pa.array(ids, pa.int64()),
-        "level": pa.array([label] * len(ids), pa.int32()),
+        "group": pa.array(group[runs[:-1]], pa.int32()),
+        "level": pa.array([level] * len(cut), pa.int32()),
+        "docs": pa.array([doc[a:b].tobytes() for a, b in cut], pa.binary()),
         "places": pa.array([place[a:b].astype(np.int32).tobytes() for a, b in cut], pa.binary()),
         "keys": pa.array([key[a:b].tobytes() for a, b in cut], pa.binary()),
         "later": pa.array([later[a:b].astype(np.uint8).tobytes() for a, b in cut], pa.binary()),
     }
 
 
-FOUND = "doc_id long, level int, places binary, keys binary, later binary"
+FOUND = "group int, level int, docs binary, places binary, keys binary, later binary"
 
 
 def _combined(docs, owners, keys, places, parts, level):
@@ -125,24 +128,24 @@ def _combined(docs, owners, keys, places, parts, level):
     own, k, at = owners[order], keys[order], places[order]
     yield from (("pack", b) for b in _packs(docs, own[mine], k[mine], at[mine], parts))
     if several.any():
-        rows = _by_doc(docs[own[several]], at[several], k[several], ~mine[several], level)
-        rows["part"] = pa.array(np.arange(len(rows["doc_id"])) % parts, pa.int32())
+        rows = _by_group(docs[own[several]], at[several], k[several], ~mine[several], level, parts)
+        rows["part"] = pa.array(np.arange(len(rows["group"])) % parts, pa.int32())
         yield "found", rows
 
 
-def _answers(level: int):
+def _answers(level: int, groups: int):
     """FOUND rows for every window of a part that several documents hold, ``later`` where an earlier one does."""
 
     def run(group: pa.Table) -> pa.Table:
-        own = group.column("doc_id").is_valid()
-        passed = group.filter(own).select(["doc_id", "level", "places", "keys", "later"])
+        own = group.column("group").is_valid()
+        passed = group.filter(own).select(["group", "level", "docs", "places", "keys", "later"])
         packs = group.filter(pa.compute.invert(own))
         if not packs.num_rows:
             return passed
         doc, key, place = _unpacked(packs, np.uint64)
         order, several, low = _shared(doc, key)
         doc, key, place = doc[order][several], key[order][several], place[order][several]
-        return pa.concat_tables([passed, pa.table(_by_doc(doc, place, key, doc > low[several], level))])
+        return pa.concat_tables([passed, pa.table(_by_group(doc, place, key, doc > low[several], level, groups))])
 
     return run
 
@@ -155,8 +158,8 @@ def _both(batches, kind):
         yield pa.RecordBatch.from_arrays([got.get(f.name, pa.nulls(n, f.type)) for f in kind], names=kind.names)
 
 
-_MIXED = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("keys", pa.binary()), ("owners", pa.binary()), ("places", pa.binary()), ("doc_id", pa.int64()), ("level", pa.int32()), ("later", pa.binary())])
-MIXED = f"{PACK}, doc_id long, level int, later binary"
+_MIXED = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("keys", pa.binary()), ("owners", pa.binary()), ("places", pa.binary()), ("group", pa.int32()), ("level", pa.int32()), ("later", pa.binary())])
+MIXED = f"{PACK}, group int, level int, later binary"
 
 
 def _sieve(parts: int):
@@ -265,19 +268,16 @@ def _first_level(parts: int):
 
     def run(batches):
         current, told, known = None, [], None
-        for batch in batches:
-            group, is_text = batch.column("group").to_numpy(), np.asarray(batch.column("part").is_null()) & np.asarray(batch.column("copies").is_null())
-            cuts = np.flatnonzero((group[1:] != group[:-1]) | (is_text[1:] != is_text[:-1])) + 1
-            for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(group)).tolist()) if len(group) else ():
-                if group[a] != current:
-                    current, told, known = group[a], [], None
-                if not is_text[a]:
-                    told.append(batch.slice(a, b - a))
-                    continue
-                if known is None:
-                    known, told = _Known(told), []
-                for block in chunks([batch.slice(a, b - a)], most=BLOCK_BYTES):
-                    yield from found(*known.texts(block))
+        for group, is_told, rows in _streams(batches, lambda b: pa.compute.or_(b.column("part").is_valid(), b.column("copies").is_valid())):
+            if group != current:
+                current, told, known = group, [], None
+            if is_told:
+                told.append(rows)
+                continue
+            if known is None:
+                known, told = _Known(told), []
+            for block in chunks([rows], most=BLOCK_BYTES):
+                yield from found(*known.texts(block))
 
     def found(batch: pa.RecordBatch, known: list[np.ndarray]):
         if batch.num_rows:
@@ -310,36 +310,54 @@ def _first_level(parts: int):
     return run
 
 
+def _streams(batches, told):
+    """Slices of one group and kind, in order: (group, whether ``told`` holds for its rows, rows)."""
+    for batch in batches:
+        if batch.num_rows:
+            group, is_told = batch.column("group").to_numpy(), np.asarray(told(batch))
+            cuts = np.flatnonzero((group[1:] != group[:-1]) | (is_told[1:] != is_told[:-1])) + 1
+            for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(group)).tolist()):
+                yield int(group[a]), bool(is_told[a]), batch.slice(a, b - a)
+
+
+def _entries(rows: list[pa.RecordBatch], names: dict[str, type]) -> list[np.ndarray]:
+    """The arrays packed in binary columns, over all rows."""
+    return [np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for r in rows for x in r.column(name).to_pylist())]) for name, kind in names.items()]
+
+
 def _next_level(parts: int, length: int):
-    """Candidates of twice ``length`` from the repeated windows of each document."""
+    """Candidates of twice ``length`` from the repeated windows of each document; the rows of a group come together."""
+
+    def found(rows):
+        doc, place, key = _entries(rows, {"docs": np.int64, "places": np.int32, "keys": np.uint64})
+        docs, owner = np.unique(doc, return_inverse=True)
+        spot, index = np.unique(owner.astype(np.int64) << np.int64(32) | place.astype(np.int64), return_index=True)
+        key = key[index]
+        after = np.minimum(np.searchsorted(spot, spot + length), max(len(spot) - 1, 0))
+        pair = np.flatnonzero(spot[after] == spot + length)
+        if len(pair):
+            keys = mix(key[pair] * np.uint64(0x9E3779B97F4A7C15) + key[after[pair]])
+            yield from _both(_combined(docs, spot[pair] >> np.int64(32), keys, spot[pair] & np.int64(0xFFFFFFFF), parts, 2 * length), _MIXED)
 
     def run(batches):
-        for batch in batches:
-            docs, owners, keys, places = batch.column("doc_id").to_numpy(), [], [], []
-            for k, row in enumerate(batch.column("found").to_pylist()):
-                place = np.concatenate([np.frombuffer(x["places"], np.int32) for x in row]).astype(np.int64)
-                key = np.concatenate([np.frombuffer(x["keys"], np.uint64) for x in row])
-                place, index = np.unique(place, return_index=True)
-                key = key[index]
-                spot = np.minimum(np.searchsorted(place, place + length), len(place) - 1)
-                pair = np.flatnonzero(place[spot] == place + length)
-                owners.append(np.full(len(pair), k))
-                places.append(place[pair])
-                keys.append(mix(key[pair] * np.uint64(0x9E3779B97F4A7C15) + key[spot[pair]]))
-            owners = np.concatenate(owners)
-            if len(owners):
-                yield from _both(_combined(docs, owners, np.concatenate(keys), np.concatenate(places), parts, 2 * length), _MIXED)
+        current, held = None, []
+        for group, _, rows in _streams(batches, lambda b: b.column("group").is_valid()):
+            if group != current:
+                yield from found(held)
+                current, held = group, []
+            held.append(rows)
+        yield from found(held)
 
     return run
 
 
-def _level(mixed: DataFrame, level: int) -> DataFrame:
+def _level(mixed: DataFrame, level: int, groups: int) -> DataFrame:
     """FOUND rows of a level, in the shared folder; what a task has answered itself passes through."""
-    return stored(mixed.groupBy("part").applyInArrow(_answers(level), FOUND), f"found-{level}")
+    return stored(mixed.groupBy("part").applyInArrow(_answers(level, groups), FOUND), f"found-{level}")
 
 
 def repeated_windows(docs: DataFrame, copies: DataFrame) -> list[DataFrame]:
-    """For each level from WINDOW on, rows (doc_id, level, places, keys, later) of its repeated windows.
+    """For each level from WINDOW on, FOUND rows of its repeated windows: one for each group of documents and part.
 
     ``docs``: doc_id (long) and text (string), neither null.  ``copies`` names by doc_id the
     digests of texts that are exact copies; they pass the sieve but are no candidates.
@@ -352,74 +370,116 @@ def repeated_windows(docs: DataFrame, copies: DataFrame) -> list[DataFrame]:
     columns = {"group": "int", "part": "int", "docs": "binary", "keys": "binary", "copies": "array<binary>", "doc_id": "bigint", "id": "binary", "text": "string"}
     texts = docs.withColumns({"group": _group_of("doc_id", parts), "id": digest()})
     copied = copies.withColumn("group", _group_of("doc_id", parts))
-    sides = [df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items())) for df in (sieved, copied, texts)]
-    dealt = sides[0].unionAll(sides[1]).unionAll(sides[2]).repartition("group")
-    ordered = dealt.sortWithinPartitions("group", F.col("text").isNotNull())
-    mixed = ordered.mapInArrow(_first_level(parts), MIXED)
+    mixed = _dealt([sieved, copied], texts, columns).mapInArrow(_first_level(parts), MIXED)
     while True:
-        level = _level(mixed, length)
+        level = _level(mixed, length, parts)
         found.append(level)
         if level.isEmpty():
             return found
-        held = level.groupBy("doc_id").agg(F.collect_list(F.struct("places", "keys")).alias("found"))
-        mixed = held.mapInArrow(_next_level(parts, length), MIXED)
+        dealt = level.select("group", "docs", "places", "keys").repartition("group").sortWithinPartitions("group")
+        mixed = dealt.mapInArrow(_next_level(parts, length), MIXED)
         length *= 2
 
 
-def _is_copy():
-    """Whether a row's text is an exact copy of an earlier document's."""
-    return F.coalesce(F.array_contains("copies", digest()), F.lit(False)).alias("copy")
+def _dealt(told: list[DataFrame], texts: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """All rows dealt by group, those that tell of a group's documents before its texts."""
+    sides = [
+        df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()), F.lit(df is texts).alias("is_text"))
+        for df in (*told, texts)
+    ]
+    return reduce(DataFrame.unionAll, sides).repartition("group").sortWithinPartitions("group", "is_text")
+
+
+class _Marks:
+    """What a group's documents lose: places of later windows, whole copies, and the greatest repeated level."""
+
+    def __init__(self, rows: list[pa.RecordBatch]):
+        self.copies, doc, place, self.longest = {}, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], {}
+        for batch in rows:
+            for r in batch.select(["level", "docs", "places", "later", "doc_id", "copies"]).to_pylist():
+                if r["level"] is None:
+                    self.copies[r["doc_id"]] = set(r["copies"])
+                    continue
+                docs = np.frombuffer(r["docs"], np.int64)
+                for d in np.unique(docs).tolist():
+                    self.longest[d] = max(self.longest.get(d, 0), r["level"])
+                if r["level"] == WINDOW:
+                    gone = np.frombuffer(r["later"], np.uint8) == 1
+                    doc.append(docs[gone])
+                    place.append(np.frombuffer(r["places"], np.int32)[gone].astype(np.int64))
+        doc, place = np.concatenate(doc), np.concatenate(place)
+        order = np.argsort(doc, kind="stable")
+        self.docs, self.places = doc[order], place[order]
+
+    def lost(self, doc_id, digest, n: int) -> np.ndarray:
+        """Which of the n words go."""
+        gone = np.zeros(n, dtype=bool)
+        if doc_id is None:
+            return gone
+        if digest in self.copies.get(doc_id, ()):
+            gone[:] = n >= WINDOW
+            return gone
+        a, b = np.searchsorted(self.docs, doc_id, "left"), np.searchsorted(self.docs, doc_id, "right")
+        if b > a:
+            # Another text of the same doc_id may be longer.
+            edge = np.bincount(self.places[a:b], minlength=n + 1)[: n + 1] - np.bincount(self.places[a:b] + WINDOW, minlength=n + 1)[: n + 1]
+            gone = np.cumsum(edge[:n]) > 0
+        return gone
 
 
 def _removal(batches):
-    """What is left of every document, and the digest columns."""
-    for batch in chunks(batches):
-        w = Words(batch.column("text"))
-        copies, marks, longest = batch.column("copy").to_pylist(), batch.column("later").to_pylist(), batch.column("longest")
-        words, gone, digests, texts = [], [], [], []
-        for k in range(batch.num_rows):
-            a, b = int(w.first[k]), int(w.first[k + 1])
-            lost = np.zeros(b - a, dtype=bool)
-            if copies[k]:
-                lost[:] = b - a >= WINDOW
-            elif marks[k]:
-                edge = np.zeros(b - a + 1, dtype=np.int64)
-                for x in marks[k]:
-                    place = np.frombuffer(x["places"], np.int32)[np.frombuffer(x["later"], np.uint8) == 1]
-                    edge += np.bincount(place, minlength=b - a + 1)[: b - a + 1]
-                    edge -= np.bincount(place + WINDOW, minlength=b - a + 1)[: b - a + 1]
-                lost = np.cumsum(edge[:-1]) > 0
-            raw = w.data[w.offsets[k] : w.offsets[k + 1]].tobytes()
-            base = w.offsets[k]
-            left = np.flatnonzero(~lost) + a
-            kept = b" ".join(raw[x - base : y - base] for x, y in zip(w.starts[left].tolist(), w.ends[left].tolist()))
-            words.append(b - a)
-            gone.append(int(lost.sum()))
-            digests.append(hashlib.sha256(kept).hexdigest())
-            texts.append(kept)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests), pa.array(texts, pa.binary()).cast(pa.string()), longest],
-            names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "longest"],
-        )
+    """What is left of every document, and the digest columns; what is lost is told before the texts of a group."""
+    current, told, marks = None, [], None
+    for group, is_text, rows in _streams(batches, lambda b: b.column("is_text")):
+        if group != current:
+            current, told, marks = group, [], None
+        if not is_text:
+            told.append(rows)
+            continue
+        if marks is None:
+            marks, told = _Marks(told), []
+        for batch in chunks([rows]):
+            yield _left(batch, marks)
+
+
+def _left(batch: pa.RecordBatch, marks: _Marks) -> pa.RecordBatch:
+    w = Words(batch.column("text"))
+    docs, ids = batch.column("doc_id").to_pylist(), batch.column("id").to_pylist()
+    words, gone, digests, texts = [], [], [], []
+    for k in range(batch.num_rows):
+        a, b = int(w.first[k]), int(w.first[k + 1])
+        lost = marks.lost(docs[k], ids[k], b - a)
+        raw = w.data[w.offsets[k] : w.offsets[k + 1]].tobytes()
+        base = w.offsets[k]
+        left = np.flatnonzero(~lost) + a
+        kept = b" ".join(raw[x - base : y - base] for x, y in zip(w.starts[left].tolist(), w.ends[left].tolist()))
+        words.append(b - a)
+        gone.append(int(lost.sum()))
+        digests.append(hashlib.sha256(kept).hexdigest())
+        texts.append(kept)
+    longest = [marks.longest.get(d, 0) for d in docs]
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(longest, pa.int32())],
+        names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "longest"],
+    )
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text and longest of every document."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sure = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
     ids = sure.select("doc_id", digest().alias("digest"))
     least = ids.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     copies = stored(ids.join(least, "digest").where("doc_id > least").groupBy("doc_id").agg(F.collect_set("digest").alias("copies")), "copies")
     levels = repeated_windows(sure, copies)
-    later = levels[0].groupBy("doc_id").agg(F.collect_list(F.struct("places", "later")).alias("later"))
-    longest = None
-    for level in levels:
-        here = level.select("doc_id", F.col("level").alias("longest"))
-        longest = here if longest is None else longest.unionAll(here)
-    longest = longest.groupBy("doc_id").agg(F.max("longest").alias("longest"))
-    info = later.join(longest, "doc_id").join(copies, "doc_id", "full")
-    out = rows.join(info, "doc_id", "left")  # the only join that moves the texts again
-    out = out.select("doc_id", "text", _is_copy(), "later", F.coalesce("longest", F.lit(0)).alias("longest"))
+    # The texts move once more; rows without a doc_id lose nothing and are dealt by text.
+    columns = {"group": "int", "level": "int", "docs": "binary", "places": "binary", "later": "binary", "copies": "array<binary>", "doc_id": "bigint", "id": "binary", "text": "string"}
+    found = reduce(DataFrame.unionAll, [x.drop("keys") for x in levels])
+    copied = copies.withColumn("group", _group_of("doc_id", parts))
+    dealt_by = F.coalesce(_group_of("doc_id", parts), F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int"))
+    texts = rows.withColumns({"group": dealt_by, "id": digest()})
+    out = _dealt([found, copied], texts, columns)
     return out.mapInArrow(_removal, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, longest int")
 
 

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import corpus_pipeline
-from vigia.llm import line_dedup, toxicity
+from vigia.llm import line_dedup, sentencepiece_codec, toxicity
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -62,3 +62,64 @@ def test_toxicity_and_tokens_take_every_document(spark):
     assert kept.columns == docs.columns and sorted(kept.select("doc_id").collect()) == sorted(want.collect())
     _, got = run(spark, "sentencepiece", [(1, "some text"), (1, "some text"), (None, "é 🙂"), (2, None), (3, "")])
     assert len(got) == 5 and all((r.ids, r.n_tokens) == (None, None) if r.doc_id == 2 else r.round_trip and len(r.ids) == r.n_tokens for r in got)
+
+
+CLASHES = "__id string, __key string, __copy string, __mask string, __all string, __left string, __lines int, __lost int, __score string, row int, id string, every string, marked int, left int, lines int, lost int, copy int, mask int"
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    extra = [c.split(" ")[0] for c in CLASHES.split(", ")]
+    values = [7 if c.endswith(" int") else "v" for c in CLASHES.split(", ")]
+    rng = random.Random(4)
+    lines = [f"a line of some length, number {k}" for k in range(8)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines, "one more line that is new here"])), (3, None), (None, ""), (5, " ".join(words(rng, 80)))]
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t or ""), *values) for i, t in rows], f"{SCHEMA}, {CLASHES}")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert len(got) >= 4, name
+        assert all(tuple(r[c] for c in extra) == tuple(values) for r in got), name
+
+
+def test_whole_pipeline_from_end_to_end(spark, tmp_path):
+    """Planted documents: a toxic one, a copy, a near copy, a leak and a repeated block go; the rest comes out, encoded."""
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = random.Random(6)
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    near = words(rng, 150)
+    block = [f"a repeated line of this block, number {k} of it" for k in range(9)]
+    own = {k: [f"line {k} that only document {n} has, with words" for k in range(3)] for n, k in ((1, "a"), (2, "b"))}
+    planted = [
+        (10_000_001, " ".join(near)),
+        (10_000_002, " ".join([*near[:-1], "changed"])),
+        (10_000_003, " ".join(near)),
+        (10_000_004, f"{' '.join(words(rng, 30))} {leak}"),
+        (10_000_005, "\n".join([*own["a"], *block])),
+        (10_000_006, "\n".join([*block, *own["b"]])),
+        (10_000_007, None),
+        (None, ""),
+    ]
+    rows = spark.createDataFrame([(i, t, "en", "planted", len(t or "")) for i, t in planted], SCHEMA)
+    source.unionByName(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    got = {r.doc_id: r for r in out.collect()}
+    assert {10_000_001, 10_000_005, 10_000_006, 10_000_007, None} <= set(got)
+    assert not {10_000_002, 10_000_003, 10_000_004} & set(got)
+    assert got[10_000_007].ids is None and got[None].n_tokens == 0
+    assert all(r.round_trip for r in got.values() if r.ids is not None)
+    text = sentencepiece_codec.decode(out.where("doc_id = 10000006")).first().text
+    assert text == "\n".join(own["b"])
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    toxic = {r.doc_id for r in toxicity.op10_toxicity(source, labels).where("predicted = 1").collect()}
+    assert toxic and not toxic & set(got)
+    assert 0.5 * source.count() < len(got) < source.count() + len(planted)
+
+
+def test_an_empty_table_goes_through_all_stages(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -184,22 +184,37 @@ def aligned_lines(docs: DataFrame) -> DataFrame:
     return common.mapInArrow(_align, f"{ID}, lost array<boolean>")
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with the text that is left, then __lines and __lost: how many there were and went."""
+def deduped_rows(docs: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as one column ``row``, the text that is left, and how many lines there were and went.
+
+    The row travels in one column, so ``docs`` may have columns of any name.
+    """
     ids = docs.where("text IS NOT NULL").select(_id()).distinct()
     firsts = ids.groupBy("id.digest").agg(F.min("id").alias("first"))
     copies = ids.join(firsts, F.col("id.digest") == F.col("digest")).where("id > first").select("id")
     lost = aligned_lines(docs)
     marks = copies.withColumn("copy", F.lit(True)).join(lost, "id", "full")
-    marks = marks.select(F.col("id").alias("__id"), F.coalesce("copy", F.lit(False)).alias("__copy"), F.col("lost").alias("__mask"))
-    kept = docs.withColumn("__key", _id())
-    kept = kept.join(marks, (kept["__key"]["doc_id"].eqNullSafe(marks["__id"]["doc_id"])) & (kept["__key"]["digest"] == marks["__id"]["digest"]), "left")
-    kept = kept.withColumn("__all", F.split(F.col("text").cast("string"), "\n"))
-    goes = lambda i: F.col("__copy") | F.coalesce(F.get("__mask", i), F.lit(False))
-    left = F.when(F.col("__id").isNull(), F.col("__all")).otherwise(F.filter("__all", lambda x, i: ~goes(i)))
-    kept = kept.withColumn("__left", left)
-    columns = [F.array_join("__left", "\n").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(*columns, F.coalesce(F.size("__all"), F.lit(0)).alias("__lines"), F.coalesce(F.size("__all") - F.size("__left"), F.lit(0)).alias("__lost"))
+    marks = marks.select(F.col("id").alias("marked"), F.coalesce("copy", F.lit(False)).alias("copy"), F.col("lost").alias("mask"))
+    every = F.split(F.col("text").cast("string"), "\n").alias("every")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), _id(), every)
+    same = F.col("id.doc_id").eqNullSafe(F.col("marked.doc_id")) & (F.col("id.digest") == F.col("marked.digest"))
+    kept = rows.join(marks, same, "left")
+    goes = lambda i: F.col("copy") | F.coalesce(F.get("mask", i), F.lit(False))
+    left = F.when(F.col("marked").isNull(), F.col("every")).otherwise(F.filter("every", lambda x, i: ~goes(i)))
+    counted = kept.withColumn("left", left)
+    lines, gone = F.size("every"), F.size("every") - F.size("left")
+    return counted.select(
+        "row", F.array_join("left", "\n").alias("text"), F.coalesce(lines, F.lit(0)).alias("lines"), F.coalesce(gone, F.lit(0)).alias("lost")
+    )
+
+
+def line_dedup(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` with the text that is left, then __lines and __lost: how many there were and went.
+
+    For ``docs`` that have columns __lines or __lost themselves take :func:`deduped_rows`.
+    """
+    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
+    return deduped_rows(docs).select(*columns, F.col("lines").alias("__lines"), F.col("lost").alias("__lost"))
 
 
 def op1_line_dedup(docs: DataFrame) -> DataFrame:

@@ -127,12 +127,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(positive, unlabelled, min(max(prior, 1e-3), 0.5))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and ``__score``."""
+def score(docs: DataFrame, model: Model, name: str = "__score") -> DataFrame:
+    """All columns of ``docs`` and the score as column ``name``, which ``docs`` must not have."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*docs.schema.fields, StructField("__score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
     def run(batches):
         m = shipped.value
@@ -147,7 +147,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     each = np.where(m.words[at] == hashes, m.weights[at], 0.0)
                 margin = np.bincount(np.repeat(np.arange(batch.num_rows), counts), weights=each, minlength=batch.num_rows) + m.bias
                 scores = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
@@ -164,5 +164,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Documents are scored with the text as it is stored, so ``text`` must be a string.
     """
-    kept = score(docs, train(docs, labels)).where("__score < 0.5")
+    name = "__score"
+    while name in docs.columns:
+        name += "_"
+    kept = score(docs, train(docs, labels), name).where(F.col(f"`{name}`") < 0.5)
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -3,6 +3,17 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` writes
 as Parquet in the shared folder and reads again as the next stage's ``docs``.  All
 but the last return the columns of ``documents``.
+
+What each stage does with the cases below is stated in its operator's module; here:
+
+* an empty table goes through all stages and gives an empty result;
+* a null or empty text is kept by all stages (it is like no other text, and no
+  line, benchmark item or toxic word is in it) and has null or no piece ids;
+* documents are told apart by doc_id and text, so a null or repeated doc_id costs
+  no other document its place; of rows that repeat both, near-dedup keeps one;
+* texts are read whole, whatever their length;
+* columns beside doc_id and text may have any names and come out as they went in
+  (``n_chars`` follows a text that loses lines).
 """
 
 from __future__ import annotations
@@ -21,11 +32,12 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines aligned with an earlier document go, and documents that lose all lines; n_chars follows the text."""
-    kept = line_dedup.line_dedup(docs).where("NOT (__lost > 0 AND __lost = __lines)")
+    kept = line_dedup.deduped_rows(docs).where("NOT (lost > 0 AND lost = lines)")
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("__lost") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        kept = kept.withColumn("n_chars", n_chars)
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+        left = F.length("text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("lost") > 0, left).otherwise(columns["n_chars"])
+    return kept.select(*(column.alias(c) for c, column in columns.items()))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

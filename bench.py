@@ -74,6 +74,7 @@ STORED = [
     "op_stream_dead_letters",
     "op_stream_copies",
     "op_copy_dead_letters",
+    "op_stream_distinct",
     "op_stream_windowed",
 ]
 

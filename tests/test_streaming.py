@@ -16,12 +16,15 @@ from vigia.streaming import (
     distinct_events,
     drain_and_stop,
     file_records,
+    first_arrivals_in_stream,
+    keep_batches,
     progress_of,
     read_late,
     read_windows,
     start_copies,
     start_csv_copy,
     start_jsonl_copy,
+    start_stream,
     start_table_ingest,
     start_windowed_counts,
     text_records,
@@ -363,3 +366,35 @@ def test_indexed_ingest_ends_right_wherever_a_batch_was_cut(spark, tmp_path, los
     put(spark, [message(id_log=i, timestamp_evento="2020-01-01T00:00:00Z") for i in "aef"], f"{base}/inbox", start=20)
     drain(spark, base, index=index)
     assert rows(read_events(spark, f"{base}/table").select("id_log")) == [(i,) for i in "abcdef"]
+
+
+def test_first_arrival_by_broker_order_whatever_comes_first(spark, tmp_path):
+    base = str(tmp_path)
+
+    def drain_first():
+        events = valid_events(decode_records(file_records(spark, f"{base}/inbox", max_files_per_trigger=1)))
+        first = first_arrivals_in_stream(events, "1 hour", "30 minutes")
+        query = start_stream(first, f"d{uuid.uuid4().hex}", f"{base}/cp", None, lambda w: w.foreachBatch(keep_batches(f"{base}/out")))
+        query.awaitTermination()
+        rows_held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return rows_held[-1]
+
+    def at(time, **changes):
+        return message(timestamp_evento=f"2026-06-17T{time}:00Z", **changes)
+
+    put(spark, [at("10:10", id_log="a", mensaje="copy"), at("10:20", id_log="b", mensaje="first")], f"{base}/inbox", hour=14)
+    assert drain_first() == 2
+    # The original was sent before, and is read later; the span is still open.
+    put(spark, [at("10:10", id_log="a", mensaje="first"), at("10:40", id_log="c", mensaje="first")], f"{base}/inbox", hour=12)
+    put(spark, [at("10:20", id_log="b", mensaje="copy")], f"{base}/inbox", start=50, hour=15)
+    assert drain_first() == 3
+    assert [p for p in (tmp_path / "out").rglob("*.parquet") if spark.read.parquet(str(p)).count()] == []
+    # An event of the afternoon closes the morning: its rows come out and leave the state.
+    put(spark, [at("16:00", id_log="z", mensaje="first")], f"{base}/inbox", hour=16)
+    assert drain_first() == 1
+    # Copies of a closed span are dropped.
+    put(spark, [at("10:10", id_log="a", mensaje="late"), at("10:50", id_log="new", mensaje="late")], f"{base}/inbox", start=9, hour=9)
+    assert drain_first() == 1
+    got = spark.read.parquet(f"{base}/out").drop("query", "batch")
+    assert rows(got.select("id_log", "mensaje")) == [("a", "first"), ("b", "first"), ("c", "first")]
+    assert set(EVENT_COLUMNS + META_COLUMNS) == set(got.columns)

@@ -431,6 +431,7 @@ WHERE timestamp_evento >= TIMESTAMP '2024-01-05' AND timestamp_evento < TIMESTAM
         ),
         "op_stream_ingest": _over_logs(f"SELECT {ROUND_TRIP} FROM logs"),
         "op_ingest_indexed": _over_logs(f"SELECT {ROUND_TRIP} FROM logs"),
+        "op_stream_distinct": _over_logs(f"SELECT {ROUND_TRIP} FROM logs"),
         "op_stream_dead_letters": """SELECT motivo, COUNT(*) AS mensajes FROM (
   SELECT 'malformed' AS motivo FROM events WHERE event_id % 50 = 0
   UNION ALL SELECT 'missing:servidor' FROM events WHERE event_id % 40 = 0) a GROUP BY motivo""",

@@ -58,9 +58,12 @@ from ..streaming import (
     IdIndex,
     decode_records,
     file_records,
+    first_arrivals_in_stream,
+    keep_batches,
     read_late,
     read_windows,
     start_copies,
+    start_stream,
     start_table_ingest,
     start_windowed_counts,
     text_records,
@@ -590,6 +593,26 @@ def op_copy_dead_letters(logs):
     )
 
 
+@_over_logs
+def op_stream_distinct(logs):
+    """First arrivals by broker order: the copies of every tenth event come a batch before the originals.
+
+    The last batch is one event of a later month, which closes all spans before it.
+    """
+    spark = logs.sparkSession
+    base = scratch_path(spark, "distinct")
+    messages = _messages(logs)
+    heartbeat = messages.where("offset = 0").withColumns(
+        {"value": F.regexp_replace("value", '"timestamp_evento":"[0-9-]*', '"timestamp_evento":"2026-01-01')}
+    )
+    for part in (_redelivered(messages, 10, "1 HOUR"), messages, heartbeat):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/inbox")
+        events = valid_events(decode_records(file_records(spark, f"{base}/inbox", "parquet")))
+        first = first_arrivals_in_stream(events, "1 day", "60 days")
+        start_stream(first, "distinct", f"{base}/checkpoint", None, lambda w: w.foreachBatch(keep_batches(f"{base}/out"))).awaitTermination()
+    return _round_trip(spark.read.parquet(f"{base}/out"))
+
+
 @_over_logs
 def op_stream_windowed(logs):
     """Error rows by service and five minutes over two runs from one checkpoint.

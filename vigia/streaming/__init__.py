@@ -1,13 +1,15 @@
 from .index import IdIndex
-from .ingest import dead_letters, decodable_events, decode_records, distinct_events, valid_events
+from .ingest import dead_letters, decodable_events, decode_records, distinct_events, first_arrivals_in_stream, valid_events
 from .queries import (
     ProgressLog,
     drain_and_stop,
+    keep_batches,
     progress_of,
     start_copies,
     start_csv_copy,
     start_jdbc_ingest,
     start_jsonl_copy,
+    start_stream,
     start_table_ingest,
 )
 from .records import RECORD_SCHEMA, file_records, kafka_records, text_records
@@ -23,7 +25,9 @@ __all__ = [
     "distinct_events",
     "drain_and_stop",
     "file_records",
+    "first_arrivals_in_stream",
     "kafka_records",
+    "keep_batches",
     "progress_of",
     "read_late",
     "read_windows",
@@ -31,6 +35,7 @@ __all__ = [
     "start_csv_copy",
     "start_jdbc_ingest",
     "start_jsonl_copy",
+    "start_stream",
     "start_table_ingest",
     "start_windowed_counts",
     "text_records",

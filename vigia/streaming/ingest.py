@@ -58,13 +58,35 @@ def dead_letters(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col(REASON).isNotNull()).select(*META_COLUMNS, RAW, REASON)
 
 
+# Content decides only between records that carry no position at all.
+ARRIVAL = [
+    *("_kafka_timestamp", "_kafka_topic", "_kafka_partition", "_kafka_offset"),
+    *("timestamp_evento", "servidor", "mensaje"),
+]
+
+
 def first_arrivals(events: DataFrame) -> DataFrame:
     """One row per id, the earliest by broker time, topic, partition, offset."""
-    arrival = ["_kafka_timestamp", "_kafka_topic", "_kafka_partition", "_kafka_offset"]
-    # Content decides only between records that carry no position at all.
-    ties = ["timestamp_evento", "servidor", "mensaje"]
-    order = [F.col(c).asc_nulls_last() for c in arrival + ties]
-    return first_per_key(events, ["id_log"], order)
+    return first_per_key(events, ["id_log"], [F.col(c).asc_nulls_last() for c in ARRIVAL])
+
+
+def first_arrivals_in_stream(events: DataFrame, horizon: str, delay: str) -> DataFrame:
+    """One row per id and event-time span of length ``horizon``: the earliest by broker order, whatever batch it came in.
+
+    For streams that read brokers or partitions at different speeds, where the row
+    that comes first need not be the first that was sent.  A row is given out when the
+    watermark (latest event time less ``delay``) passes its span, and leaves the state
+    then: the state holds the ids of one span and ``delay``.  Copies that come later are
+    dropped.  Copies have to carry the event time of the original, as redelivered
+    messages do; an id with events in two spans gives one row in each.
+
+    Append mode.  Rows of one id are cut to one in each task before the shuffle.
+    """
+    order = F.struct(*(x for i, c in enumerate(ARRIVAL) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))))
+    row = F.struct(*events.columns)
+    timed = events.withWatermark("timestamp_evento", delay)
+    first = timed.groupBy("id_log", F.window("timestamp_evento", horizon)).agg(F.min_by(row, order).alias("row"))
+    return first.select("row.*")
 
 
 def distinct_events(events: DataFrame, horizon: str | None = None) -> DataFrame:

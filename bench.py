@@ -57,7 +57,7 @@ NATIVE = [
     "op_json_encode_route",
 ]
 
-# Streams and trips through stored files: they write, so one run each is timed, after a run at the smallest scale.
+# Streams and trips through stored files: they write, so one run each is timed, the first.
 STORED = [
     "op_csv_roundtrip",
     "op_csv_reordered",
@@ -123,10 +123,7 @@ def main() -> None:
     registered = queries()
     for name in NATIVE:
         times[name] = median_seconds(lambda: noop(registered[name](spark, sf_dir)))
-    smallest = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     for name in STORED:
-        if os.path.isdir(smallest):
-            noop(registered[name](spark, smallest))
         started = time.monotonic()
         noop(registered[name](spark, sf_dir))
         times[name] = round(time.monotonic() - started, 3)

@@ -4,7 +4,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from vigia.llm import common
 from vigia.llm import prob_minhash as z
 
 
@@ -220,3 +222,62 @@ def test_a_chain_is_one_class(spark):
 def test_hardly_any_rows(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert z.op3_near_duplicates(docs).count() == len(rows) == z.one_of_each(docs).count()
+
+
+def random_links(seed):
+    rng = random.Random(seed)
+    out = [(i, i + 1) for i in range(100, 130)]  # a path
+    out += [(250, i) for i in range(200, 251)] + [(300, i) for i in range(300, 340)]  # a hub of largest and one of least id
+    nodes = rng.sample(range(400, 1000), 150)
+    out += [tuple(rng.sample(nodes, 2)) for _ in range(110)]
+    out += rng.choices(out, k=60) + [(b, a) for a, b in rng.choices(out, k=60)]
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_match_union_find(spark, monkeypatch, seed):
+    """Least id of every component, each id once; few tables are written on the way."""
+    written = []
+    write = common.stored
+    monkeypatch.setattr(common, "stored", lambda df, label: written.append(label) or write(df, label))
+    pairs = random_links(seed)
+    parent = {}
+
+    def root(k):
+        while parent.setdefault(k, k) != k:
+            k = parent[k]
+        return k
+
+    for a, b in pairs:
+        if a != b:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    got = sorted(tuple(r) for r in common.components(links, "links").collect())
+    assert got == sorted((k, root(k)) for k in parent)
+    # Before: one and two for each round.
+    assert len(written) <= 5
+
+
+def test_components_of_no_links(spark):
+    assert common.components(spark.createDataFrame([], "a long, b long"), "links").collect() == []
+
+
+def test_sifted_rows_hold_all_that_were_asked_for(spark, monkeypatch):
+    rows = spark.range(5000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("id"), F.col("id").alias("number"))
+    ids = rows.where("number % 50 = 3").select("id")
+    for bits, most in ((1 << 24, 105), (1 << 8, 5000)):
+        monkeypatch.setattr(common, "SIFT", bits)
+        got = {r.number for r in common.sifted(rows, ids).collect()}
+        assert {k for k in range(5000) if k % 50 == 3} <= got and len(got) <= most
+    assert common.sifted(rows, ids).columns == rows.columns
+
+
+def test_what_a_member_brings_is_not_stored_for_each_bucket(spark, monkeypatch):
+    tables = {}
+    write = z.stored
+    monkeypatch.setattr(z, "stored", lambda df, label: tables.setdefault(label, write(df, label)))
+    docs = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
+    z.links(docs)
+    assert not {"bands", "sketch", "facts"} & set(tables["open-members"].columns)

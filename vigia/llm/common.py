@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigia.session import scratch_path
@@ -16,6 +16,8 @@ from vigia.session import scratch_path
 SPACES = r"[\x20\x09-\x0D]+"
 #: Bytes of text that one numpy step works on, so that its arrays stay small.
 CHUNK_BYTES = 1 << 20
+#: Bits of the bitmap of :func:`sifted`.
+SIFT = 1 << 24
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -130,33 +132,49 @@ class Words:
         return mix(total[at]), at
 
 
+def sifted(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose id may be among ``ids``: all that are, and few others while ids are far fewer than SIFT.
+
+    For a join that follows, which then shuffles these rows only.  What is broadcast is a
+    bitmap of SIFT bits in words of 64, so its size is bounded whatever the ids are.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(SIFT))
+    word, bit = F.shiftright(place, 6).alias("__word"), place.bitwiseAND(F.lit(63)).cast("int")
+    words = ids.select(word, bit.alias("bit")).groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("__bits"))
+    met = rows.select("*", word).join(F.broadcast(words), "__word")
+    return met.where(F.getbit("__bits", bit) == 1).select(*rows.columns)
+
+
 def components(links: DataFrame, label: str) -> DataFrame:
     """Connected components of ``links`` (a, b): columns (id, root), root the least id of the component.
 
-    Alternates the large-star and small-star steps, each two hash aggregates and
-    a join on distributed tables, until the links stand still; every round is
-    written to the shared folder, so nothing is collected and no lineage grows.
+    Rounds of a large-star and a small-star step, until a round moves no link.  Two
+    rounds at a time are written to the shared folder, so nothing is collected and no
+    lineage grows.
+    """
+    links = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), label)
+    moved = True
+    while moved:
+        links = stored(_round(_round(links)), label)
+        moved = links.agg(F.max("moved")).first()[0]
+    roots = links.select(F.col("b").alias("id")).distinct()
+    return links.select(F.col("a").alias("id"), F.col("b").alias("root")).unionAll(roots.select("id", F.col("id").alias("root")))
+
+
+def _round(links: DataFrame) -> DataFrame:
+    """Large-star, then small-star, each one shuffle and one sort of the links (a > b), with whether a link ``moved``.
+
+    Stars come out as they went in, each link once.
     """
-    links = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
-    state = _fingerprint(links)
-    while True:
-        both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.where("a <> b").distinct(), label)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        links = stored(small.where("a <> b").distinct(), label)
-        before, state = state, _fingerprint(links)
-        if state == before:
-            roots = links.select(F.col("b").alias("id")).distinct()
-            return links.select(F.col("a").alias("id"), F.col("b").alias("root")).unionAll(roots.select("id", F.col("id").alias("root")))
-
-
-def _fingerprint(links: DataFrame) -> tuple:
-    """Number of links and two hashes of the set, in one pass: equal for equal sets."""
-    x, y = F.xxhash64("a", "b"), F.xxhash64("b", F.lit(1), "a")
-    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(x), F.bit_xor(y)).first())
+    both = links.selectExpr("inline(array(struct(a, b), struct(b AS a, a AS b)))")
+    least = F.least("a", F.min("b").over(Window.partitionBy("a")))
+    large = both.withColumn("m", least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"), (F.col("m") < F.col("a")).alias("moved"))
+    # Of equal links the first, which has moved if one has.
+    up = Window.partitionBy("a").orderBy("b", F.desc("moved"))
+    least = F.min("b").over(up.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    once = large.withColumns({"m": least, "before": F.lag("b").over(up)}).where("before IS NULL OR before <> b")
+    only = F.col("b") == F.col("m")
+    return once.select(F.when(only, F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"), (F.col("moved") | ~only).alias("moved"))
 
 
 def merged(groups: DataFrame, links: DataFrame, label: str) -> DataFrame:

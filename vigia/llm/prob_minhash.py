@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import Words, chunks, components, digest, merged, mix, stored
+from vigia.llm.common import Words, chunks, components, digest, merged, mix, sifted, stored
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -208,15 +208,15 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bands = texts.mapInArrow(_bands, "id binary, bands array<long>, sketch array<long>, facts array<long>").dropDuplicates(["id"])
     bands = stored(bands, "bands")
     each = bands.select("id", F.explode("bands").alias("band"))
-    led = each.groupBy("band").agg(F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id")).alias("l"), F.max("id").alias("m"), F.min("id").alias("n"))
-    leaders = stored(led.where("m <> n").select("band", F.col("l.id").alias("b")), "leaders")
+    led = each.groupBy("band").agg(F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id")).alias("l"), F.count(F.lit(1)).alias("n"))
+    leaders = stored(led.where("n > 1").select("band", F.col("l.id").alias("b")), "leaders")
     pairs = stored(each.join(leaders, "band").where("id <> b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")), "led-pairs")
-    involved = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    some = stored(texts.join(involved, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
+    involved = stored(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct(), "involved")
+    some = stored(sifted(texts, involved).join(involved, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
     # Most texts of a family are joined by the leader that shares most bands with them.
-    best = stored(pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")), "best-pairs")
+    best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
     groups = stored(components(verified(best, some), "components"), "groups")
-    met = stored(_across(bands.join(involved, "id", "left_semi"), groups, some), "open-links")
+    met = stored(_across(sifted(bands, involved).join(involved, "id", "left_semi"), groups, some), "open-links")
     rest = met.where("NOT sure").select("a", "b").distinct()
     sure = met.where("sure").select("a", "b")
     return merged(groups, sure.unionAll(verified(rest, some)), "groups"), owners
@@ -236,7 +236,7 @@ def _sets(batches):
 def _across(bands: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a > b) of one bucket that join its components, and pairs still to be verified (``sure`` false)."""
     rooted = stored(bands.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id")), "open-bands")
-    each = rooted.select("id", "root", "bands", "sketch", "facts", F.posexplode("bands").alias("k", "band"))
+    each = rooted.select("id", "root", F.posexplode("bands").alias("k", "band"))
     # For every bucket its largest component, and how many blocks that and the rest fill.
     parts = each.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     whole = parts.groupBy("band").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
@@ -244,10 +244,11 @@ def _across(bands: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame:
         "band", F.col("main.root").alias("main"),
         F.ceil((F.col("n") - F.col("main.n")) / BLOCK).alias("others"), F.ceil(F.col("main.n") / BLOCK).alias("mains"),
     )
-    within = each.join(stored(whole, "open-buckets"), "band")
-    within = stored(within, "open-members")
-    wanted = texts.join(within.select("id").distinct(), "id", "left_semi").select("id", "text")
-    within = within.join(wanted.mapInArrow(_sets, "id binary, shingles binary, weights binary"), "id")
+    within = stored(each.join(whole, "band"), "open-members")
+    # What a member brings along meets it once, not in each of its buckets.
+    open_ids = within.select("id").distinct()
+    wanted = texts.join(open_ids, "id", "left_semi").select("id", "text").mapInArrow(_sets, "id binary, shingles binary, weights binary")
+    within = within.join(wanted.join(rooted.select("id", "bands", "sketch", "facts"), "id"), "id")
     dice = F.xxhash64("id", "band")
     slot = F.when(F.col("root") == F.col("main"), F.col("others") + F.pmod(dice, F.col("mains"))).otherwise(F.pmod(dice, F.col("others")))
     within = within.withColumn("slot", slot)

@@ -133,16 +133,17 @@ class Words:
 
 
 def sifted(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The ``rows`` whose id may be among ``ids``: all that are, and few others while ids are far fewer than SIFT.
+    """The ``rows`` whose id is among the distinct ``ids``; few others are shuffled for that while ids are far fewer than SIFT.
 
-    For a join that follows, which then shuffles these rows only.  What is broadcast is a
-    bitmap of SIFT bits in words of 64, so its size is bounded whatever the ids are.
+    What is broadcast is a bitmap of SIFT bits in words of 64, so its size is bounded
+    whatever the ids are.  The exact join is an inner one: Spark moves a semi join
+    below the bitmap, where it would shuffle all rows.
     """
     place = F.pmod(F.xxhash64("id"), F.lit(SIFT))
     word, bit = F.shiftright(place, 6).alias("__word"), place.bitwiseAND(F.lit(63)).cast("int")
     words = ids.select(word, bit.alias("bit")).groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("__bits"))
-    met = rows.select("*", word).join(F.broadcast(words), "__word")
-    return met.where(F.getbit("__bits", bit) == 1).select(*rows.columns)
+    met = rows.select("*", word).join(F.broadcast(words), "__word").where(F.getbit("__bits", bit) == 1)
+    return met.join(ids, "id").select(*rows.columns)
 
 
 def components(links: DataFrame, label: str) -> DataFrame:

@@ -212,11 +212,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     leaders = stored(led.where("n > 1").select("band", F.col("l.id").alias("b")), "leaders")
     pairs = stored(each.join(leaders, "band").where("id <> b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")), "led-pairs")
     involved = stored(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct(), "involved")
-    some = stored(sifted(texts, involved).join(involved, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
+    some = stored(sifted(texts, involved).dropDuplicates(["id"]), "candidate-texts")
     # Most texts of a family are joined by the leader that shares most bands with them.
     best = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
     groups = stored(components(verified(best, some), "components"), "groups")
-    met = stored(_across(sifted(bands, involved).join(involved, "id", "left_semi"), groups, some), "open-links")
+    met = stored(_across(sifted(bands, involved), groups, some), "open-links")
     rest = met.where("NOT sure").select("a", "b").distinct()
     sure = met.where("sure").select("a", "b")
     return merged(groups, sure.unionAll(verified(rest, some)), "groups"), owners
@@ -376,7 +376,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     told_apart = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
     rows = docs.select(whole.alias("row"), digest().alias("id"), F.col("doc_id").alias("number"), F.xxhash64(*told_apart).alias("hash"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "id")).alias("f")
-    kept = _rooted(docs).groupBy("root").agg(first).select(F.col("f.id").alias("id"), F.col("f.doc_id").alias("first"))
-    chosen = rows.join(kept, "id").where(F.col("number").eqNullSafe(F.col("first")))
-    one = chosen.groupBy("id").agg(F.min_by("row", "hash").alias("row"))
+    kept = _rooted(docs).groupBy("root").agg(first).select(F.col("f.id").alias("id"))
+    # A text's own least row first: copies collapse before the rows are shuffled, once.
+    order = F.struct(F.col("number").isNull().alias("absent"), "number", "hash")
+    one = rows.where("id IS NOT NULL").groupBy("id").agg(F.min_by("row", order).alias("row")).join(kept, "id", "left_semi")
     return one.select("row.*").unionAll(rows.where("id IS NULL").select("row.*"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vigia.schema import EVENT_COLUMNS, META_COLUMNS
 from vigia.sources import publish_rows, read_csv, read_events, read_jsonl, write_events
+from vigia.streaming import queries as streams
 from vigia.streaming import (
     IdIndex,
     RECORD_SCHEMA,
@@ -257,6 +258,18 @@ def test_copies_keep_incomplete_events_and_dead_letters_the_rest(spark, tmp_path
     assert progress.observed[name] == {"copiados": 3, "muertos": 2}
 
 
+def test_packed_copies_hold_the_same_rows_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "PACKED_ROWS", 2)
+    put(spark, [message(id_log=i) for i in "abcde"] + ["bad"], f"{tmp_path}/inbox")
+    paths = {k: f"{tmp_path}/{k}" for k in ("csv", "jsonl", "dead")}
+    start_copies(file_records(spark, f"{tmp_path}/inbox"), f"{tmp_path}/cp", interval=None, compression="gzip", **paths).awaitTermination()
+    for read, kind, end in ((read_csv, "csv", "csv.gz"), (read_jsonl, "jsonl", "json.gz")):
+        assert [r[0] for r in rows(read(spark, paths[kind]).select("id_log"))] == list("abcde")
+        files = [f for f in (tmp_path / kind).rglob("part-*")]
+        assert len(files) >= 3 and all(f.name.endswith(end) for f in files)
+    assert spark.read.parquet(paths["dead"]).count() == 1
+
+
 def test_a_replayed_batch_copies_nothing_twice(spark, tmp_path):
     """The commit of the batch is lost, as if the driver had died after writing: it runs again."""
     put(spark, [message(id_log=i) for i in "abc"] + ["bad"], f"{tmp_path}/inbox")

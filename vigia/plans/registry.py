@@ -69,6 +69,7 @@ from ..streaming import (
     text_records,
     valid_events,
 )
+from ..streaming.queries import PACKED_ROWS
 from . import analyses as A
 from .fixture import logs_view, read_table
 from .report import run_report
@@ -558,13 +559,17 @@ def op_stream_dead_letters(logs):
 
 
 def _copied(logs: DataFrame) -> str:
-    """One stream copies raw message lines, one directory per topic, to CSV and JSON lines; the rest is kept apart."""
+    """One stream copies raw message lines, one directory per topic, to CSV and JSON lines; the rest is kept apart.
+
+    Lines and copies are text of 1 kB a row, most of it repeated: all are written packed.
+    """
     spark = logs.sparkSession
     base = scratch_path(spark, "copies")
     lines = _messages(logs).unionAll(_broken(_messages(logs)))
-    lines.select("topic", "value").write.partitionBy("topic").text(f"{base}/inbox")
+    packed = {"compression": "gzip", "maxRecordsPerFile": PACKED_ROWS}
+    lines.select("topic", "value").write.partitionBy("topic").options(**packed).text(f"{base}/inbox")
     records = text_records(spark, f"{base}/inbox")
-    start_copies(records, f"{base}/checkpoint", f"{base}/csv", f"{base}/jsonl", f"{base}/dead", None).awaitTermination()
+    start_copies(records, f"{base}/checkpoint", f"{base}/csv", f"{base}/jsonl", f"{base}/dead", None, compression="gzip").awaitTermination()
     return base
 
 

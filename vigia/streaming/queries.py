@@ -24,6 +24,8 @@ from .ingest import MALFORMED, REASON, dead_letters, decodable_events, decode_re
 log = logging.getLogger(__name__)
 
 FLUSH_INTERVAL = "2 seconds"
+# Most rows of a compressed file, which cannot be split.
+PACKED_ROWS = 250_000
 
 
 class ProgressLog(StreamingQueryListener):
@@ -136,6 +138,7 @@ def start_copies(
     dead: str | None = None,
     interval: str | None = FLUSH_INTERVAL,
     name: str = "copias",
+    compression: str | None = None,
 ) -> StreamingQuery:
     """Decode once; copy every decodable event, with bookkeeping, to CSV and JSON-lines files.
 
@@ -143,7 +146,11 @@ def start_copies(
     Messages that are not go to ``dead`` as Parquet.  Each sink has a directory per
     batch, which a replay overwrites, so a batch that failed half-way leaves no copies
     twice.  The stream observes ``copiados`` and ``muertos``.
+
+    ``compression`` ("gzip") packs the CSV and JSON-lines files.  A packed file is read by
+    one task, so files then end after ``PACKED_ROWS`` rows.
     """
+    packed = {"compression": compression, "maxRecordsPerFile": PACKED_ROWS} if compression else {}
     decoded = decode_records(records)
     broken = F.col(REASON) == MALFORMED
     decoded = decoded.observe(
@@ -158,7 +165,7 @@ def start_copies(
         try:
             rows = with_all_columns(decodable_events(kept))
             for fmt, (path, options) in wanted.items():
-                writer = rows.write.mode("overwrite").format(fmt).options(**options)
+                writer = rows.write.mode("overwrite").format(fmt).options(**options, **packed)
                 writer.save(batch_directory(batch, path, batch_id))
             if dead:
                 letters = dead_letters(kept).where(F.col(REASON) == MALFORMED)

@@ -270,6 +270,36 @@ def test_packed_copies_hold_the_same_rows_in_bounded_files(spark, tmp_path, monk
     assert spark.read.parquet(paths["dead"]).count() == 1
 
 
+@pytest.fixture
+def held(spark, monkeypatch):
+    """The tables cached beyond those before, at the times the copies' dead letters are taken."""
+    seen, cached = [], spark.sparkContext._jsc.getPersistentRDDs
+    before = cached().size()
+
+    def letters(decoded):
+        seen.append(cached().size() - before)
+        return dead_letters(decoded)
+
+    monkeypatch.setattr(streams, "dead_letters", letters)
+    return seen
+
+
+def test_three_sinks_hold_no_batch_and_copy_what_each_does_alone(spark, tmp_path, held):
+    odd = [message(id_log="a", timestamp_evento="1500-02-28T01:02:03Z"), message(id_log="b", servidor=..., mensaje='x, "y"\nz'), "bad"]
+    put(spark, odd, f"{tmp_path}/inbox")
+    put(spark, [message(id_log="c", uso_cpu_porcentaje=None), ""], f"{tmp_path}/inbox", start=10)
+    inbox = file_records(spark, f"{tmp_path}/inbox", max_files_per_trigger=1)
+    paths = {k: f"{tmp_path}/{k}" for k in ("csv", "jsonl", "dead")}
+    start_copies(inbox, f"{tmp_path}/cp", interval=None, **paths).awaitTermination()
+    assert held == [0, 0]
+    for start, read, kind in ((start_csv_copy, read_csv, "csv"), (start_jsonl_copy, read_jsonl, "jsonl")):
+        start(inbox, f"{tmp_path}/alone-{kind}", f"{tmp_path}/cp-{kind}", None).awaitTermination()
+        together, alone = (rows(read(spark, p, keep_meta=True).drop("_consumer_ts")) for p in (paths[kind], f"{tmp_path}/alone-{kind}"))
+        assert together == alone and len(alone) == 3
+    # Nothing stays of the staged batches.
+    assert spark.read.parquet(f"{tmp_path}/cp/staged").count() == 0
+
+
 def test_a_replayed_batch_copies_nothing_twice(spark, tmp_path):
     """The commit of the batch is lost, as if the driver had died after writing: it runs again."""
     put(spark, [message(id_log=i) for i in "abc"] + ["bad"], f"{tmp_path}/inbox")

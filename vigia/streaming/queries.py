@@ -19,13 +19,15 @@ from ..sources.files import TABLE_SCHEMA
 from ..sources.jdbc import JdbcTable, append_jdbc, read_jdbc_keys
 from ..sources.sinks import CSV_OPTIONS, JSON_OPTIONS, with_all_columns, write_events
 from .index import IdIndex
-from .ingest import MALFORMED, REASON, dead_letters, decodable_events, decode_records, first_arrivals, valid_events
+from .ingest import MALFORMED, RAW, REASON, dead_letters, decodable_events, decode_records, first_arrivals, valid_events
 
 log = logging.getLogger(__name__)
 
 FLUSH_INTERVAL = "2 seconds"
 # Most rows of a compressed file, which cannot be split.
 PACKED_ROWS = 250_000
+# Bytes that a task gathers before it writes them to a staged file.
+STAGED_ROW_GROUP = 32 << 20
 
 
 class ProgressLog(StreamingQueryListener):
@@ -130,6 +132,17 @@ def keep_batches(path: str) -> Callable[[DataFrame, int], None]:
     return handle
 
 
+def _staged(decoded: DataFrame, path: str) -> DataFrame:
+    """``decoded`` by way of Parquet at ``path``, overwritten by the next batch; the raw text of malformed messages only.
+
+    A cached batch that does not fit is serialised a hundred column batches at a time,
+    which a small heap does not hold; row groups are a bounded part of it.
+    """
+    lean = decoded.withColumn(RAW, F.when(F.col(REASON) == MALFORMED, F.col(RAW)))
+    lean.write.mode("overwrite").option("parquet.block.size", STAGED_ROW_GROUP).parquet(path)
+    return decoded.sparkSession.read.schema(lean.schema).parquet(path)
+
+
 def start_copies(
     records: DataFrame,
     checkpoint: str,
@@ -147,6 +160,9 @@ def start_copies(
     batch, which a replay overwrites, so a batch that failed half-way leaves no copies
     twice.  The stream observes ``copiados`` and ``muertos``.
 
+    With several sinks the decoded batch is staged as Parquet below ``checkpoint`` while
+    they are written, so executors hold no batch, whatever its size.
+
     ``compression`` ("gzip") packs the CSV and JSON-lines files.  A packed file is read by
     one task, so files then end after ``PACKED_ROWS`` rows.
     """
@@ -158,10 +174,11 @@ def start_copies(
     )
     sinks = {"csv": (csv, CSV_OPTIONS), "json": (jsonl, JSON_OPTIONS)}
     wanted = {fmt: sink for fmt, sink in sinks.items() if sink[0]}
+    staging = f"{checkpoint}/staged"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         shared = len(wanted) + bool(dead) > 1
-        kept = batch.persist(StorageLevel.MEMORY_AND_DISK) if shared else batch
+        kept = _staged(batch, staging) if shared else batch
         try:
             rows = with_all_columns(decodable_events(kept))
             for fmt, (path, options) in wanted.items():
@@ -172,7 +189,8 @@ def start_copies(
                 letters.write.mode("overwrite").parquet(batch_directory(batch, dead, batch_id))
         finally:
             if shared:
-                kept.unpersist()
+                # Leaves an empty table, on any file system.
+                batch.sparkSession.range(0).write.mode("overwrite").parquet(staging)
 
     return start_stream(decoded, name, checkpoint, interval, lambda w: w.foreachBatch(handle))
 

@@ -300,6 +300,20 @@ def test_three_sinks_hold_no_batch_and_copy_what_each_does_alone(spark, tmp_path
     assert spark.read.parquet(f"{tmp_path}/cp/staged").count() == 0
 
 
+def test_dead_letters_beside_one_copy_are_kept_whole_without_holding_the_batch(spark, tmp_path, held):
+    bad = ['"' + "ñ," * 50_000, "[1]", '{"id_log": "x"', message(codigo_estado="abc")]
+    put(spark, [message(id_log="a"), *bad, message(id_log="b", nivel=...), ""], f"{tmp_path}/inbox")
+    inbox = file_records(spark, f"{tmp_path}/inbox")
+    start_csv_copy(inbox, f"{tmp_path}/csv", f"{tmp_path}/cp", None, dead=f"{tmp_path}/dead").awaitTermination()
+    assert held == [0]
+    letters = spark.read.parquet(f"{tmp_path}/dead")
+    assert letters.drop("query", "batch").columns == [*META_COLUMNS, "_raw", "_reason"]
+    assert rows(letters.select("_raw", "_kafka_topic", "_kafka_offset", "_reason")) == sorted(
+        ((text, "logs_http", i + 1, "malformed") for i, text in enumerate(bad)), key=repr
+    )
+    assert rows(read_csv(spark, f"{tmp_path}/csv").select("id_log")) == [("a",), ("b",)]
+
+
 def test_a_replayed_batch_copies_nothing_twice(spark, tmp_path):
     """The commit of the batch is lost, as if the driver had died after writing: it runs again."""
     put(spark, [message(id_log=i) for i in "abc"] + ["bad"], f"{tmp_path}/inbox")

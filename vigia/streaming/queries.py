@@ -135,8 +135,8 @@ def keep_batches(path: str) -> Callable[[DataFrame, int], None]:
 def _staged(decoded: DataFrame, path: str) -> DataFrame:
     """``decoded`` by way of Parquet at ``path``, overwritten by the next batch; the raw text of malformed messages only.
 
-    A cached batch that does not fit is serialised a hundred column batches at a time,
-    which a small heap does not hold; row groups are a bounded part of it.
+    Caching it runs small executors out of heap while the column batches of a large batch
+    are built and serialised; a task that writes Parquet holds one row group.
     """
     lean = decoded.withColumn(RAW, F.when(F.col(REASON) == MALFORMED, F.col(RAW)))
     lean.write.mode("overwrite").option("parquet.block.size", STAGED_ROW_GROUP).parquet(path)
